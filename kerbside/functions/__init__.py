@@ -4,6 +4,9 @@ from kerbside.functions.geo import (
     haversine_m,
     inside_box,
     point_wkt,
+    squared_chord,
+    squared_chord_limit,
+    unit_vector,
 )
 from kerbside.functions.json_values import (
     epoch_seconds,
@@ -56,6 +59,9 @@ __all__ = [
     "parse_feed_timestamp",
     "point_wkt",
     "safe_divide",
+    "squared_chord",
+    "squared_chord_limit",
     "strict_json",
+    "unit_vector",
     "utc_suffix",
 ]

@@ -24,6 +24,7 @@ from kerbside.functions import (
     non_empty,
     strict_json,
 )
+from kerbside.functions.json_values import MAX_EPOCH_S, MIN_EPOCH_S
 
 STATUS_COLUMNS = (
     "ingest_ts", "event_ts", "station_id", "station_code", "is_installed", "is_renting", "is_returning",
@@ -33,6 +34,22 @@ STATUS_COLUMNS = (
 DLQ_COLUMNS = (
     "dlq_ts", "stage", "error_type", "error_message", "raw", "event_meta", "row_json", "sink_errors",
 )
+# Members read from a line and from a station element, all as text: one typed parse reads them
+# several times faster than a VARIANT, and what a text cannot tell apart goes the VARIANT way.
+LINE_SCHEMA = (
+    "array<struct<ingest_ts string, event_ts string, source string, event_type string, key string,"
+    " payload struct<data struct<stations array<string>>>, line_check string>>"
+)
+BIKE_TYPES = "array<struct<mechanical string, ebike string, bike_type string, count string>>"
+STATION_SCHEMA = (
+    "station_id string, stationCode string, station_code string, is_installed string,"
+    " is_renting string, is_returning string, last_reported string, num_bikes_available string,"
+    " numBikesAvailable string, num_docks_available string, numDocksAvailable string,"
+    f" num_bikes_available_types {BIKE_TYPES}"
+)
+JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+# texts that are falsy as a number, boolean or container but not as a text
+AMBIGUOUS = ("0", "0.0", "-0.0", "false", "[]", "{}")
 DLQ_COUNTERS = {
     fx.STAGE_PARSE: "dlq_parse_normalize_count",
     fx.STAGE_MAPPING: "dlq_snapshot_mapping_count",
@@ -52,14 +69,21 @@ def _value_error(message: str | Column) -> Column:
 
 def parse_events(lines: DataFrame) -> DataFrame:
     """Adds ``event`` (VARIANT object) and ``error`` to text lines in column ``value``."""
+    return _parse(lines, unless=F.lit(False))
+
+
+def _parse(lines: DataFrame, unless: Column) -> DataFrame:
+    """:func:`parse_events`, leaving both columns NULL where ``unless`` holds."""
     value, event = F.col("value"), F.col("event")
     parsed = evaluate_once(
-        lines.withColumn("_wrapped", strict_json(value)), {"event": json_document(F.col("_wrapped"), value)}
+        lines.withColumn("_wrapped", F.when(~unless, strict_json(value))),
+        {"event": json_document(F.col("_wrapped"), value)},
     ).drop("_wrapped")
     # an object's text starts with a brace; cheaper than deriving the document's schema
     is_object = F.ltrim(value, F.lit(" \t\r\n")).startswith("{")
     error = (
-        F.when(~F.is_valid_utf8(value), _error("UnicodeDecodeError", fx.MSG_BAD_UTF8))
+        F.when(unless, None)
+        .when(~F.is_valid_utf8(value), _error("UnicodeDecodeError", fx.MSG_BAD_UTF8))
         .when(~F.coalesce(value.rlike(r"\S"), F.lit(False)), _value_error(fx.MSG_EMPTY))
         .when(event.isNull(), _error("JSONDecodeError", fx.MSG_BAD_JSON))
         .when(~is_object, _value_error(fx.MSG_NOT_OBJECT))
@@ -67,6 +91,38 @@ def parse_events(lines: DataFrame) -> DataFrame:
     return evaluate_once(parsed, {"error": error})
 
 
+def _read_plain(lines: DataFrame) -> DataFrame:
+    """Adds ``_plain``: texts and station elements of ordinary lines, NULL for all others.
+
+    Ordinary means: the text is exactly one valid document (its checksum comes back as the next
+    element), the required texts are unmistakably present, and there is a list of stations.
+    Everything else, valid or not, is left to the exact rules.
+    """
+    value = F.col("value")
+    check = F.crc32(value).cast("string")
+    wrapped = F.concat(F.lit("["), value, F.lit(',{"line_check":"'), check, F.lit('"}]'))
+    read = lines.withColumn("_read", F.from_json(wrapped, LINE_SCHEMA, JSON_OPTIONS))
+    doc = F.try_element_at("_read", F.lit(1))
+    stations = doc["payload"]["data"]["stations"]
+    ordinary = (
+        F.is_valid_utf8(value)
+        & (F.try_element_at("_read", F.lit(2))["line_check"] == check)
+        & stations.isNotNull()
+        # a list element that is itself JSON text would look like an object
+        & ~value.rlike(r'[\[,]\s*"\s*\{')
+        & ~F.coalesce(doc["event_ts"].isin(*AMBIGUOUS), F.lit(False))
+    )
+    for name in ("ingest_ts", *fx.REQUIRED_TEXT_FIELDS):
+        ordinary = ordinary & doc[name].isNotNull() & ~doc[name].isin("", *AMBIGUOUS)
+    plain = F.struct(
+        doc["ingest_ts"].alias("ingest_ts"),
+        F.coalesce(non_empty(doc["event_ts"]), doc["ingest_ts"]).alias("event_ts"),
+        *[doc[name].alias(name) for name in fx.REQUIRED_TEXT_FIELDS],
+        stations.alias("stations"),
+    )
+    return evaluate_once(read, {"_plain": F.when(F.coalesce(ordinary, F.lit(False)), plain)}).drop("_read")
+
+
 def normalize_events(parsed: DataFrame) -> DataFrame:
     """Required fields and payload shape.
 
@@ -83,7 +139,7 @@ def normalize_events(parsed: DataFrame) -> DataFrame:
 def _checked(parsed: DataFrame) -> DataFrame:
     """Texts and final ``error``; ``_payload_kind`` and, for text payloads, ``_decoded``."""
     event = F.col("event")
-    ok = F.col("error").isNull()
+    ok = F.col("error").isNull() & event.isNotNull()
     missing = F.when(~is_truthy(event, "$.ingest_ts"), F.lit("ingest_ts"))
     for name in fx.REQUIRED_TEXT_FIELDS:
         missing = missing.when(~is_truthy(event, f"$.{name}"), F.lit(name))
@@ -103,9 +159,8 @@ def _checked(parsed: DataFrame) -> DataFrame:
             **{f"_{name}": json_text(event, f"$.{name}") for name in fx.REQUIRED_TEXT_FIELDS},
         },
     )
-    first_missing = F.coalesce(
-        "_missing", F.when(F.coalesce("_payload_kind", F.lit("VOID")) == "VOID", F.lit("payload"))
-    )
+    no_payload = ok & (F.coalesce("_payload_kind", F.lit("VOID")) == "VOID")
+    first_missing = F.coalesce("_missing", F.when(no_payload, F.lit("payload")))
     message = F.concat(F.lit("Missing "), first_missing)
     fields = fields.withColumn("error", F.coalesce("error", F.when(first_missing.isNotNull(), _value_error(message))))
     texts = ("ingest_ts", "event_ts", *fx.REQUIRED_TEXT_FIELDS)
@@ -155,49 +210,106 @@ def _mapping_error() -> Column:
     )
 
 
-def bike_counts(station: Column) -> tuple[Column, Column]:
-    """(mechanical, ebike) counts from either list format; the last entry of a kind decides."""
-    items = F.coalesce(json_list(station, "$.num_bikes_available_types"), F.array().cast("array<variant>"))
+def _integer(text: Column) -> Column:
+    return text.try_cast("bigint")
+
+
+def _is_odd(text: Column) -> Column:
+    """Whether only the JSON type tells what a text that is no integer counts as.
+
+    A decimal truncates as a number but is nothing as a text, true is 1 or nothing, and too
+    large an integer must be reported. Any other text counts as nothing whatever its type.
+    """
+    return text.isNotNull() & _integer(text).isNull() & text.rlike(r"^(\s*[+-]?\d|true$|false$)")
 
-    def last_of(name: str, kinds: tuple[str, ...]) -> Column:
-        def by_kind(item: Column) -> Column:
-            named = F.coalesce(json_text(item, "$.bike_type").isin(*kinds), F.lit(False))
-            return named & json_value(item, "$.count").isNotNull()
 
-        mentions = F.filter(items, lambda i: by_kind(i) | json_value(i, f"$.{name}").isNotNull())
-        winner = F.try_element_at(mentions, F.lit(-1))
-        return F.when(by_kind(winner), json_long(winner, "$.count")).otherwise(json_long(winner, f"$.{name}"))
+def _plain_bikes(types: Column, name: str, kinds: tuple[str, ...]) -> Column:
+    """Count of the last entry about one kind, from typed list entries."""
 
-    return last_of(fx.MECHANICAL, (fx.MECHANICAL,)), last_of(fx.EBIKE, fx.EBIKE_SYNONYMS)
+    def by_kind(item: Column) -> Column:
+        return F.coalesce(item["bike_type"].isin(*kinds), F.lit(False)) & item["count"].isNotNull()
 
+    last = F.try_element_at(F.filter(types, lambda i: by_kind(i) | i[name].isNotNull()), F.lit(-1))
+    return _integer(F.when(by_kind(last), last["count"]).otherwise(last[name]))
 
-def _first_present(station: Column, *names: str) -> Column:
-    """Text of the first truthy member; the last one's text when none is."""
-    choices = [F.when(is_truthy(station, f"$.{n}"), json_text(station, f"$.{n}")) for n in names[:-1]]
-    return F.coalesce(*choices, json_text(station, f"$.{names[-1]}"))
+
+def _exact_bikes(station: Column, name: str, kinds: tuple[str, ...]) -> Column:
+    """The same from a VARIANT element, where a member may be present and null."""
+    items = F.coalesce(json_list(station, "$.num_bikes_available_types"), F.array().cast("array<variant>"))
+
+    def by_kind(item: Column) -> Column:
+        named = F.coalesce(json_text(item, "$.bike_type").isin(*kinds), F.lit(False))
+        return named & json_value(item, "$.count").isNotNull()
+
+    mentions = F.filter(items, lambda i: by_kind(i) | json_value(i, f"$.{name}").isNotNull())
+    last = F.try_element_at(mentions, F.lit(-1))
+    return F.when(by_kind(last), json_long(last, "$.count")).otherwise(json_long(last, f"$.{name}"))
 
 
-def _count(station: Column, snake: str, camel: str) -> Column:
+def _exact_code(station: Column) -> Column:
+    """Text of the first truthy code; the last one's text when none is."""
+    names = ("stationCode", "station_code")
+    truthy = [F.when(is_truthy(station, f"$.{n}"), json_text(station, f"$.{n}")) for n in names]
+    return F.coalesce(*truthy, json_text(station, "$.stationcode"))
+
+
+def _exact_count(station: Column, snake: str, camel: str) -> Column:
     return F.when(json_text(station, f"$.{snake}").isNull(), json_long(station, f"$.{camel}")).otherwise(
         json_long(station, f"$.{snake}")
     )
 
 
-def _status_fields(station: Column) -> dict[str, Column]:
-    mechanical, ebike = bike_counts(station)
-    return {
-        "station_id": json_text(station, "$.station_id"),
-        "station_code": _first_present(station, "stationCode", "station_code", "stationcode"),
-        "is_installed": json_long(station, "$.is_installed"),
-        "is_renting": json_long(station, "$.is_renting"),
-        "is_returning": json_long(station, "$.is_returning"),
-        "last_reported_ts": epoch_seconds(station, "$.last_reported"),
-        "num_bikes_available": _count(station, "num_bikes_available", "numBikesAvailable"),
-        "num_docks_available": _count(station, "num_docks_available", "numDocksAvailable"),
-        "mechanical_available": mechanical,
-        "ebike_available": ebike,
-        "raw_station_json": F.to_json(station),
-    }
+def _with_station_fields(elements: DataFrame) -> DataFrame:
+    """Adds the status fields of column ``station`` (JSON text of a list element).
+
+    ``_exact`` holds the element as VARIANT where its texts alone are ambiguous.
+    """
+    text, s = F.col("station"), F.col("_s")
+    types = s["num_bikes_available_types"]
+    flags = ("is_installed", "is_renting", "is_returning")
+    numbers = (*flags, "last_reported", "num_bikes_available", "numBikesAvailable", "num_docks_available",
+               "numDocksAvailable")
+    ambiguous = text.rlike(r'"(mechanical|ebike|count)"\s*:\s*null')
+    ambiguous = ambiguous | (types.isNull() & text.contains('"num_bikes_available_types"'))
+    ambiguous = ambiguous | F.exists(
+        F.coalesce(types, F.array().cast(BIKE_TYPES)),
+        lambda i: _is_odd(i["mechanical"]) | _is_odd(i["ebike"]) | _is_odd(i["count"]),
+    )
+    for name in numbers:
+        ambiguous = ambiguous | _is_odd(s[name])
+    for name in ("stationCode", "station_code"):
+        ambiguous = ambiguous | F.coalesce(s[name].isin(*AMBIGUOUS), F.lit(False))
+    # the all-lowercase spelling cannot share a schema with the camel-case one
+    code = F.coalesce(non_empty(s["stationCode"]), non_empty(s["station_code"]))
+    ambiguous = ambiguous | (code.isNull() & text.contains('"stationcode"'))
+    plain_seconds = _integer(s["last_reported"])
+    plain = F.struct(
+        s["station_id"].alias("station_id"),
+        code.alias("station_code"),
+        *[_integer(s[n]).alias(n) for n in flags],
+        F.when(plain_seconds.between(MIN_EPOCH_S, MAX_EPOCH_S), F.timestamp_seconds(plain_seconds)).alias(
+            "last_reported_ts"
+        ),
+        _integer(F.coalesce(s["num_bikes_available"], s["numBikesAvailable"])).alias("num_bikes_available"),
+        _integer(F.coalesce(s["num_docks_available"], s["numDocksAvailable"])).alias("num_docks_available"),
+        _plain_bikes(types, fx.MECHANICAL, (fx.MECHANICAL,)).alias("mechanical_available"),
+        _plain_bikes(types, fx.EBIKE, fx.EBIKE_SYNONYMS).alias("ebike_available"),
+    )
+    v = F.col("_exact")
+    exact = F.struct(
+        s["station_id"].alias("station_id"),
+        _exact_code(v).alias("station_code"),
+        *[json_long(v, f"$.{n}").alias(n) for n in flags],
+        epoch_seconds(v, "$.last_reported").alias("last_reported_ts"),
+        _exact_count(v, "num_bikes_available", "numBikesAvailable").alias("num_bikes_available"),
+        _exact_count(v, "num_docks_available", "numDocksAvailable").alias("num_docks_available"),
+        _exact_bikes(v, fx.MECHANICAL, (fx.MECHANICAL,)).alias("mechanical_available"),
+        _exact_bikes(v, fx.EBIKE, fx.EBIKE_SYNONYMS).alias("ebike_available"),
+    )
+    read = evaluate_once(elements, {"_s": F.from_json(text, STATION_SCHEMA, JSON_OPTIONS)})
+    judged = evaluate_once(read, {"_exact": F.when(s["station_id"].isNotNull() & ambiguous, F.try_parse_json(text))})
+    fields = evaluate_once(judged, {"_fields": F.when(v.isNotNull(), exact).otherwise(plain)})
+    return fields.select("*", "_fields.*", text.alias("raw_station_json")).drop("_fields", "_s")
 
 
 def _instant(text: Column) -> Column:
@@ -205,14 +317,17 @@ def _instant(text: Column) -> Column:
     return F.when(text.rlike(r"^\s*\d{4}-\d"), F.try_to_timestamp(text))
 
 
-def _sink_errors(station: Column) -> Column:
+def _sink_errors() -> Column:
     """Messages for values the typed table cannot hold, in column order; empty when it fits."""
+    exact = F.col("_exact")
     checks = [
         F.when(_instant(F.col(name)).isNull(), F.concat(F.lit(f"Invalid timestamp in {name}: "), F.col(name)))
         for name in ("ingest_ts", "event_ts")
     ]
+    # too large an integer is never a plain one
     for name in ("is_installed", "is_renting", "is_returning", "num_bikes_available", "num_docks_available"):
-        checks.append(F.when(long_overflows(station, f"$.{name}"), F.lit(f"Integer out of range in {name}")))
+        too_large = exact.isNotNull() & long_overflows(exact, f"$.{name}")
+        checks.append(F.when(too_large, F.lit(f"Integer out of range in {name}")))
     return F.array_compact(F.array(*checks))
 
 
@@ -221,17 +336,13 @@ def flatten_status(events: DataFrame) -> DataFrame:
 
     ``events`` needs ingest_ts, event_ts (text) and payload (VARIANT). Timestamps stay text.
     """
-    station = F.col("station")
-    return (
-        events.select(
-            "ingest_ts",
-            F.coalesce(non_empty("event_ts"), F.col("ingest_ts")).alias("event_ts"),
-            F.explode(json_list(F.col("payload"), "$.data.stations")).alias("station"),
-        )
-        .withColumns(_status_fields(station))
-        .filter(F.col("station_id").isNotNull())
-        .select(*STATUS_COLUMNS)
+    stations = json_list(F.col("payload"), "$.data.stations")
+    elements = events.select(
+        "ingest_ts",
+        F.coalesce(non_empty("event_ts"), F.col("ingest_ts")).alias("event_ts"),
+        F.explode(F.transform(stations, lambda st: F.to_json(st))).alias("station"),
     )
+    return _with_station_fields(elements).filter(F.col("station_id").isNotNull()).select(*STATUS_COLUMNS)
 
 
 def route_snapshots(
@@ -242,22 +353,29 @@ def route_snapshots(
     Result: the status columns, the dead-letter columns and ``stage`` NULL on good rows. Events
     of other types leave no trace.
     """
-    station, error = F.col("station"), F.col("error")
-    checked = _checked(parse_events(lines)).filter(
+    error, plain = F.col("error"), F.col("_plain")
+    texts = ("ingest_ts", "event_ts", *fx.REQUIRED_TEXT_FIELDS)
+    read = _read_plain(lines)
+    checked = _checked(_parse(read, unless=plain.isNotNull()))
+    known = checked.withColumns({n: F.coalesce(plain[n], F.col(n)) for n in texts}).filter(
         error.isNotNull() | (F.col("event_type") == fx.SNAPSHOT_EVENT_TYPE)
     )
-    # object payloads are read in place
-    stations = F.coalesce(
+    exact_list = F.coalesce(
         json_list(F.col("event"), "$.payload.data.stations"), json_list(F.col("_decoded"), "$.data.stations")
     )
-    listed = evaluate_once(checked, {"stations": F.when(error.isNull(), stations)})
+    exact_stations = F.when(
+        error.isNull() & plain.isNull(), F.transform(exact_list, lambda st: F.to_json(st))
+    )
+    listed = evaluate_once(known, {"_exact_stations": exact_stations}).withColumn(
+        "stations", F.coalesce(plain["stations"], F.col("_exact_stations"))
+    )
     mapped = evaluate_once(
         listed, {"mapping_error": F.when(error.isNull() & F.col("stations").isNull(), _mapping_error())}
     )
     is_mapping = F.col("mapping_error").isNotNull()
     failed = error.isNotNull() | is_mapping
     meta = F.to_json(F.struct("source", "event_type", "key", "ingest_ts", "event_ts"))
-    event_rows = mapped.select(
+    elements = mapped.select(
         "ingest_ts",
         "event_ts",
         F.coalesce("error", "mapping_error").alias("error"),
@@ -266,14 +384,13 @@ def route_snapshots(
         .when(is_mapping, F.left(F.to_json("event"), F.lit(fx.RAW_TEXT_LIMIT)))
         .alias("raw"),
         F.when(is_mapping, meta).alias("event_meta"),
-        F.explode(
-            F.when(failed, F.array(F.lit(None)).cast("array<variant>")).otherwise(F.col("stations"))
-        ).alias("station"),
+        # a dead letter travels as one row without a station
+        F.explode(F.when(failed, F.array(F.lit(None).cast("string"))).otherwise(F.col("stations"))).alias("station"),
     )
     rows = (
-        event_rows.withColumns(_status_fields(station))
+        _with_station_fields(elements)
         .filter(F.col("stage").isNotNull() | F.col("station_id").isNotNull())
-        .withColumn("_sink", F.when(F.col("stage").isNull(), _sink_errors(station)))
+        .withColumn("_sink", F.when(F.col("stage").isNull(), _sink_errors()))
     )
     refused = F.coalesce(F.size("_sink") > 0, F.lit(False))
     row_json = F.to_json(F.struct(*STATUS_COLUMNS), {"ignoreNullFields": "false"})

@@ -6,35 +6,50 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside import fixed_values as fx
-from kerbside.functions import json_list, json_scalar, json_text, json_value, non_empty, parse_feed_timestamp
+from kerbside.functions import json_list, json_scalar, json_text, non_empty, parse_feed_timestamp
 from kerbside.operators.latest import latest_by
 
 SCALAR_MEMBERS = {
-    "disruption_id": "$.id",
-    "cause": "$.cause",
-    "severity": "$.severity",
-    "title": "$.title",
-    "short_message": "$.shortMessage",
-    "message_html": "$.message",
+    "disruption_id": "id",
+    "cause": "cause",
+    "severity": "severity",
+    "title": "title",
+    "short_message": "shortMessage",
+    "message_html": "message",
 }
 
 
+PAYLOAD_SCHEMA = (
+    "id string, cause string, severity string, title string, shortMessage string, message string,"
+    " lastUpdate string, applicationPeriods string, impactedSections string"
+)
+
+
 def project_disruptions(raw: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Typed columns of raw disruption payloads; ``digest`` orders rows of equal age."""
-    doc = F.col("_doc")
-    return raw.select("ingest_ts", F.try_parse_json("payload").alias("_doc"), F.md5("payload").alias("digest")).select(
+    """Typed columns of raw disruption payloads; ``digest`` orders rows of equal age.
+
+    One typed parse reads all members as text; sub-documents keep their member order.
+    """
+    payload = F.col("payload")
+    read = raw.select("ingest_ts", "payload", F.from_json(payload, PAYLOAD_SCHEMA).alias("_read"))
+    return read.select(
         "ingest_ts",
-        *[json_scalar(doc, path).alias(name) for name, path in SCALAR_MEMBERS.items()],
-        parse_feed_timestamp(json_scalar(doc, "$.lastUpdate"), tz).alias("last_update"),
-        _sub_document(doc, "$.applicationPeriods").alias("application_periods"),
-        _sub_document(doc, "$.impactedSections").alias("impacted_sections"),
-        "digest",
+        *[_scalar(F.col("_read"), payload, member).alias(name) for name, member in SCALAR_MEMBERS.items()],
+        parse_feed_timestamp(_scalar(F.col("_read"), payload, "lastUpdate"), tz).alias("last_update"),
+        F.col("_read.applicationPeriods").alias("application_periods"),
+        F.col("_read.impactedSections").alias("impacted_sections"),
+        F.md5(payload).alias("digest"),
     )
 
 
-def _sub_document(doc: Column, path: str) -> Column:
-    member = json_value(doc, path)
-    return F.when(~F.is_variant_null(member), F.to_json(member))
+def _scalar(read: Column, payload: Column, member: str) -> Column:
+    """Scalar member as text, NULL for an object or list.
+
+    Only a text that looks like one of those is looked up again with its type.
+    """
+    text = read[member]
+    looks_nested = F.left(text, F.lit(1)).isin("{", "[")
+    return F.when(looks_nested, json_scalar(F.try_parse_json(payload), f"$.{member}")).otherwise(text)
 
 
 def stage_disruptions(raw: DataFrame, tz: str = "UTC") -> DataFrame:

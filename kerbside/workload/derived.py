@@ -6,6 +6,8 @@ Remainders in it vary values between rows, they never leave rows out.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -114,7 +116,8 @@ from (select event_id,
  || case when event_id % 89 = 88 then '"text"' else '{"stations":'
  || case when event_id % 107 = 106 then '"NOT_A_LIST"' else
  '[{"station_id":' || cast(user_id as string) || ',"stationCode":"c' || cast(user_id as string)
- || '","is_installed":1,"is_renting":true,"is_returning":1,"last_reported":' || cast(ep as string)
+ || '","is_installed":1,"is_renting":' || case when event_id % 61 = 60 then 'true' else '1' end
+ || ',"is_returning":1,"last_reported":' || cast(ep as string)
  || ',"num_bikes_available":' || case when event_id % 67 = 66 then '99999999999999999999' else cast(b as string) end
  || ',"num_docks_available":' || cast(40 - b as string)
  || ',"num_bikes_available_types":[{"mechanical":' || cast(b - b % 3 as string) || '},{"ebike":' || cast(b % 3 as string) || '}]},'
@@ -181,17 +184,34 @@ def duckdb_sql(name: str) -> str:
     return _fill(DEFINITIONS[name], _DUCKDB, {t: t for t in SOURCES}).strip()
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of an input that is too small to be split by files.
+
+    Larger inputs already come in more pieces than there are cores and stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 class Tables:
     """Derived tables of one data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
-        self._paths = {t: f"parquet.`{sf_dir}/{t}.parquet`" for t in SOURCES}
+        self._dir = sf_dir
+
+    def _view(self, table: str) -> str:
+        path = f"{self._dir}/{table}.parquet"
+        name = f"kerbside_{table}_{zlib.crc32(path.encode())}"
+        _spread(self.spark.read.parquet(path)).createOrReplaceTempView(name)
+        return name
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in DEFINITIONS:
             raise AttributeError(name)
-        df = self.spark.sql(_fill(DEFINITIONS[name], _SPARK, self._paths))
+        text = DEFINITIONS[name]
+        views = {t: self._view(t) for t in SOURCES if f"<T:{t}>" in text}
+        df = self.spark.sql(_fill(text, _SPARK, views))
         if name in ("info_messages", "push_dlq"):
             df = df.withColumn("attributes", F.from_json("attributes", "map<string,string>"))
         return df

@@ -11,11 +11,13 @@ RADIUS = "2.0e0 * 6371010.0e0"
 
 
 def _distance(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"{RADIUS} * asin(least(1.0e0, sqrt(sin(radians({lat2} - {lat1}) / 2) * sin(radians({lat2} - {lat1}) / 2)"
+    """Great-circle metres, NULL for an unknown point (least() would skip the NULL)."""
+    h = (
+        f"(sin(radians({lat2} - {lat1}) / 2) * sin(radians({lat2} - {lat1}) / 2)"
         f" + cos(radians({lat1})) * cos(radians({lat2}))"
-        f" * sin(radians({lon2} - {lon1}) / 2) * sin(radians({lon2} - {lon1}) / 2))))"
+        f" * sin(radians({lon2} - {lon1}) / 2) * sin(radians({lon2} - {lon1}) / 2))"
     )
+    return f"{RADIUS} * asin(case when {h} > 1 then 1.0e0 else sqrt({h}) end)"
 
 
 def _strict(fn: str, a: str, b: str) -> str:
