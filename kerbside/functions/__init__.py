@@ -1,4 +1,4 @@
-from kerbside.functions.frames import evaluate_once
+from kerbside.functions.frames import evaluate_once, where_present
 from kerbside.functions.geo import (
     circle_wkt,
     haversine_m,
@@ -64,4 +64,5 @@ __all__ = [
     "strict_json",
     "unit_vector",
     "utc_suffix",
+    "where_present",
 ]

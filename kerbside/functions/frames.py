@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,4 +16,15 @@ def evaluate_once(df: DataFrame, columns: dict[str, Column], keep: Column | None
     generator of one row is where such pushing stops. ``keep`` drops rows on the way.
     """
     one = F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))
-    return df.select("*", F.inline(one if keep is None else F.when(keep, one)))
+    # explode, unlike inline, stays inside generated code
+    rows = df.select("*", F.explode(one if keep is None else F.when(keep, one)).alias("_once"))
+    return rows.select("*", "_once.*").drop("_once")
+
+
+def where_present(value: Column, rule: Callable[[Column], Column]) -> Column:
+    """``rule(value)``, NULL where ``value`` is.
+
+    For long rules that few rows need. Written as a lambda they stay out of the code Spark
+    generates for the row loop, which the JVM only compiles while it is short.
+    """
+    return F.try_element_at(F.transform(F.when(value.isNotNull(), F.array(value)), rule), F.lit(1))

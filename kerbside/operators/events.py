@@ -23,6 +23,7 @@ from kerbside.functions import (
     long_overflows,
     non_empty,
     strict_json,
+    where_present,
 )
 from kerbside.functions.json_values import MAX_EPOCH_S, MIN_EPOCH_S
 
@@ -131,50 +132,53 @@ def normalize_events(parsed: DataFrame) -> DataFrame:
     """
     return (
         _checked(parsed)
-        .withColumn("payload", F.when(F.col("error").isNull(), _normal_payload()))
+        .withColumn("payload", where_present(F.when(F.col("error").isNull(), F.col("event")), _normal_payload))
         .drop("_payload_kind", "_decoded")
     )
 
 
 def _checked(parsed: DataFrame) -> DataFrame:
     """Texts and final ``error``; ``_payload_kind`` and, for text payloads, ``_decoded``."""
-    event = F.col("event")
-    ok = F.col("error").isNull() & event.isNotNull()
-    missing = F.when(~is_truthy(event, "$.ingest_ts"), F.lit("ingest_ts"))
-    for name in fx.REQUIRED_TEXT_FIELDS:
-        missing = missing.when(~is_truthy(event, f"$.{name}"), F.lit(name))
+    texts = ("ingest_ts", "event_ts", *fx.REQUIRED_TEXT_FIELDS)
+    event = F.when(F.col("error").isNull(), F.col("event"))
+    fields = evaluate_once(parsed, {"_f": where_present(event, _event_fields)})
+    f = F.col("_f")
+    message = F.concat(F.lit("Missing "), f["missing"])
+    fields = fields.withColumn("error", F.coalesce("error", F.when(f["missing"].isNotNull(), _value_error(message))))
+    return fields.withColumns(
+        {
+            **{name: F.when(F.col("error").isNull(), f[name]) for name in texts},
+            "_payload_kind": f["payload_kind"],
+            "_decoded": f["decoded"],
+        }
+    ).drop("_f")
+
+
+def _event_fields(event: Column) -> Column:
+    """Struct of the texts of an event, its first missing field, and what its payload is."""
     # A snapshot's first station is reached without copying the payload; only other shapes
     # pay for deriving their type.
     is_snapshot_shape = json_text(event, "$.payload.data.stations[0].station_id").isNotNull()
-    payload_kind = F.when(is_snapshot_shape, "OBJECT").otherwise(json_kind(json_value(event, "$.payload")))
-    ingest_ts = json_text(event, "$.ingest_ts")
+    kind = F.when(is_snapshot_shape, "OBJECT").otherwise(json_kind(json_value(event, "$.payload")))
+    missing = F.when(~is_truthy(event, "$.ingest_ts"), F.lit("ingest_ts"))
+    for name in fx.REQUIRED_TEXT_FIELDS:
+        missing = missing.when(~is_truthy(event, f"$.{name}"), F.lit(name))
+    missing = missing.when(F.coalesce(kind, F.lit("VOID")) == "VOID", F.lit("payload"))
+    ingest_ts, text = json_text(event, "$.ingest_ts"), json_text(event, "$.payload")
     event_ts = F.when(is_truthy(event, "$.event_ts"), json_text(event, "$.event_ts")).otherwise(ingest_ts)
-    fields = evaluate_once(
-        parsed,
-        {
-            "_missing": F.when(ok, missing),
-            "_payload_kind": F.when(ok, payload_kind),
-            "_ingest_ts": ingest_ts,
-            "_event_ts": event_ts,
-            **{f"_{name}": json_text(event, f"$.{name}") for name in fx.REQUIRED_TEXT_FIELDS},
-        },
-    )
-    no_payload = ok & (F.coalesce("_payload_kind", F.lit("VOID")) == "VOID")
-    first_missing = F.coalesce("_missing", F.when(no_payload, F.lit("payload")))
-    message = F.concat(F.lit("Missing "), first_missing)
-    fields = fields.withColumn("error", F.coalesce("error", F.when(first_missing.isNotNull(), _value_error(message))))
-    texts = ("ingest_ts", "event_ts", *fx.REQUIRED_TEXT_FIELDS)
-    text = json_text(event, "$.payload")
-    return (
-        fields.withColumns({name: F.when(F.col("error").isNull(), F.col(f"_{name}")) for name in texts})
-        .drop("_missing", *[f"_{name}" for name in texts])
-        .withColumn("_decoded", F.when(F.col("_payload_kind") == "STRING", json_document(strict_json(text), text)))
+    return F.struct(
+        missing.alias("missing"),
+        kind.alias("payload_kind"),
+        ingest_ts.alias("ingest_ts"),
+        event_ts.alias("event_ts"),
+        *[json_text(event, f"$.{name}").alias(name) for name in fx.REQUIRED_TEXT_FIELDS],
+        F.when(kind == "STRING", json_document(strict_json(text), text)).alias("decoded"),
     )
 
 
-def _normal_payload() -> Column:
+def _normal_payload(event: Column) -> Column:
     """Objects and lists as they are; JSON text decoded; other text and scalars wrapped."""
-    event, kind, decoded = F.col("event"), F.col("_payload_kind"), F.col("_decoded")
+    kind, decoded = F.col("_payload_kind"), F.col("_decoded")
     payload = json_value(event, "$.payload")
     return (
         F.when(kind.isin("OBJECT", "ARRAY"), payload)
@@ -197,9 +201,9 @@ def _has_no_get(kind: Column) -> Column:
     return _error("AttributeError", F.concat(F.lit("'"), name, F.lit("' object has no attribute 'get'")))
 
 
-def _mapping_error() -> Column:
-    """Why a snapshot has no station list; looked at only when it has none."""
-    event, decoded = F.col("event"), F.col("_decoded")
+def _mapping_error(event: Column) -> Column:
+    """Why a snapshot has no station list."""
+    decoded = F.col("_decoded")
     payload_kind = F.coalesce(json_kind(decoded), F.col("_payload_kind"))
     data = F.coalesce(json_value(decoded, "$.data"), json_value(event, "$.payload.data"))
     payload_truthy = is_truthy(event, "$.payload") & F.coalesce(is_truthy(decoded, "$"), F.lit(True))
@@ -211,16 +215,17 @@ def _mapping_error() -> Column:
 
 
 def _integer(text: Column) -> Column:
-    return text.try_cast("bigint")
+    """Integer of a text that surely is one; a failing cast would cost an exception per value."""
+    return F.when(text.rlike(r"^\s*[+-]?\d{1,18}\s*$"), text.cast("bigint"))
 
 
 def _is_odd(text: Column) -> Column:
-    """Whether only the JSON type tells what a text that is no integer counts as.
+    """Whether only the JSON type tells what a text that is no plain integer counts as.
 
     A decimal truncates as a number but is nothing as a text, true is 1 or nothing, and too
     large an integer must be reported. Any other text counts as nothing whatever its type.
     """
-    return text.isNotNull() & _integer(text).isNull() & text.rlike(r"^(\s*[+-]?\d|true$|false$)")
+    return F.coalesce(text.rlike(r"^\s*[+-]?\d(?!\d{0,17}\s*$)|^(true|false)$"), F.lit(False))
 
 
 def _plain_bikes(types: Column, name: str, kinds: tuple[str, ...]) -> Column:
@@ -295,21 +300,25 @@ def _with_station_fields(elements: DataFrame) -> DataFrame:
         _plain_bikes(types, fx.MECHANICAL, (fx.MECHANICAL,)).alias("mechanical_available"),
         _plain_bikes(types, fx.EBIKE, fx.EBIKE_SYNONYMS).alias("ebike_available"),
     )
-    v = F.col("_exact")
-    exact = F.struct(
-        s["station_id"].alias("station_id"),
+    read = evaluate_once(elements, {"_s": F.from_json(text, STATION_SCHEMA, JSON_OPTIONS)})
+    is_ambiguous = s["station_id"].isNotNull() & ambiguous
+    judged = evaluate_once(read, {"_exact": F.when(is_ambiguous, F.try_parse_json(text))})
+    exact = where_present(F.col("_exact"), _exact_fields)
+    fields = evaluate_once(judged, {"_fields": F.when(F.col("_exact").isNotNull(), exact).otherwise(plain)})
+    return fields.select("*", "_fields.*", text.alias("raw_station_json")).drop("_fields", "_s")
+
+
+def _exact_fields(v: Column) -> Column:
+    return F.struct(
+        json_text(v, "$.station_id").alias("station_id"),
         _exact_code(v).alias("station_code"),
-        *[json_long(v, f"$.{n}").alias(n) for n in flags],
+        *[json_long(v, f"$.{n}").alias(n) for n in ("is_installed", "is_renting", "is_returning")],
         epoch_seconds(v, "$.last_reported").alias("last_reported_ts"),
         _exact_count(v, "num_bikes_available", "numBikesAvailable").alias("num_bikes_available"),
         _exact_count(v, "num_docks_available", "numDocksAvailable").alias("num_docks_available"),
         _exact_bikes(v, fx.MECHANICAL, (fx.MECHANICAL,)).alias("mechanical_available"),
         _exact_bikes(v, fx.EBIKE, fx.EBIKE_SYNONYMS).alias("ebike_available"),
     )
-    read = evaluate_once(elements, {"_s": F.from_json(text, STATION_SCHEMA, JSON_OPTIONS)})
-    judged = evaluate_once(read, {"_exact": F.when(s["station_id"].isNotNull() & ambiguous, F.try_parse_json(text))})
-    fields = evaluate_once(judged, {"_fields": F.when(v.isNotNull(), exact).otherwise(plain)})
-    return fields.select("*", "_fields.*", text.alias("raw_station_json")).drop("_fields", "_s")
 
 
 def _instant(text: Column) -> Column:
@@ -319,16 +328,30 @@ def _instant(text: Column) -> Column:
 
 def _sink_errors() -> Column:
     """Messages for values the typed table cannot hold, in column order; empty when it fits."""
-    exact = F.col("_exact")
-    checks = [
+    times = [
         F.when(_instant(F.col(name)).isNull(), F.concat(F.lit(f"Invalid timestamp in {name}: "), F.col(name)))
         for name in ("ingest_ts", "event_ts")
     ]
     # too large an integer is never a plain one
-    for name in ("is_installed", "is_renting", "is_returning", "num_bikes_available", "num_docks_available"):
-        too_large = exact.isNotNull() & long_overflows(exact, f"$.{name}")
-        checks.append(F.when(too_large, F.lit(f"Integer out of range in {name}")))
-    return F.array_compact(F.array(*checks))
+    numbers = F.coalesce(where_present(F.col("_exact"), _too_large), F.array().cast("array<string>"))
+    return F.concat(F.array_compact(F.array(*times)), numbers)
+
+
+def _too_large(station: Column) -> Column:
+    names = ("is_installed", "is_renting", "is_returning", "num_bikes_available", "num_docks_available")
+    return F.array_compact(
+        F.array(
+            *[F.when(long_overflows(station, f"$.{n}"), F.lit(f"Integer out of range in {n}")) for n in names]
+        )
+    )
+
+
+def _station_texts(event: Column) -> Column:
+    """JSON texts of the elements of the station list, NULL without a list."""
+    stations = F.coalesce(
+        json_list(event, "$.payload.data.stations"), json_list(F.col("_decoded"), "$.data.stations")
+    )
+    return F.transform(stations, lambda st: F.to_json(st))
 
 
 def flatten_status(events: DataFrame) -> DataFrame:
@@ -360,18 +383,12 @@ def route_snapshots(
     known = checked.withColumns({n: F.coalesce(plain[n], F.col(n)) for n in texts}).filter(
         error.isNotNull() | (F.col("event_type") == fx.SNAPSHOT_EVENT_TYPE)
     )
-    exact_list = F.coalesce(
-        json_list(F.col("event"), "$.payload.data.stations"), json_list(F.col("_decoded"), "$.data.stations")
-    )
-    exact_stations = F.when(
-        error.isNull() & plain.isNull(), F.transform(exact_list, lambda st: F.to_json(st))
-    )
-    listed = evaluate_once(known, {"_exact_stations": exact_stations}).withColumn(
+    usable_event = F.when(error.isNull(), F.col("event"))
+    listed = evaluate_once(known, {"_exact_stations": where_present(usable_event, _station_texts)}).withColumn(
         "stations", F.coalesce(plain["stations"], F.col("_exact_stations"))
     )
-    mapped = evaluate_once(
-        listed, {"mapping_error": F.when(error.isNull() & F.col("stations").isNull(), _mapping_error())}
-    )
+    unlisted = F.when(error.isNull() & F.col("stations").isNull(), F.col("event"))
+    mapped = evaluate_once(listed, {"mapping_error": where_present(unlisted, _mapping_error)})
     is_mapping = F.col("mapping_error").isNotNull()
     failed = error.isNotNull() | is_mapping
     meta = F.to_json(F.struct("source", "event_type", "key", "ingest_ts", "event_ts"))
