@@ -206,7 +206,7 @@ def _mapping_error(event: Column) -> Column:
     decoded = F.col("_decoded")
     payload_kind = F.coalesce(json_kind(decoded), F.col("_payload_kind"))
     data = F.coalesce(json_value(decoded, "$.data"), json_value(event, "$.payload.data"))
-    payload_truthy = is_truthy(event, "$.payload") & F.coalesce(is_truthy(decoded, "$"), F.lit(True))
+    payload_truthy = F.when(decoded.isNull(), is_truthy(event, "$.payload")).otherwise(is_truthy(decoded, "$"))
     return (
         F.when((payload_kind == "ARRAY") & payload_truthy, _has_no_get(payload_kind))
         .when((json_kind(data) != "OBJECT") & is_truthy(data, "$"), _has_no_get(json_kind(data)))
