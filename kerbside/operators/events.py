@@ -267,19 +267,16 @@ def _exact_count(station: Column, snake: str, camel: str) -> Column:
 def _with_station_fields(elements: DataFrame) -> DataFrame:
     """Adds the status fields of column ``station`` (JSON text of a list element).
 
-    ``_exact`` holds the element as VARIANT where its texts alone are ambiguous.
+    Elements without a station id are left out; rows with a NULL ``station`` stay. ``_exact`` holds the element as VARIANT where its texts alone are ambiguous.
     """
     text, s = F.col("station"), F.col("_s")
     types = s["num_bikes_available_types"]
     flags = ("is_installed", "is_renting", "is_returning")
     numbers = (*flags, "last_reported", "num_bikes_available", "numBikesAvailable", "num_docks_available",
                "numDocksAvailable")
-    ambiguous = text.rlike(r'"(mechanical|ebike|count)"\s*:\s*null')
+    # a count that is not plainly an integer, quoted or not
+    ambiguous = text.rlike(r'"(mechanical|ebike|count)"\s*:\s*(?!"?\d{1,18}"?\s*[,}])')
     ambiguous = ambiguous | (types.isNull() & text.contains('"num_bikes_available_types"'))
-    ambiguous = ambiguous | F.exists(
-        F.coalesce(types, F.array().cast(BIKE_TYPES)),
-        lambda i: _is_odd(i["mechanical"]) | _is_odd(i["ebike"]) | _is_odd(i["count"]),
-    )
     for name in numbers:
         ambiguous = ambiguous | _is_odd(s[name])
     for name in ("stationCode", "station_code"):
@@ -301,10 +298,11 @@ def _with_station_fields(elements: DataFrame) -> DataFrame:
         _plain_bikes(types, fx.EBIKE, fx.EBIKE_SYNONYMS).alias("ebike_available"),
     )
     read = evaluate_once(elements, {"_s": F.from_json(text, STATION_SCHEMA, JSON_OPTIONS)})
-    is_ambiguous = s["station_id"].isNotNull() & ambiguous
-    judged = evaluate_once(read, {"_exact": F.when(is_ambiguous, F.try_parse_json(text))})
+    # rows without an element are dead letters under way
+    stations = read.filter(text.isNull() | s["station_id"].isNotNull())
+    judged = evaluate_once(stations, {"_exact": F.when(ambiguous, F.try_parse_json(text))})
     exact = where_present(F.col("_exact"), _exact_fields)
-    fields = evaluate_once(judged, {"_fields": F.when(F.col("_exact").isNotNull(), exact).otherwise(plain)})
+    fields = judged.withColumn("_fields", F.when(F.col("_exact").isNotNull(), exact).otherwise(plain))
     return fields.select("*", "_fields.*", text.alias("raw_station_json")).drop("_fields", "_s")
 
 
@@ -365,7 +363,7 @@ def flatten_status(events: DataFrame) -> DataFrame:
         F.coalesce(non_empty("event_ts"), F.col("ingest_ts")).alias("event_ts"),
         F.explode(F.transform(stations, lambda st: F.to_json(st))).alias("station"),
     )
-    return _with_station_fields(elements).filter(F.col("station_id").isNotNull()).select(*STATUS_COLUMNS)
+    return _with_station_fields(elements.filter(F.col("station").isNotNull())).select(*STATUS_COLUMNS)
 
 
 def route_snapshots(
@@ -404,11 +402,9 @@ def route_snapshots(
         # a dead letter travels as one row without a station
         F.explode(F.when(failed, F.array(F.lit(None).cast("string"))).otherwise(F.col("stations"))).alias("station"),
     )
-    rows = (
-        _with_station_fields(elements)
-        .filter(F.col("stage").isNotNull() | F.col("station_id").isNotNull())
-        .withColumn("_sink", F.when(F.col("stage").isNull(), _sink_errors()))
-    )
+    # a NULL element of a list is no station, only a dead letter may go without one
+    present = elements.filter(F.col("stage").isNotNull() | F.col("station").isNotNull())
+    rows = _with_station_fields(present).withColumn("_sink", F.when(F.col("stage").isNull(), _sink_errors()))
     refused = F.coalesce(F.size("_sink") > 0, F.lit(False))
     row_json = F.to_json(F.struct(*STATUS_COLUMNS), {"ignoreNullFields": "false"})
     sink_errors = F.to_json(F.transform("_sink", lambda m: F.struct(m.alias("message"))))

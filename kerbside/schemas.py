@@ -1,53 +1,38 @@
-"""Column types of the tables this package reads and writes."""
+"""Column types of the tables this package reads and writes, as DDL texts for ``.schema(...)``."""
 
-from pyspark.sql import types as T
-
-
-def _schema(ddl: str, required: tuple[str, ...] = ()) -> T.StructType:
-    parsed = T.StructType.fromDDL(ddl)
-    return T.StructType(
-        [T.StructField(f.name, f.dataType, f.name not in required) for f in parsed.fields]
-    )
-
-
-RAW_EVENTS = _schema(
-    "ingest_ts timestamp, event_ts timestamp, source string, event_type string, key string, payload string",
-    ("ingest_ts", "source", "event_type", "key", "payload"),
+RAW_EVENTS = (
+    "ingest_ts timestamp NOT NULL, event_ts timestamp, source string NOT NULL, event_type string NOT NULL,"
+    " key string NOT NULL, payload string NOT NULL"
 )
 
-STATION_STATUS = _schema(
-    "ingest_ts timestamp, event_ts timestamp, station_id string, station_code string, "
-    "is_installed bigint, is_renting bigint, is_returning bigint, last_reported_ts timestamp, "
-    "num_bikes_available bigint, num_docks_available bigint, mechanical_available bigint, "
-    "ebike_available bigint, raw_station_json string",
-    ("ingest_ts", "station_id"),
+STATION_STATUS = (
+    "ingest_ts timestamp NOT NULL, event_ts timestamp, station_id string NOT NULL, station_code string,"
+    " is_installed bigint, is_renting bigint, is_returning bigint, last_reported_ts timestamp,"
+    " num_bikes_available bigint, num_docks_available bigint, mechanical_available bigint,"
+    " ebike_available bigint, raw_station_json string"
 )
 
-STATION_INFORMATION = _schema(
-    "ingest_ts timestamp, event_ts timestamp, station_id string, station_code string, name string, "
-    "lat double, lon double, capacity bigint, address string, post_code string, raw_station_json string",
-    ("ingest_ts", "station_id"),
+STATION_INFORMATION = (
+    "ingest_ts timestamp NOT NULL, event_ts timestamp, station_id string NOT NULL, station_code string, name string,"
+    " lat double, lon double, capacity bigint, address string, post_code string, raw_station_json string"
 )
 
-DEAD_LETTERS = _schema(
-    "dlq_ts timestamp, stage string, error_type string, error_message string, raw string, "
-    "event_meta string, row_json string, sink_errors string",
-    ("dlq_ts", "stage", "error_type", "error_message"),
+DEAD_LETTERS = (
+    "dlq_ts timestamp NOT NULL, stage string NOT NULL, error_type string NOT NULL, error_message string NOT NULL,"
+    " raw string, event_meta string, row_json string, sink_errors string"
 )
 
-PUSH_DEAD_LETTERS = _schema(
-    "subscription_name string, message_id string, publish_time timestamp, data binary, "
-    "attributes map<string,string>"
+PUSH_DEAD_LETTERS = (
+    "subscription_name string, message_id string, publish_time timestamp, data binary,"
+    " attributes map<string,string>"
 )
 
-STOPS_REFERENCE = _schema(
-    "zda_id bigint, name string, lat double, lon double, town string, type string"
-)
+STOPS_REFERENCE = "zda_id bigint, name string, lat double, lon double, town string, type string"
 
-ZONE_BRIDGE = _schema("ZdAId bigint, ZdCId bigint")
+ZONE_BRIDGE = "ZdAId bigint, ZdCId bigint"
 
-STAGED_DISRUPTIONS = _schema(
-    "ingest_ts timestamp, disruption_id string, cause string, severity string, title string, "
-    "short_message string, message_html string, last_update timestamp, application_periods string, "
-    "impacted_sections string"
+STAGED_DISRUPTIONS = (
+    "ingest_ts timestamp, disruption_id string, cause string, severity string, title string,"
+    " short_message string, message_html string, last_update timestamp, application_periods string,"
+    " impacted_sections string"
 )

@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -34,7 +34,7 @@ def stream_kafka(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return source.select(F.col("value").cast("string").alias("value"))
 
 
-def read_seed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Reference table from CSV with declared types (no inference pass)."""
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
