@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +16,13 @@ BATCH_ROWS = "1000"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Settings these operators rely on: AQE with skew handling, and small Arrow batches of texts."""
+    """Settings these operators rely on: AQE with skew handling, small Arrow batches of texts, and this
+    package on the Python workers' path (where it lies at another place there, ship it with --py-files)."""
     configure(spark)
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
