@@ -48,7 +48,6 @@ NOT_CONTENT_WORDS = frozenset(
 )
 CONTENT_TAGS = frozenset({"article", "main"})
 
-_SPACE = re.compile(r"\s+")
 _NAME_PARTS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -117,9 +116,13 @@ class PageLines(HTMLParser):
         self.pieces: list[str] = []
         self.tags = 0
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Line and column of a tag are not asked for; counting lines would read every page once more."""
+        return j
+
     def _flush(self) -> None:
         if self.pieces:
-            text = _SPACE.sub(" ", "".join(self.pieces)).strip()
+            text = " ".join("".join(self.pieces).split())
             self.pieces = []
             if text:
                 top = self.stack[-1]
