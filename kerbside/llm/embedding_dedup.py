@@ -63,7 +63,7 @@ def fit_tables(sample: np.ndarray, largest: int, threshold: float, recall: float
     """
     n, d = sample.shape
     rng = np.random.default_rng(5)
-    bits = int(np.clip(round(math.log2(max(largest, 1) / bucket)) if largest else 4, 4, 24))
+    bits = int(np.clip(round(math.log2(max(largest, 1) / bucket)), 0, 24))
     center = sample.mean(0) if n else np.zeros(d)
     x = sample - center
     axes = np.linalg.eigh(x.T @ x)[1][:, ::-1] if n else np.eye(d)
@@ -75,6 +75,8 @@ def fit_tables(sample: np.ndarray, largest: int, threshold: float, recall: float
     side = np.divide(side, norms, out=np.zeros_like(side), where=norms > 0)
     turned = threshold * probe + math.sqrt(max(0.0, 1 - threshold * threshold)) * side
     rotations, cuts = np.zeros((d, 0)), np.zeros(0)
+    if not bits:  # so few that all share one bucket
+        return HammingTables(center, rotations, cuts, 0, 1)
     while True:
         start = np.linalg.qr(rng.normal(size=(d, d)))[0]
         view = axes @ _itq(x @ axes, start) if n > 1 else start
@@ -108,7 +110,11 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray, names: np.ndarray) -> np.ndarr
 
 
 def near_vectors(
-    embeddings: DataFrame, threshold: float = 0.98, sample_rows: int = 4096, block_rows: int = 256
+    embeddings: DataFrame,
+    threshold: float = 0.98,
+    sample_rows: int = 4096,
+    block_rows: int = 256,
+    bucket_rows: int = 256,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per vec_id.
 
@@ -116,7 +122,8 @@ def near_vectors(
     NULL, empty, zero, or hold NULL or non-finite components link with nothing, nor do vectors of
     different lengths. A vec_id that is repeated counts once, with its smallest label and vector; a row
     with a NULL vec_id has no links and a NULL component. Other columns are not read. The sample for the
-    rotation is ``sample_rows`` rows at most per vector length; every row is indexed.
+    rotation is ``sample_rows`` rows at most per vector length; every row is indexed. ``bucket_rows`` is
+    the wanted size of a bucket, ``block_rows`` the most rows a task compares with as many others.
     """
     rows = embeddings.groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select(
         "vec_id", "v.label", F.col("v.embedding").cast("array<double>").alias("embedding")
@@ -148,7 +155,7 @@ def near_vectors(
         )
         found = drawn.orderBy("first_id").limit(sample_rows).select("embedding").collect()
         sample = _unit(np.array([x.embedding for x in found])) if found else np.zeros((0, r.length))
-        tables[r.length] = fit_tables(sample, r.largest, threshold)
+        tables[r.length] = fit_tables(sample, r.largest, threshold, bucket=bucket_rows)
 
     kind, label_kind = (rows.schema[c].dataType.simpleString() for c in ("vec_id", "label"))
 
