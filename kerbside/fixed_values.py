@@ -6,7 +6,6 @@ Fixed values: these must be spelled exactly like this for results to be right.
 # Event routing
 SNAPSHOT_EVENT_TYPE = "station_status_snapshot"
 REQUIRED_TEXT_FIELDS = ("source", "event_type", "key")
-RAW_TEXT_LIMIT = 200_000
 
 # Dead-letter stages, error types and messages
 STAGE_PARSE = "parse_normalize"

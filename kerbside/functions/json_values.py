@@ -78,7 +78,13 @@ def epoch_seconds(v: Column, path: str) -> Column:
 
 
 def long_overflows(v: Column, path: str) -> Column:
-    """True when the member is an integer too large for BIGINT."""
-    return json_long(v, path).isNull() & F.coalesce(
-        json_text(v, path).rlike(r"^\s*[+-]?\d{19,}\s*$"), F.lit(False)
-    )
+    """True when the member is an integer or a finite float too large for BIGINT.
+
+    A number only counts as a float if it is none in quotes: a text like that is no integer at all.
+    """
+    text = json_text(v, path)
+    digits = F.coalesce(text.rlike(r"^\s*[+-]?\d{19,}\s*$"), F.lit(False))
+    is_number = F.coalesce(json_kind(json_value(v, path)).isin("DECIMAL", "DOUBLE", "FLOAT"), F.lit(False))
+    size = F.abs(F.try_variant_get(v, path, "double"))
+    huge = is_number & F.coalesce((size >= 2.0**63) & (size < float("inf")), F.lit(False))
+    return json_long(v, path).isNull() & (digits | huge)

@@ -238,8 +238,8 @@ def _plain_bikes(types: Column, name: str, kinds: tuple[str, ...]) -> Column:
     return _integer(F.when(by_kind(last), last["count"]).otherwise(last[name]))
 
 
-def _exact_bikes(station: Column, name: str, kinds: tuple[str, ...]) -> Column:
-    """The same from a VARIANT element, where a member may be present and null."""
+def _last_mention(station: Column, name: str, kinds: tuple[str, ...]) -> tuple[Column, Column]:
+    """The last entry about one kind of bike, and whether it names the kind beside a count."""
     items = F.coalesce(json_list(station, "$.num_bikes_available_types"), F.array().cast("array<variant>"))
 
     def by_kind(item: Column) -> Column:
@@ -248,7 +248,13 @@ def _exact_bikes(station: Column, name: str, kinds: tuple[str, ...]) -> Column:
 
     mentions = F.filter(items, lambda i: by_kind(i) | json_value(i, f"$.{name}").isNotNull())
     last = F.try_element_at(mentions, F.lit(-1))
-    return F.when(by_kind(last), json_long(last, "$.count")).otherwise(json_long(last, f"$.{name}"))
+    return last, by_kind(last)
+
+
+def _exact_bikes(station: Column, name: str, kinds: tuple[str, ...]) -> Column:
+    """Its count from a VARIANT element, where a member may be present and null."""
+    last, by_kind = _last_mention(station, name, kinds)
+    return F.when(by_kind, json_long(last, "$.count")).otherwise(json_long(last, f"$.{name}"))
 
 
 def _exact_code(station: Column) -> Column:
@@ -336,12 +342,27 @@ def _sink_errors() -> Column:
 
 
 def _too_large(station: Column) -> Column:
-    names = ("is_installed", "is_renting", "is_returning", "num_bikes_available", "num_docks_available")
-    return F.array_compact(
-        F.array(
-            *[F.when(long_overflows(station, f"$.{n}"), F.lit(f"Integer out of range in {n}")) for n in names]
+    """Messages for integers, written as such or as integral floats, that no BIGINT column holds."""
+    flags = [
+        F.when(long_overflows(station, f"$.{n}"), F.lit(f"Integer out of range in {n}"))
+        for n in ("is_installed", "is_renting", "is_returning")
+    ]
+    counts = []
+    for snake, camel in (("num_bikes_available", "numBikesAvailable"), ("num_docks_available", "numDocksAvailable")):
+        chosen = F.when(json_text(station, f"$.{snake}").isNull(), long_overflows(station, f"$.{camel}")).otherwise(
+            long_overflows(station, f"$.{snake}")
         )
-    )
+        counts.append(F.when(chosen, F.lit(f"Integer out of range in {snake}")))
+    bikes = [
+        F.when(_bikes_overflow(station, name, kinds), F.lit(f"Integer out of range in {name}_available"))
+        for name, kinds in ((fx.MECHANICAL, (fx.MECHANICAL,)), (fx.EBIKE, fx.EBIKE_SYNONYMS))
+    ]
+    return F.array_compact(F.array(*flags, *counts, *bikes))
+
+
+def _bikes_overflow(station: Column, name: str, kinds: tuple[str, ...]) -> Column:
+    last, by_kind = _last_mention(station, name, kinds)
+    return F.coalesce(F.when(by_kind, long_overflows(last, "$.count")).otherwise(long_overflows(last, f"$.{name}")), F.lit(False))
 
 
 def _station_texts(event: Column) -> Column:
@@ -390,14 +411,15 @@ def route_snapshots(
     is_mapping = F.col("mapping_error").isNotNull()
     failed = error.isNotNull() | is_mapping
     meta = F.to_json(F.struct("source", "event_type", "key", "ingest_ts", "event_ts"))
+    # the event as it is after normalisation, whole
+    normal_event = F.to_json(F.struct("ingest_ts", "event_ts", "source", "event_type", "key", "payload"))
+    mapped = mapped.withColumn("payload", where_present(F.when(is_mapping, F.col("event")), _normal_payload))
     elements = mapped.select(
         "ingest_ts",
         "event_ts",
         F.coalesce("error", "mapping_error").alias("error"),
         F.when(error.isNotNull(), fx.STAGE_PARSE).when(is_mapping, fx.STAGE_MAPPING).alias("stage"),
-        F.when(error.isNotNull(), F.left(F.make_valid_utf8("value"), F.lit(fx.RAW_TEXT_LIMIT)))
-        .when(is_mapping, F.left(F.to_json("event"), F.lit(fx.RAW_TEXT_LIMIT)))
-        .alias("raw"),
+        F.when(error.isNotNull(), F.make_valid_utf8("value")).when(is_mapping, normal_event).alias("raw"),
         F.when(is_mapping, meta).alias("event_meta"),
         # a dead letter travels as one row without a station
         F.explode(F.when(failed, F.array(F.lit(None).cast("string"))).otherwise(F.col("stations"))).alias("station"),
@@ -453,12 +475,26 @@ def with_dlq_counters(routed: DataFrame, name: str = "dlq") -> DataFrame:
     return routed.observe(name, *[F.count_if(F.col("stage") == s).alias(c) for s, c in DLQ_COUNTERS.items()])
 
 
-def replay_status_dead_letters(dlq: DataFrame) -> DataFrame:
-    """Raw text of parse and mapping dead letters as input lines for another run.
+def replay_status_dead_letters(dlq: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
+    """Raw text of parse and mapping dead letters as input lines (``value``) for another run.
 
-    A text cut at the storage limit cannot be complete, so it stays where it is.
+    ``ledger`` (column ``digest``) holds the digests of texts that were replayed before: a line that
+    fails again comes back with the same text, and the loop guard keeps it out of the next replay.
     """
-    whole = F.length("raw") < fx.RAW_TEXT_LIMIT
-    return dlq.filter(F.col("stage").isin(fx.STAGE_PARSE, fx.STAGE_MAPPING) & whole).select(
-        F.col("raw").alias("value")
+    waiting = dlq.filter(F.col("stage").isin(fx.STAGE_PARSE, fx.STAGE_MAPPING)).select(
+        F.col("raw").alias("value"), F.sha2("raw", 256).alias("digest")
     )
+    if ledger is not None:
+        waiting = waiting.join(ledger.select("digest").distinct(), "digest", "left_anti")
+    return waiting.select("value")
+
+
+def replay_ledger(lines: DataFrame) -> DataFrame:
+    """Digests of replayed lines, and of what mapping makes of them: rows for the ledger.
+
+    A line that fails in the mapping stage is stored as its normalised event, which reads differently from
+    the line; both texts are remembered.
+    """
+    again = dead_letters(route_snapshots(lines)).filter(F.col("stage").isin(fx.STAGE_PARSE, fx.STAGE_MAPPING))
+    texts = lines.select("value").unionAll(again.select(F.col("raw").alias("value")))
+    return texts.select(F.sha2("value", 256).alias("digest")).distinct()

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import logging
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside import fixed_values as fx
 
+_LOG = logging.getLogger(__name__)
+
 PLAN_COLUMNS = ("message_id", "publish_time", "data", "attributes", "action", "acknowledge")
 
 
@@ -14,13 +18,13 @@ def plan_replay(
     dlq: DataFrame,
     run_id: str,
     source: str,
-    max_messages: int = fx.MAX_REPLAY_MESSAGES,
+    max_messages: int | None = fx.MAX_REPLAY_MESSAGES,
     dry_run: bool = False,
     enabled: bool = True,
     ack_skipped: bool = False,
     ledger: DataFrame | None = None,
 ) -> DataFrame:
-    """What one replay run does with the oldest dead letters.
+    """What one replay run does with the oldest ``max_messages`` dead letters, or with all of them (None).
 
     ``action`` is ``republished`` or ``skipped`` (the loop guard: already replayed once).
     ``acknowledge`` marks messages that must not come back; the ledger of earlier runs keeps
@@ -30,7 +34,9 @@ def plan_replay(
     waiting = dlq if enabled else dlq.filter(F.lit(False))
     if ledger is not None:
         waiting = waiting.join(ledger.select("message_id").distinct(), "message_id", "left_anti")
-    pulled = waiting.orderBy(F.asc("publish_time"), F.asc("message_id")).limit(max_messages)
+    pulled = waiting
+    if max_messages is not None:
+        pulled = waiting.orderBy(F.asc("publish_time"), F.asc("message_id")).limit(max_messages)
     replayed = F.coalesce(F.lower(F.col("attributes")[fx.REPLAY_ATTRIBUTE]) == "true", F.lit(False))
     stamps = {
         fx.REPLAY_ATTRIBUTE: "true",
@@ -51,8 +57,20 @@ def plan_replay(
     )
 
 
-def summarise_replay(plan: DataFrame) -> DataFrame:
-    """One row: pulled, republished, acked, skipped, failed."""
+def summarise_replay(plan: DataFrame, written: DataFrame | None = None) -> DataFrame:
+    """One row: pulled, republished, acked, skipped, failed.
+
+    With ``written``, the batch a run has stored, planned messages that are not in it count as failed
+    and are not acknowledged.
+    """
+    if written is not None:
+        stored = written.select("message_id", F.lit(True).alias("_stored")).distinct()
+        missing = (F.col("action") == "republished") & F.col("_stored").isNull()
+        plan = (
+            plan.join(stored, "message_id", "left")
+            .withColumn("acknowledge", F.col("acknowledge") & ~missing)
+            .withColumn("action", F.when(missing, "failed").otherwise(F.col("action")))
+        )
     action = F.col("action")
     return plan.agg(
         F.count(F.lit(1)).alias("pulled"),
@@ -63,20 +81,26 @@ def summarise_replay(plan: DataFrame) -> DataFrame:
     )
 
 
-def run_replay(plan: DataFrame, batch_path: str, ledger_path: str, dry_run: bool = False) -> int:
-    """Write the messages to replay, then remember them; 0 on success, 2 on failure.
+def run_replay(plan: DataFrame, batch_path: str, ledger_path: str, run_id: str, dry_run: bool = False) -> int:
+    """Write the messages to replay under the run's id, then remember them; 0 on success, 2 on failure.
 
-    The plan is bounded by its message limit. The batch is written before the ledger: a run that
-    dies between the two is repeated, never lost.
+    The batch comes first and replaces what an earlier attempt of the same run has written; the ledger is
+    filled from the stored batch and plan, so a run that dies between the two can be repeated without
+    losing or doubling a message. The error of a failed run goes to the log.
     """
     if dry_run:
         return 0
-    held = plan.persist()
+    batch, stored = f"{batch_path}/run_id={run_id}", f"{ledger_path}/run_id={run_id}"
     try:
-        held.filter("action = 'republished'").drop("action", "acknowledge").write.mode("append").parquet(batch_path)
-        held.filter("acknowledge").select("message_id").write.mode("append").parquet(ledger_path)
-    except Exception:  # noqa: BLE001 - a failed run reports and leaves its messages for the next one
+        plan.write.mode("overwrite").partitionBy("action", "acknowledge").parquet(batch)
+        done = plan.sparkSession.read.schema(plan.schema).parquet(batch)
+        done.filter("acknowledge").select("message_id").write.mode("overwrite").parquet(stored)
+    except Exception:  # a failed run reports and leaves its messages for the next one
+        _LOG.exception("replay run %s failed", run_id)
         return 2
-    finally:
-        held.unpersist()
     return 0
+
+
+def replayed_messages(spark: SparkSession, batch_path: str) -> DataFrame:
+    """Messages that the runs under ``batch_path`` have republished."""
+    return spark.read.parquet(batch_path).filter("action = 'republished'").drop("action", "acknowledge")

@@ -14,8 +14,8 @@ def flatten_station_info(
 ) -> DataFrame:
     """Pushed metadata messages as one row per station with a non-blank id.
 
-    ``received_at`` replaces a missing ingest time. Unlike in the status feed, a missing
-    station code is the empty text.
+    ``received_at`` replaces a missing ingest time; a message with an unreadable time or number is not
+    accepted at all, it is retried. Unlike in the status feed, a missing station code is the empty text.
     """
     event, station = F.col("event"), F.col("station")
     now = received_at if received_at is not None else F.current_timestamp()

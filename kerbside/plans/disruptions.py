@@ -93,8 +93,8 @@ def pick_bridge(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("ZdCId").agg(F.min("ZdAId").alias("ZdAId"))
 
 
-def resolve_stops(sections: DataFrame, bridge: DataFrame, stops: DataFrame) -> DataFrame:
-    """Names and coordinates of both ends of a section; unknown zones stay NULL.
+def resolve_stops(sections: DataFrame, bridge: DataFrame, stops: DataFrame, with_towns: bool = False) -> DataFrame:
+    """Names and coordinates (and towns) of both ends of a section; unknown zones stay NULL.
 
     Bridge and stops are joined once to a small zone table that serves both roles.
     """
@@ -104,6 +104,7 @@ def resolve_stops(sections: DataFrame, bridge: DataFrame, stops: DataFrame) -> D
         return zones.select(
             F.col("ZdCId").alias(f"{name}_zdc_id"),
             F.col("name").alias(f"{name}_stop_name"),
+            *([F.col("town").alias(f"{name}_stop_town")] if with_towns else []),
             F.col("lat").alias(f"{name}_lat"),
             F.col("lon").alias(f"{name}_lon"),
         )
@@ -115,16 +116,21 @@ def resolve_stops(sections: DataFrame, bridge: DataFrame, stops: DataFrame) -> D
             "disruption_id", "ingest_ts", "cause", "severity", "title", "last_update",
             "from_zdc_id", "from_stop_name", "from_lat", "from_lon",
             "to_zdc_id", "to_stop_name", "to_lat", "to_lon",
+            *(["from_stop_town", "to_stop_town"] if with_towns else []),
         )
     )
 
 
 def disruption_sections(
-    staged: DataFrame, bridge: DataFrame, stops: DataFrame, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,)
+    staged: DataFrame,
+    bridge: DataFrame,
+    stops: DataFrame,
+    severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,),
+    with_towns: bool = False,
 ) -> DataFrame:
     """Impacted sections of disruptions whose newest poll has one of the severities."""
     latest = latest_disruptions(staged).filter(F.col("severity").isin(*severities))
-    return resolve_stops(impacted_sections(latest), bridge, stops)
+    return resolve_stops(impacted_sections(latest), bridge, stops, with_towns)
 
 
 def active_sections(sections: DataFrame) -> DataFrame:

@@ -1,7 +1,9 @@
 from kerbside.sources.landing import (
+    disruption_response_errors,
     explode_disruptions,
     land_raw,
     push_outcomes,
+    raw_outcomes,
     wrap_snapshot,
 )
 from kerbside.sources.readers import (
@@ -24,6 +26,7 @@ from kerbside.sources.sinks import (
 __all__ = [
     "Catalog",
     "append_by_day",
+    "disruption_response_errors",
     "explode_disruptions",
     "land_raw",
     "merge_incremental",
@@ -31,6 +34,7 @@ __all__ = [
     "publish_view",
     "push_dead_letters",
     "push_outcomes",
+    "raw_outcomes",
     "read_lines",
     "read_seed",
     "stream_kafka",

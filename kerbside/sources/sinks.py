@@ -69,33 +69,41 @@ def merge_incremental(
     keys: list[str],
     order: list[Column],
     ts: str = "ingest_ts",
-    lookback: str = "1 minute",
+    lookback: str | None = "1 minute",
     evolve_schema: bool = False,
+    cluster_by: list[str] | None = None,
 ) -> None:
     """Load rows newer than the target's newest ``ts`` minus ``lookback``; equal keys are replaced.
 
-    The target is Parquet partitioned by month. Only months at or after the high-water mark
-    are read back and rewritten, through dynamic partition overwrite, so the cost follows the
-    new data and not the history. Running it twice on the same input changes nothing. With
-    ``evolve_schema`` columns that only one side has are kept, as NULL on the other side.
+    Without a ``lookback`` all rows are loaded, however old, as a stream needs it whose files do not
+    come in the order of ``ts``. The target is Parquet partitioned by month. Only months from the
+    high-water mark on, or those the new rows belong to, are read back and rewritten, through dynamic
+    partition overwrite, so the cost follows the new data and not the history; a reader may see
+    a month between its old and new files. Running it twice on the same input changes nothing. With
+    ``evolve_schema`` columns that only one side has are kept, as NULL on the other side. Files are
+    sorted by ``cluster_by`` (the first key without it).
     """
     incoming = new.withColumn("ingest_month", F.date_format(ts, "yyyyMM")).withColumn("_is_new", F.lit(True))
     target = _existing_table(new.sparkSession, path, evolve_schema)
-    if target is not None:
-        mark = F.max(ts) - F.expr(f"interval {lookback}")
-        newest = target.agg(mark.alias("mark")).select("mark", F.date_format("mark", "yyyyMM").alias("month")).first()
-        if newest["mark"] is not None:
-            incoming = incoming.filter(F.col(ts) > F.lit(newest["mark"]))
+    if target is not None and lookback is None:
+        # the months of this load: a few texts
+        months = [int(r[0]) for r in incoming.select("ingest_month").dropna().distinct().collect()]
+        kept = target.filter(F.col("ingest_month").isin(months) if months else F.lit(False))
+        incoming = _with_kept(incoming, kept, evolve_schema)
+    elif target is not None:
+        newest = _newest_month(target)
+        if newest is not None:
+            # the newest rows lie in the newest month; no other partition is read for the mark
+            mark = F.max(ts) - F.expr(f"interval {lookback}")
+            row = target.filter(F.col("ingest_month") == newest).agg(mark.alias("mark")).first()
+            incoming = incoming.filter(F.col(ts) > F.lit(row["mark"]))
             # a literal month, so that older partitions are pruned without being listed
-            kept = target.filter(F.col("ingest_month") >= int(newest["month"]))
-            kept = kept.withColumn("ingest_month", F.col("ingest_month").cast("string"))
-            incoming = incoming.unionByName(
-                kept.withColumn("_is_new", F.lit(False)), allowMissingColumns=evolve_schema
-            )
+            kept = target.filter(F.col("ingest_month") >= int(row["mark"].strftime("%Y%m")))
+            incoming = _with_kept(incoming, kept, evolve_schema)
     merged = latest_by(incoming, keys, [F.desc("_is_new"), *order]).drop("_is_new")
     (
         merged.hint("rebalance", "ingest_month")
-        .sortWithinPartitions("ingest_month", *keys[:1])
+        .sortWithinPartitions("ingest_month", *(cluster_by or keys[:1]))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_month")
@@ -103,8 +111,22 @@ def merge_incremental(
     )
 
 
+def _with_kept(incoming: DataFrame, kept: DataFrame, evolve_schema: bool) -> DataFrame:
+    kept = kept.withColumn("ingest_month", F.col("ingest_month").cast("string")).withColumn("_is_new", F.lit(False))
+    return incoming.unionByName(kept, allowMissingColumns=evolve_schema)
+
+
+def _newest_month(target: DataFrame) -> int | None:
+    """Newest month that has rows, from the folder names; rows without a time have no month."""
+    months = target.filter("ingest_month is not null").select(F.max("ingest_month").alias("m")).first()
+    return months["m"]
+
+
 def _existing_table(spark: SparkSession, path: str, merge_schema: bool) -> DataFrame | None:
+    """The target, None if there is none yet. A target that can't be read is an error, not an absence."""
     try:
         return spark.read.option("mergeSchema", merge_schema).parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

@@ -1,17 +1,23 @@
 from kerbside.streaming.curation import run_curation
 from kerbside.streaming.live import (
+    deduplicate_stream,
     enrich_stream,
-    run_live_state,
     read_live_state,
+    run_append,
+    run_live_state,
+    run_windowed_totals,
     windowed_totals,
 )
 from kerbside.streaming.staging import run_disruption_staging
 
 __all__ = [
+    "deduplicate_stream",
     "enrich_stream",
     "read_live_state",
+    "run_append",
     "run_curation",
     "run_disruption_staging",
     "run_live_state",
+    "run_windowed_totals",
     "windowed_totals",
 ]

@@ -19,19 +19,36 @@ def latest_state_stream(status: DataFrame, tie_break: list[str] | None = None) -
 
 
 def run_live_state(
-    status: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, tie_break: list[str] | None = None
+    status: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    tie_break: list[str] | None = None,
+    keep_versions: int = 2,
 ) -> StreamingQuery:
-    """Publish the whole state table, one version folder per micro-batch.
+    """Publish the state table, one version folder per micro-batch.
 
-    A version is complete once its _SUCCESS file exists; a repeated batch rewrites its own.
+    A micro-batch brings the stations that changed; the others are taken over from the version before.
+    A version is complete once its _SUCCESS file exists; a repeated batch rewrites its own. The newest
+    ``keep_versions`` stay, so that readers of the one before are not cut off.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        spark = batch.sparkSession
+        versions = _complete_versions(spark, path)
+        before = [v for v in versions if v < batch_id]
+        rows = batch
+        if before:
+            last = spark.read.schema(batch.schema).parquet(f"{path}/version={before[-1]}")
+            rows = last.join(batch.select("station_id"), "station_id", "left_anti").unionByName(batch)
+        rows.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        for old in before[: len(before) + 1 - keep_versions]:
+            folder = _hadoop_path(spark, f"{path}/version={old}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
     return (
         latest_state_stream(status, tie_break)
-        .writeStream.outputMode("complete")
+        .writeStream.outputMode("update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
@@ -39,17 +56,26 @@ def run_live_state(
     )
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _complete_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions that have been written in full, in order; a few folders at any time."""
+    folder = _hadoop_path(spark, path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    return sorted(
+        int(s.getPath().getName().split("=")[1])
+        for s in fs.listStatus(folder)
+        if s.getPath().getName().startswith("version=") and fs.exists(_hadoop_path(spark, f"{s.getPath()}/_SUCCESS"))
+    )
+
+
 def read_live_state(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the newest complete version."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = [
-        int(s.getPath().getName().split("=")[1])
-        for s in fs.listStatus(hadoop_path)
-        if s.getPath().getName().startswith("version=")
-        and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))
-    ]
-    return spark.read.parquet(f"{path}/version={max(done)}")
+    return spark.read.parquet(f"{path}/version={_complete_versions(spark, path)[-1]}")
 
 
 def windowed_totals(
@@ -73,6 +99,35 @@ def windowed_totals(
     )
 
 
+def run_windowed_totals(
+    status: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, window: str = "1 hour", slide: str | None = None
+) -> StreamingQuery:
+    """Keep a table of all windows: late rows are counted however late, since every window stays open."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    return (
+        windowed_totals(status, window, slide)
+        .writeStream.outputMode("complete")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
+def run_append(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the rows of a stream to a Parquet table."""
+    return (
+        rows.writeStream.format("parquet")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def enrich_stream(status: DataFrame, information: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Add station metadata to a status stream. ``information``: one current row per station."""
     wanted = columns or ["name", "lat", "lon", "capacity"]
@@ -89,6 +144,8 @@ __all__: list[str] = [
     "enrich_stream",
     "latest_state_stream",
     "read_live_state",
+    "run_append",
     "run_live_state",
+    "run_windowed_totals",
     "windowed_totals",
 ]

@@ -11,9 +11,13 @@ from kerbside.sources.sinks import merge_incremental
 
 
 def run_disruption_staging(
-    raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, lookback: str = "1 minute"
+    raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Merge every micro-batch of raw disruptions into the staged table."""
+    """Merge every micro-batch of raw disruptions into the staged table.
+
+    Files may come in any order, so rows are merged by key and none is left out for its age. A repeated
+    batch changes nothing.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         merge_incremental(
@@ -21,7 +25,8 @@ def run_disruption_staging(
             path,
             ["disruption_id", "ingest_ts"],
             [F.asc_nulls_last("last_update"), F.asc("title")],
-            lookback=lookback,
+            lookback=None,
+            cluster_by=["severity", "disruption_id"],
         )
 
     return (

@@ -105,7 +105,8 @@ from (select l_orderkey as k, l_linenumber as ln, l_returnflag as rf, l_linestat
     # one line per event; every kind of dead letter occurs
     "envelopes": """
 select event_id,
-       case when event_id % 101 = 100 then substr(j, 1, 40) when event_id % 79 = 78 then j || ' x'
+       case when event_id % 503 = 502 then substr(j, 1, 40) || repeat('long text ', 25000)
+            when event_id % 101 = 100 then substr(j, 1, 40) when event_id % 79 = 78 then j || ' x'
             when event_id % 73 = 72 then '   ' when event_id % 71 = 70 then '[1,2]' else j end as value
 from (select event_id,
  '{"ingest_ts":"' || case when event_id % 113 = 112 then 'NOPE' else iso end || '","event_ts":'
@@ -136,7 +137,9 @@ from <T:events>""",
     # bulk disruption responses, one per order
     "bulk_responses": """
 select o_orderdate as polled_at, o_orderkey,
-       case when o_orderkey % 10 = 9 then '{"status":"empty"}' else
+       case when o_orderkey % 10 = 9 then '{"status":"empty"}' when o_orderkey % 17 = 16 then '{"disruptions":[{"id":'
+            when o_orderkey % 19 = 18 then '[1]' when o_orderkey % 23 = 22 then '{"disruptions":"none"}'
+            when o_orderkey % 29 = 28 then '{"disruptions":[]} tail' else
        '{"disruptions":[{"cause":"TRAVAUX","id":"d-' || cast(o_orderkey as string) || '"},{"cause":"PERTURBATION"}'
        || case when o_orderkey % 3 = 0 then ',{"id":"e-' || cast(o_custkey as string) || '","severity":"BLOQUANTE"}' else '' end
        || ']}' end as response
@@ -149,12 +152,15 @@ select 'm-' || cast(case when c_custkey % 10 = 9 then c_custkey - 1 else c_custk
        '{{"origin":"poller"' || case when c_custkey % 41 = 40 then ',"dlq_test":"Yes"' else '' end || '}}' as attributes,
        1 + c_custkey % 7 as attempt
 from (select c_custkey,
- case when c_custkey % 23 = 22 then '{{"broken"' else
- '{{"event_ts":"2024-01-30T03:09:00+00:00","event_type":"station_information","ingest_ts":"2024-01-30T03:10:00+00:00"'
+ case when c_custkey % 23 = 22 then '{{"broken"' when c_custkey % 47 = 46 then '[1,2]'
+      when c_custkey % 53 = 52 then '{{"event_type":"station_information","ingest_ts":"2024-01-30T03:10:00+00:00","key":"k","payload":"text","source":"bikeshare"}}'
+      else
+ '{{"event_ts":"2024-01-30T03:09:00+00:00","event_type":"station_information","ingest_ts":"'
+ || case when c_custkey % 59 = 58 then 'NOPE' else '2024-01-30T03:10:00+00:00' end || '"'
  || ',"key":"bikeshare:station_information","payload":{{"data":{{"stations":'
  || case when c_custkey % 37 = 36 then '"NOPE"' when c_custkey % 43 = 42 then '[]' else
  '[{{"address":"' || c_mktsegment || '","capacity":' || cast(10 + c_custkey % 50 as string)
- || ',"lat":48.5,"lon":2.25,"name":"' || c_name || '","postCode":"75001"'
+ || ',"lat":' || case when c_custkey % 61 = 60 then '"abc"' else '48.5' end || ',"lon":2.25,"name":"' || c_name || '","postCode":"75001"'
  || case when c_custkey % 3 = 0 then '' else ',"stationCode":"s' || cast(c_custkey as string) || '"' end
  || ',"station_id":' || cast(c_custkey as string) || '}},{{"station_id":" "}}]' end
  || '}}}},"source":"bikeshare"}}' end as j, c_name

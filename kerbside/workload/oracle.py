@@ -145,10 +145,25 @@ STEPS = {
     "pushed": """select *, case when data <> '' and json_valid(text) then cast(text as json) end as event from decoded""",
     "decided": """select *, case when lower(json_extract_string(attributes, '$.dlq_test')) in ('true', '1', 'yes') then 'forced failure'
              when coalesce(data, '') = '' then 'missing message.data' when event is null then 'invalid base64/json'
+             when json_type(event) <> 'OBJECT' then 'event is not an object'
+             when json_type(json_extract(event, '$.payload')) not in ('OBJECT', 'NULL') then 'payload is not an object'
              when json_type(json_extract(event, '$.payload.data.stations')) not in ('ARRAY', 'NULL')
-             then 'payload.data.stations not a list' end as reason,
-        coalesce(len(list_filter(json_extract(event, '$.payload.data.stations[*]'),
-            lambda s: coalesce(trim(json_extract_string(s, '$.station_id')), '') <> '')), 0) > 0 as usable from pushed""",
+             then 'payload.data.stations not a list'
+             when usable and bad_time then 'Invalid timestamp in ingest_ts'
+             when usable and bad_lat then 'Invalid value in lat' end as reason
+      from (select *, event_time is not null and try_cast(event_time as timestamp) is null as bad_time,
+          coalesce(len(list_filter(json_extract(event, '$.payload.data.stations[*]'),
+            lambda s: coalesce(trim(json_extract_string(s, '$.station_id')), '') <> '')), 0) > 0 as usable,
+          coalesce(len(list_filter(json_extract(event, '$.payload.data.stations[*]'),
+            lambda s: json_extract_string(s, '$.lat') is not null and try_cast(json_extract_string(s, '$.lat') as double) is null)), 0) > 0 as bad_lat
+        from (select *, replace(replace(json_extract_string(event, '$.ingest_ts'), '+00:00', ''), 'T', ' ') as event_time from pushed))""",
+    "raw_judged": """select *, case when coalesce(data, '') = '' or event is null then 'rejected'
+          when json_type(event) <> 'OBJECT' or try_cast(event_time as timestamp) is null then 'retry' else 'accepted' end as outcome,
+        case when coalesce(data, '') = '' then 'missing message.data' when event is null then 'invalid base64/json'
+          when json_type(event) <> 'OBJECT' then 'event is not an object'
+          when try_cast(event_time as timestamp) is null then 'Invalid timestamp in ingest_ts' end as reason
+      from (select *, replace(replace(json_extract_string(event, '$.ingest_ts'), '+00:00', ''), 'T', ' ') as event_time from pushed)""",
+    "responses": """select *, case when json_valid(response) then cast(response as json) end as doc from bulk_responses""",
     # stations
     "state": _newest("station_status", ", event_id desc"),
     "info": _newest("station_information"),
@@ -188,14 +203,14 @@ STEPS = {
         partition by disruption_id order by ingest_ts desc) as rn from staged) where rn = 1""",
     "unnested": """select *, unnest(json_extract(impacted_sections, '$[*]')) as section from latest""",
     "keyed": f"""select *, {_zone_id('$.from.id')} as from_zdc_id, {_zone_id('$.to.id')} as to_zdc_id from unnested""",
-    "zones": """select b.zdc, s.name, s.lat, s.lon
+    "zones": """select b.zdc, s.name, s.lat, s.lon, s.town
       from (select ZdCId as zdc, min(ZdAId) as zda from zone_bridge group by 1) b join stops_reference s on s.zda_id = b.zda""",
     "located": """select k.disruption_id, k.ingest_ts, k.cause, k.severity, k.title, k.last_update,
         k.from_zdc_id, f.name as from_stop_name, f.lat as from_lat, f.lon as from_lon,
-        k.to_zdc_id, t.name as to_stop_name, t.lat as to_lat, t.lon as to_lon
+        k.to_zdc_id, t.name as to_stop_name, t.lat as to_lat, t.lon as to_lon, f.town as from_stop_town
       from keyed k left join zones f on k.from_zdc_id = f.zdc left join zones t on k.to_zdc_id = t.zdc
       where k.from_zdc_id is not null""",
-    "sections": "select * from located where severity = 'BLOQUANTE'",
+    "sections": "select * exclude (from_stop_town) from located where severity = 'BLOQUANTE'",
     "both_sections": "select * from located where severity in ('BLOQUANTE', 'PERTURBEE')",
     "active": """select * from sections where not regexp_matches(title, '^Bus ')
         and ingest_ts >= (select max(ingest_ts) from sections) - interval 30 minute
@@ -210,6 +225,12 @@ STEPS = {
         {_distance('d.to_lat', 'd.to_lon', 's.lat', 's.lon')} as distance_to_to_stop_meters
       from active d join facts s
         on {_near('d.from_lat', 'd.from_lon', '<= 750')} or {_near('d.to_lat', 'd.to_lon', '<= 750')}""",
+    "both_pairs": f"""select * exclude (rn) from (select *, row_number() over (partition by title,
+          {_strict('least', 'from_stop_name', 'to_stop_name')}, {_strict('greatest', 'from_stop_name', 'to_stop_name')},
+          station_id order by {NOTICE_ORDER}) as rn
+        from (select {', '.join('d.' + c.strip() for c in SECTION.split(','))}, s.station_id, s.fill_rate
+          from both_active d join facts s
+            on {_near('d.from_lat', 'd.from_lon', '<= 750')} or {_near('d.to_lat', 'd.to_lon', '<= 750')})) where rn = 1""",
     "pairs": f"""select * exclude (rn), {_strict('least', 'distance_to_from_stop_meters', 'distance_to_to_stop_meters')} as nearest_m
       from (select *, row_number() over (partition by title,
           {_strict('least', 'from_stop_name', 'to_stop_name')}, {_strict('greatest', 'from_stop_name', 'to_stop_name')},
@@ -286,7 +307,8 @@ BODIES = {
       from checked where error_message is not null""",
     "dead_letters_mapping": f"""select 'snapshot_to_station_rows' as stage, error_type, error_message,
         '{{"source":"' || source || '","event_type":"' || event_type || '","key":"' || key || '","ingest_ts":"' || ingest_ts
-          || '","event_ts":"' || event_ts || '"}}' as event_meta, {_NO_TEXT} as row_json, data_type is null as no_data
+          || '","event_ts":"' || event_ts || '"}}' as event_meta, {_NO_TEXT} as row_json, data_type is null as no_data, ingest_ts as raw_ingest_ts, event_ts as raw_event_ts,
+        key as raw_key
       from mapping_errors""",
     "dead_letters_sink": f"""select 'bq_insert_curated' as stage, 'BigQueryInsertError' as error_type,
         coalesce(bad_ingest, bad_event, bad_bikes) as error_message, {_NO_TEXT} as raw,
@@ -301,6 +323,10 @@ BODIES = {
         substr(error_message, 1, 100) as error_msg, value as raw
       from checked where error_message like '%Missing source%' order by error_type, error_msg, raw limit 10""",
     "streamed_status": _CURATED,
+    "curated_table": f"select *, cast(ingest_ts as date) as ingest_date from ({_CURATED})",
+    "dead_letter_table": f"select stage, count(*) as n from ({_DLQ_STAGES}) group by 1",
+    "ndjson_round_trip": _CURATED,
+    "seed_round_trip": "select zda_id, name, lat, lon, town, type from stops_reference",
     # landing
     "landed_raw": """select message_id, ingest_ts, event_ts, source, event_type, key, payload from (
       select *, row_number() over (partition by message_id order by ingest_ts nulls last, digest) as rn from (
@@ -308,9 +334,16 @@ BODIES = {
           cast(replace(replace(json_extract_string(event, '$.ingest_ts'), '+00:00', ''), 'T', ' ') as timestamp) as ingest_ts,
           cast(replace(replace(json_extract_string(event, '$.event_ts'), '+00:00', ''), 'T', ' ') as timestamp) as event_ts,
           json_extract_string(event, '$.source') as source, json_extract_string(event, '$.event_type') as event_type,
-          json_extract_string(event, '$.key') as key, cast(json_extract(event, '$.payload') as varchar) as payload,
-          md5(text) as digest from pushed where event is not null)) where rn = 1""",
-    "push_decisions": """select case when reason = 'forced failure' then 'retry' when reason is not null then 'rejected'
+          json_extract_string(event, '$.key') as key,
+          case when json_type(json_extract(event, '$.payload')) = 'VARCHAR' then json_extract_string(event, '$.payload')
+               else cast(json_extract(event, '$.payload') as varchar) end as payload,
+          md5(text) as digest from raw_judged where outcome = 'accepted')) where rn = 1""",
+    "landing_dead_letters": """select outcome, reason, count(*) as messages from raw_judged group by 1, 2""",
+    "disruption_errors": """select polled_at, case when doc is null then 'Invalid JSON'
+          when json_type(doc) <> 'OBJECT' then 'response is not an object' else 'disruptions is not a list' end as reason, response
+      from responses where doc is null or json_type(doc) <> 'OBJECT' or json_type(json_extract(doc, '$.disruptions')) = 'VARCHAR'""",
+    "push_decisions": """select case when reason in ('forced failure', 'event is not an object', 'payload is not an object',
+            'Invalid timestamp in ingest_ts', 'Invalid value in lat') then 'retry' when reason is not null then 'rejected'
           when usable then 'accepted' else 'empty' end as outcome, reason, count(*) as messages from decided group by 1, 2""",
     "landed_station_information": """select timestamp '2024-01-30 03:10:00' as ingest_ts, timestamp '2024-01-30 03:09:00' as event_ts,
         json_extract_string(s, '$.station_id') as station_id, coalesce(json_extract_string(s, '$.stationCode'), '') as station_code,
@@ -318,14 +351,14 @@ BODIES = {
         cast(json_extract_string(s, '$.lon') as double) as lon, cast(json_extract_string(s, '$.capacity') as bigint) as capacity,
         json_extract_string(s, '$.address') as address, json_extract_string(s, '$.postCode') as post_code
       from (select unnest(json_extract(event, '$.payload.data.stations[*]')) as s from decided
-            where usable and coalesce(reason, 'forced failure') = 'forced failure')
+            where usable and coalesce(reason, 'forced failure') = 'forced failure' and not bad_time and not bad_lat)
       where trim(json_extract_string(s, '$.station_id')) <> ''""",
     "exhausted_deliveries": """select 'station-info-sub' as subscription_name, message_id, publish_time,
         cast(octet_length(try(from_base64(data))) as bigint) as data_bytes, json_extract_string(attributes, '$.origin') as origin
       from decided where reason is not null and attempt >= 5""",
     "disruption_feed_rows": """select polled_at as ingest_ts, polled_at as event_ts, 'idfm_disruptions' as source,
         'disruption' as event_type, coalesce(json_extract_string(e, '$.id'), 'unknown') as key, cast(e as varchar) as payload
-      from (select polled_at, unnest(json_extract(response, '$.disruptions[*]')) as e from bulk_responses)""",
+      from (select polled_at, unnest(json_extract(doc, '$.disruptions[*]')) as e from responses)""",
     "snapshot_envelopes": """select ingest_ts, event_ts, 'bikeshare' as source, 'station_status_snapshot' as event_type,
         'bikeshare:station_status_snapshot' as key,
         '{"ingest_ts":"' || strftime(ingest_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') || '","event_ts":'
@@ -371,9 +404,17 @@ BODIES = {
         cast(sum(num_bikes_available) as bigint) as bikes_seen, count(*) filter (where num_bikes_available = 0) as empty_readings
       from (select *, coalesce(event_ts, ingest_ts) as ts from station_status)
         cross join (values (interval 0 minute), (interval 30 minute)) w(shift) group by 1""",
+    "streamed_windowed_totals": """select time_bucket(interval 30 minute, ts) - shift as window_start, count(*) as readings,
+        cast(sum(num_bikes_available) as bigint) as bikes_seen, count(*) filter (where num_bikes_available = 0) as empty_readings
+      from (select *, coalesce(event_ts, ingest_ts) as ts from station_status)
+        cross join (values (interval 0 minute), (interval 30 minute)) w(shift) group by 1""",
+    "streamed_enrichment": """select s.event_id, s.station_id, i.name, i.lat, i.lon, i.capacity
+      from station_status s left join info i on s.station_id = i.station_id""",
+    "streamed_message_ids": "select distinct message_id from info_messages",
     # disruptions
     "staged_disruptions": "select * from staged",
     "incremental_staging": "select * from staged",
+    "streamed_staging": "select * from staged",
     "disruption_sections": "select * from sections",
     "active_sections": "select * from active",
     "disruption_periods": f"""select disruption_id, severity, nullif(regexp_extract(title, '^(.*?) :', 1), '') as line_name,
@@ -399,15 +440,25 @@ BODIES = {
           control_fill_rate_pct, control_avg_bikes_available, control_station_count, fill_rate_delta_pct
         from comparison cross join (values ('from'), ('to')) r(stop_role))
       where lat is not null and lon is not null""",
-    "impact_kpis": """select round(avg(zone_fill_rate_pct), 1) as avg_fill_near_disruptions_pct,
-        max(control_fill_rate_pct) as avg_fill_elsewhere_pct, round(avg(fill_rate_delta_pct), 1) as avg_delta_pct,
-        count(distinct disruption_id) as active_disruptions, max(control_station_count) as control_stations,
-        (select count(distinct station_id) from pairs) as affected_stations from comparison""",
+    "impact_kpis": """select round(near_fill * 100, 1) as avg_fill_near_disruptions_pct,
+        round(control_fill * 100, 1) as avg_fill_elsewhere_pct, round((near_fill - control_fill) * 100, 1) as avg_delta_pct,
+        (select count(distinct disruption_id) from pairs) as active_disruptions,
+        control_station_count as control_stations, affected_stations
+      from control cross join (select avg(u.fill_rate) as near_fill, count(*) as affected_stations
+        from (select distinct station_id from pairs) p left join usable u on p.station_id = u.station_id)""",
     "impact_classes": """select disruption_id, from_stop_name, to_stop_name, fill_rate_delta_pct,
         case when fill_rate_delta_pct >= 0 then 'none' when fill_rate_delta_pct > -15 then 'moderate'
              when fill_rate_delta_pct is not null then 'high' end as impact_class from comparison""",
-    "impact_by_severity": """select severity, count(distinct disruption_id) as disruptions,
-        round(avg(fill_rate_delta_pct), 2) as avg_delta_pct from comparison group by 1""",
+    "impact_by_severity": f"""select severity, count(distinct disruption_id) as disruptions, round(avg(delta), 2) as avg_delta_pct
+      from (select {SECTION}, round((avg(u.fill_rate) - any_value(c.fill)) * 100, 1) as delta
+        from both_pairs p left join usable u on p.station_id = u.station_id
+          cross join (select avg(fill_rate) as fill from usable where station_id not in (select station_id from both_pairs)) c
+        group by {SECTION}) group by 1""",
+    "impact_zone_polygons": """select ('0x' || substr(md5(disruption_id || '_' || stop_role || '_' || coalesce(from_stop_name, '')
+          || '_' || coalesce(to_stop_name, '')), 1, 15))::bigint as objectid, stop_role, 33 as points, true as closed,
+        cast(750 as double) as nearest_corner_m, cast(750 as double) as farthest_corner_m
+      from (select *, case stop_role when 'from' then from_lat else to_lat end as lat
+        from comparison cross join (values ('from'), ('to')) r(stop_role)) where lat is not null""",
     "lowest_stations": """select station_id, any_value(station_name) as station_name,
         round(any_value(fill_rate) * 100, 1) as fill_rate_pct, count(*) as zones
       from pairs where fill_rate is not null group by 1 order by fill_rate_pct, station_id limit 10""",
@@ -418,9 +469,9 @@ BODIES = {
     "ring_comparison": """select zone, count(distinct station_id) as station_count,
         round(sum(fill_rate * notices) / sum(case when fill_rate is not null then notices end) * 100, 1) as avg_availability_pct
       from ring_pairs group by 1""",
-    "walking_listing": f"""select d.title as disruption, d.severity, d.cause, d.from_stop_name as transit_stop, s.station_name,
-        s.num_bikes_available, round({_distance('d.from_lat', 'd.from_lon', 's.lat', 's.lon')}) as distance_meters
-      from both_active d join facts s on {_near('d.from_lat', 'd.from_lon', '< 750')}""",
+    "walking_listing": f"""select d.title as disruption, d.severity, d.cause, d.from_stop_name as transit_stop,
+        d.from_stop_town as town, s.station_name, s.num_bikes_available, s.num_docks_available, round({_distance('d.from_lat', 'd.from_lon', 's.lat', 's.lon')}) as distance_meters
+      from both_sections d join facts s on {_near('d.from_lat', 'd.from_lon', '< 750')}""",
     # replay
     "replay_plan": """select message_id, publish_time, data,
         case when seen then array_to_string(list_sort([k || '=' || json_extract_string(attributes, '$.' || k) for k in json_keys(attributes)]), ';')
@@ -429,6 +480,7 @@ BODIES = {
              if not starts_with(k, 'CloudPubSubDeadLetter') and k not in ('dlq_test', 'replay')],
             ['replay=true', 'replay_id=run-1', 'replay_source=hold-sub'])), ';') end as attributes,
         case when seen then 'skipped' else 'republished' end as action, not seen as acknowledge from pulled""",
+    "second_replay": "select cast(0 as bigint) as lines",
     "replay_summary": """select count(*) as pulled, count(*) filter (where not seen) as republished, count(*) as acked,
         count(*) filter (where seen) as skipped, cast(0 as bigint) as failed
       from (select coalesce(lower(json_extract_string(attributes, '$.replay')), '') = 'true' as seen from push_dlq)""",

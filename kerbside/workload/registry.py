@@ -10,20 +10,39 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kerbside import fixed_values as fx
+from kerbside import schemas
+from kerbside.functions import haversine_m
 from kerbside.operators import events, quality, replay
 from kerbside.operators.stations import flatten_station_info
 from kerbside.plans import disruptions, hourly, impact, ops, stations
 from kerbside.session import configure, stage, staging_dir
 from kerbside.sources import (
+    append_by_day,
+    disruption_response_errors,
     explode_disruptions,
     land_raw,
     merge_incremental,
     push_dead_letters,
     push_outcomes,
+    raw_outcomes,
+    read_lines,
+    read_seed,
     stream_lines,
     wrap_snapshot,
+    write_dead_letters,
+    write_ndjson,
+)
+from kerbside.streaming import (
+    deduplicate_stream,
+    enrich_stream,
+    read_live_state,
+    run_append,
+    run_curation,
+    run_disruption_staging,
+    run_live_state,
+    run_windowed_totals,
+    windowed_totals,
 )
-from kerbside.streaming import read_live_state, run_curation, run_live_state, windowed_totals
 from kerbside.workload.derived import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,9 +89,12 @@ def _facts(t: Tables) -> DataFrame:
     return stations.station_facts(_state(t), _information(t))
 
 
-def _sections(t: Tables, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,)) -> DataFrame:
+BOTH = (fx.SEVERITY_BLOCKING, fx.SEVERITY_DISTURBED)
+
+
+def _sections(t: Tables, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,), with_towns: bool = False) -> DataFrame:
     projected = disruptions.project_disruptions(t.disruptions_raw)
-    return disruptions.disruption_sections(projected, t.zone_bridge, t.stops_reference, severities)
+    return disruptions.disruption_sections(projected, t.zone_bridge, t.stops_reference, severities, with_towns)
 
 
 def _active(t: Tables, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,)) -> DataFrame:
@@ -90,13 +112,13 @@ def _information_for_near(t: Tables) -> DataFrame:
     )
 
 
-def _impact_inputs(t: Tables) -> tuple[DataFrame, DataFrame]:
+def _impact_inputs(t: Tables, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,)) -> tuple[DataFrame, DataFrame]:
     """Active sections, a cheap filter over staged rows, and station facts, staged: both have several readers."""
-    return _active(t), stage(_facts(t), "facts")
+    return _active(t, severities), stage(_facts(t), "facts")
 
 
-def _comparison(t: Tables) -> DataFrame:
-    return impact.impact_comparison(*_impact_inputs(t))
+def _comparison(t: Tables, severities: tuple[str, ...] = (fx.SEVERITY_BLOCKING,)) -> DataFrame:
+    return impact.impact_comparison(*_impact_inputs(t, severities))
 
 
 def _rounded(df: DataFrame, digits: int, *names: str) -> DataFrame:
@@ -172,6 +194,7 @@ def dead_letters_mapping(t: Tables) -> DataFrame:
         .select(
             "stage", "error_type", "error_message", "event_meta", "row_json",
             F.get_json_object("raw", "$.payload.data").isNull().alias("no_data"),
+            *[F.get_json_object("raw", f"$.{n}").alias(f"raw_{n}") for n in ("ingest_ts", "event_ts", "key")],
         )
     )
 
@@ -209,6 +232,17 @@ def replayed_dead_letters(t: Tables) -> DataFrame:
     return events.dlq_counts(events.dead_letters(events.route_snapshots(lines)))
 
 
+@query
+def second_replay(t: Tables) -> DataFrame:
+    """Lines left for another replay after one that failed again in full: none."""
+    first = stage(_dead_letters(t), "dead_letters")
+    lines = events.replay_status_dead_letters(first)
+    ledger = stage(events.replay_ledger(lines), "replay_ledger")
+    again = events.dead_letters(events.route_snapshots(lines))
+    left = events.replay_status_dead_letters(first.unionByName(again), ledger)
+    return left.agg(F.count(F.lit(1)).alias("lines"))
+
+
 # --- landing -----------------------------------------------------------------------------
 
 
@@ -217,6 +251,11 @@ def landed_raw(t: Tables) -> DataFrame:
     return land_raw(t.info_messages)
 
 
+@query
+def landing_dead_letters(t: Tables) -> DataFrame:
+    return raw_outcomes(t.info_messages).groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
 @query
 def push_decisions(t: Tables) -> DataFrame:
     return (
@@ -245,6 +284,11 @@ def disruption_feed_rows(t: Tables) -> DataFrame:
     return explode_disruptions(t.bulk_responses)
 
 
+@query
+def disruption_errors(t: Tables) -> DataFrame:
+    return disruption_response_errors(t.bulk_responses)
+
+
 @query
 def snapshot_envelopes(t: Tables) -> DataFrame:
     return wrap_snapshot(t.feed_documents, "bikeshare", fx.SNAPSHOT_EVENT_TYPE)
@@ -417,17 +461,107 @@ def streamed_status(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/status").drop("raw_station_json", "batch_id", "ingest_date")
 
 
+def _status_stream(t: Tables, base: str) -> DataFrame:
+    """Station readings as a stream of several micro-batches."""
+    t.station_status.repartition(4).write.parquet(f"{base}/status")
+    stream = t.spark.readStream.schema(t.station_status.schema).option("maxFilesPerTrigger", 2)
+    return stream.parquet(f"{base}/status")
+
+
+@query
+def streamed_windowed_totals(t: Tables) -> DataFrame:
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    run_windowed_totals(
+        _status_stream(t, base), f"{base}/windows", f"{base}/checkpoint", {"availableNow": True}, "1 hour", "30 minutes"
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{base}/windows")
+
+
+@query
+def streamed_enrichment(t: Tables) -> DataFrame:
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    rows = enrich_stream(_status_stream(t, base), stage(_information(t), "information"))
+    run_append(rows, f"{base}/rows", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
+    return t.spark.read.parquet(f"{base}/rows").select("event_id", "station_id", "name", "lat", "lon", "capacity")
+
+
+@query
+def streamed_message_ids(t: Tables) -> DataFrame:
+    """Redelivered messages pass once."""
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    messages = t.info_messages.withColumn("publish_time", F.col("publish_time").cast("timestamp"))
+    messages.repartition(4).write.parquet(f"{base}/messages")
+    source = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/messages")
+    unique = deduplicate_stream(source)
+    run_append(unique, f"{base}/unique", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
+    return t.spark.read.parquet(f"{base}/unique").select("message_id")
+
+
 @query
 def streamed_live_state(t: Tables) -> DataFrame:
     base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
-    t.station_status.write.parquet(f"{base}/status")
-    source = t.spark.readStream.schema(t.station_status.schema).parquet(f"{base}/status")
+    source = _status_stream(t, base)
     run_live_state(
         source, f"{base}/state", f"{base}/checkpoint", {"availableNow": True}, ["event_id"]
     ).awaitTermination()
     return read_live_state(t.spark, f"{base}/state")
 
 
+@query
+def streamed_staging(t: Tables) -> DataFrame:
+    """The disruption feed as a stream of files that come newest first."""
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    raw = t.disruptions_raw
+    raw.repartitionByRange(4, F.desc("ingest_ts")).write.parquet(f"{base}/raw")
+    source = t.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/raw")
+    run_disruption_staging(source, f"{base}/staged", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
+    return t.spark.read.parquet(f"{base}/staged").drop("ingest_month")
+
+
+# --- round trips through the sinks and sources ---------------------------------------------
+
+
+def _folder(t: Tables) -> str:
+    return f"{staging_dir(t.spark)}/kerbside/round-{uuid.uuid4().hex}"
+
+
+@query
+def curated_table(t: Tables) -> DataFrame:
+    """The day-partitioned table, a repeated overwrite included."""
+    path = _folder(t)
+    rows = stage(events.station_rows(_routed(t)), "status_rows")
+    for _ in range(2):
+        append_by_day(rows, path, mode="overwrite")
+    return t.spark.read.parquet(path).drop("raw_station_json")
+
+
+@query
+def dead_letter_table(t: Tables) -> DataFrame:
+    path = _folder(t)
+    dead = stage(_dead_letters(t), "dead_letters")
+    stages = (fx.STAGE_PARSE, fx.STAGE_MAPPING, fx.STAGE_SINK)
+    write_dead_letters([dead.filter(F.col("stage") == s) for s in stages], path)
+    return events.dlq_counts(t.spark.read.parquet(path))
+
+
+@query
+def ndjson_round_trip(t: Tables) -> DataFrame:
+    """Envelope lines written as NDJSON text, read by the line source, curated."""
+    path = _folder(t)
+    t.envelopes.select("value").write.text(path)
+    rows = events.station_rows(events.route_snapshots(read_lines(t.spark, path))).drop("raw_station_json")
+    out = _folder(t)
+    write_ndjson(rows, out)
+    return t.spark.read.schema(rows.schema).json(out)
+
+
+@query
+def seed_round_trip(t: Tables) -> DataFrame:
+    path = _folder(t)
+    t.stops_reference.write.option("header", "true").csv(path)
+    return read_seed(t.spark, path, schemas.STOPS_REFERENCE)
+
+
 # --- impact ------------------------------------------------------------------------------
 
 
@@ -448,13 +582,26 @@ def impact_map(t: Tables) -> DataFrame:
 
 @query
 def impact_zone_polygons(t: Tables) -> DataFrame:
-    return impact.impact_map(_comparison(t), per_section_ids=True).select("objectid", "stop_role", "geom_polygon")
+    """Each circle's points, whether its ring closes, and how far its corners lie from the stop."""
+    rows = impact.impact_map(_comparison(t), per_section_ids=True)
+    points = F.split(F.regexp_extract("geom_polygon", r"\(\((.*)\)\)", 1), ", *")
+
+    def metres(point: Column) -> Column:
+        lon, lat = (F.get(F.split(F.trim(point), " "), i).cast("double") for i in (0, 1))
+        return F.round(haversine_m(F.col("lat"), F.col("lon"), lat, lon))
+
+    away = F.transform("points", metres)
+    return rows.select("objectid", "stop_role", "lat", "lon", points.alias("points")).select(
+        "objectid", "stop_role", F.size("points").alias("points"),
+        (F.get("points", F.lit(0)) == F.element_at("points", -1)).alias("closed"),
+        F.array_min(away).alias("nearest_corner_m"), F.array_max(away).alias("farthest_corner_m"),
+    )
 
 
 @query
 def impact_kpis(t: Tables) -> DataFrame:
     active, facts = _impact_inputs(t)
-    return impact.impact_kpis(impact.impact_comparison(active, facts), impact.impacted_stations(active, facts))
+    return impact.impact_kpis(stage(impact.impact_pairs(active, facts), "impact_pairs"), facts)
 
 
 @query
@@ -465,7 +612,7 @@ def impact_classes(t: Tables) -> DataFrame:
 
 @query
 def impact_by_severity(t: Tables) -> DataFrame:
-    return impact.impact_by_severity(_comparison(t))
+    return impact.impact_by_severity(_comparison(t, BOTH))
 
 
 @query
@@ -480,14 +627,12 @@ def nearest_stations(t: Tables) -> DataFrame:
 
 @query
 def ring_comparison(t: Tables) -> DataFrame:
-    both = (fx.SEVERITY_BLOCKING, fx.SEVERITY_DISTURBED)
-    return impact.ring_comparison(_sections(t, both).filter("from_lat is not null"), stage(_facts(t), "facts"))
+    return impact.ring_comparison(_sections(t, BOTH).filter("from_lat is not null"), stage(_facts(t), "facts"))
 
 
 @query
 def walking_listing(t: Tables) -> DataFrame:
-    both = (fx.SEVERITY_BLOCKING, fx.SEVERITY_DISTURBED)
-    return impact.walking_listing(_active(t, both), _facts(t))
+    return impact.walking_listing(_sections(t, BOTH, with_towns=True), _facts(t))
 
 
 # --- replay ------------------------------------------------------------------------------
@@ -506,7 +651,7 @@ def replay_plan(t: Tables) -> DataFrame:
 
 @query
 def replay_summary(t: Tables) -> DataFrame:
-    return replay.summarise_replay(_replay_plan(t, max_messages=1_000_000, ack_skipped=True))
+    return replay.summarise_replay(_replay_plan(t, max_messages=None, ack_skipped=True))
 
 
 @query

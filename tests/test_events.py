@@ -167,8 +167,8 @@ def test_invalid_utf8_is_a_dead_letter(spark):
     assert [r["error_type"] for r in ev.curate(df)[1].collect()] == ["UnicodeDecodeError"]
 
 
-def test_raw_text_is_cut_at_the_limit(spark):
-    assert len(routed(spark, "x" * 200_010)[1][0]["raw"]) == 200_000
+def test_raw_text_is_kept_whole(spark):
+    assert routed(spark, "x" * 200_010)[1][0]["raw"] == "x" * 200_010
 
 
 def test_bad_integers_are_accepted_as_null(spark):
@@ -205,3 +205,22 @@ def test_counters_and_replay(spark):
     assert counts == {"parse_normalize": 1, "snapshot_to_station_rows": 1}
     again = ev.replay_status_dead_letters(ev.dead_letters(routed_rows))
     assert {r["n"] for r in ev.dlq_counts(ev.dead_letters(ev.route_snapshots(again))).collect()} == {1}
+
+
+def test_integers_beyond_the_column_are_refused(spark):
+    big = "99999999999999999999"
+    odd = [
+        f'{{"station_id":"1","num_bikes_available_types":[{{"mechanical":{big}}}]}}',
+        f'{{"station_id":"1","num_bikes_available_types":[{{"bike_type":"ebike","count":{big}}}]}}',
+        '{"station_id":"1","num_bikes_available":1e30}',
+        f'{{"station_id":"1","numDocksAvailable":{big}}}',
+        '{"station_id":"1","num_bikes_available":"1e30","num_docks_available":2.5}',
+    ]
+    whole = '{{"ingest_ts":"{0}","event_ts":"{0}","source":"s","event_type":"station_status_snapshot","key":"k","payload":{{"data":{{"stations":[{1}]}}}}}}'
+    df = spark.createDataFrame([(whole.format(TS, o),) for o in odd], "value string").coalesce(1)
+    rows, dead = ev.curate(df)
+    assert sorted(r["error_message"] for r in dead.collect()) == [
+        f"Integer out of range in {n}"
+        for n in ("ebike_available", "mechanical_available", "num_bikes_available", "num_docks_available")
+    ]
+    assert [(r["num_bikes_available"], r["num_docks_available"]) for r in rows.collect()] == [(None, 2)]

@@ -85,6 +85,27 @@ def test_incremental_merge(spark, tmp_path):
     ]
 
 
+def test_merge_without_a_mark_and_broken_targets(spark, tmp_path):
+    path = str(tmp_path / "staged")
+
+    def load(*rows):
+        staged = disruptions.stage_disruptions(raw(spark, *rows))
+        merge_incremental(staged, path, ["disruption_id", "ingest_ts"], [F.asc("title")], lookback=None)
+        return sorted((r["disruption_id"], r["ingest_ts"].month, r["title"]) for r in spark.read.parquet(path).collect())
+
+    load((3, 1, 0, "c", "x"), (1, 5, 0, "a", "x"))
+    # older rows than the newest are merged all the same, other months stay
+    assert load((1, 5, 0, "a", "new"), (1, 6, 0, "d", "x")) == [("a", 1, "new"), ("c", 3, "x"), ("d", 1, "x")]
+    broken = tmp_path / "broken"
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception, match="parquet|Parquet|footer"):
+        merge_incremental(
+            disruptions.stage_disruptions(raw(spark, (1, 5, 0, "a", "x"))), str(broken), ["disruption_id"], [F.asc("title")]
+        )
+    assert (broken / "part-0.parquet").read_bytes() == b"no parquet"
+
+
 def test_sinks_and_sources(spark, tmp_path):
     rows, dlq = ev.curate(spark.createDataFrame([(x,) for x in lines(20)], "value string"))
     append_by_day(rows, str(tmp_path / "status"))
@@ -124,15 +145,21 @@ def test_replay(spark, tmp_path):
     assert replay.summarise_replay(plan).first().asDict() == {
         "pulled": 4, "republished": 2, "acked": 2, "skipped": 2, "failed": 0,
     }
-    assert replay.run_replay(plan, batch, ledger, dry_run=True) == 0 and not (tmp_path / "batch").exists()
-    assert replay.run_replay(plan, batch, ledger) == 0
-    assert spark.read.parquet(batch).count() == 2
+    assert replay.run_replay(plan, batch, ledger, "run", dry_run=True) == 0 and not (tmp_path / "batch").exists()
+    for _ in range(2):  # a repeated run replaces its own batch
+        assert replay.run_replay(plan, batch, ledger, "run") == 0
+    stored = replay.replayed_messages(spark, batch)
+    assert stored.count() == 2
+    assert replay.summarise_replay(plan, stored).first()["failed"] == 0
+    lost = replay.summarise_replay(plan, stored.filter("message_id = '1'")).first()
+    assert (lost["failed"], lost["acked"]) == (1, 1)
+    assert replay.plan_replay(dead(spark), "run", "sub", max_messages=None).count() == 6
     again = replay.plan_replay(dead(spark), "run2", "sub", ledger=spark.read.parquet(ledger), ack_skipped=True)
     assert {r["message_id"] for r in again.filter("action = 'republished'").collect()} == {"4", "5"}
     assert replay.summarise_replay(again).first()["acked"] == 4
     assert replay.plan_replay(dead(spark), "r", "s", enabled=False).count() == 0
     assert replay.summarise_replay(replay.plan_replay(dead(spark), "r", "s", dry_run=True)).first()["acked"] == 0
-    assert replay.run_replay(plan, batch, "/proc/none/ledger") == 2
+    assert replay.run_replay(plan, batch, "/proc/none/ledger", "run") == 2
 
 
 def test_quality(spark):
