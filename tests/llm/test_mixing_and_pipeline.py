@@ -48,7 +48,7 @@ def test_raking_equals_a_plain_loop(spark):
 
 
 def test_explicit_targets(spark):
-    rows = [("a", 0, 0, 900), ("a", 1, 1, 50), ("b", 0, 1, 30), ("b", 1, 0, 20)]
+    rows = [(s, a, b, 900 if (s, a) == ("a", 0) else 20 + 7 * b) for s in "ab" for a in (0, 1) for b in (0, 1, 2)]
     got = mixing.rake(spark.createDataFrame(rows, COUNTED), language_target=np.array([0.5, 0.5, 0.3, 0, 0]), tolerance=1e-9)
     factor = {x.source: x.source_factor for x in got.sources.collect()}
     shares = np.zeros(2)
