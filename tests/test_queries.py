@@ -4,6 +4,7 @@ import pytest
 from compare import connect, difference
 
 from __spark_entry__ import entry, oracle_sql, queries
+from kerbside.workload import registry
 
 SF = "/root/testdata/sf0.001"
 SQL = oracle_sql()
@@ -14,7 +15,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF)
     if name in SQL:
