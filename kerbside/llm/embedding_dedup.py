@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from kerbside.llm.components import components
 from kerbside.session import stage
 
+#: Parts into which the rows of each bucket are dealt for the join with its size.
+SALTS = 16
+
 
 @dataclass
 class HammingTables:
@@ -182,13 +185,16 @@ def near_vectors(
     )
     sizes = entries.groupBy(*bucket).agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"), F.count("*").alias("n"))
     own = F.pmod(F.xxhash64("first_id", "table"), F.col("blocks")).cast("int")
+    # A bucket may hold a third of all vectors: it meets its size in SALTS parts.
+    salts = sizes.where("n > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     paired = (
-        entries.join(sizes.where("n > 1"), bucket)
+        entries.withColumn("salt", F.pmod(F.xxhash64("first_id"), F.lit(SALTS)).cast("int"))
+        .join(salts, [*bucket, "salt"])
         .withColumn("block", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("low", F.least("block", "other"))
         .withColumn("high", F.greatest("block", "other"))
-        .drop("n", "blocks", "other")
+        .drop("n", "blocks", "other", "salt")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
