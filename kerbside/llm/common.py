@@ -8,11 +8,13 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.session import configure
+from kerbside.session import configure, stage
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of whole texts in one Arrow batch; keeps a Python worker's memory to a few MB of text.
 BATCH_ROWS = "1000"
+#: Column that names a row where ids may be NULL or repeated.
+ROW = "_kerbside_row"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -59,3 +61,8 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, learna
     share = min(1.0, limit / max(total, 1))
     drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.lit(int(share * scale)))
     return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+
+
+def with_row_key(documents: DataFrame) -> DataFrame:
+    """``documents`` with a number of its own for every row, written once so that the numbers stay."""
+    return stage(documents.withColumn(ROW, F.monotonically_increasing_id()), "keyed_rows")

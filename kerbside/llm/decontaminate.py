@@ -23,6 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import ROW, with_row_key
 from kerbside.llm.tokens import blocks, encoded, kinds, mix, words_of
 from kerbside.session import stage
 
@@ -240,8 +241,9 @@ def contamination(documents: DataFrame, items: DataFrame) -> DataFrame:
 def drop_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     """``documents`` without those that hold a window of any item; columns unchanged.
 
-    Rows that share a doc_id (NULL included) go if one of them is contaminated.
+    Every row is judged by its own text: rows with a NULL or repeated doc_id go one by one.
     """
-    found = contamination(documents, items).where("n_hit > 0").select(F.col("doc_id").alias("_hit_id")).distinct()
-    found = stage(found, "contaminated")
-    return documents.join(found, documents["doc_id"].eqNullSafe(found["_hit_id"]), "left_anti")
+    rows = with_row_key(documents)
+    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), items).where("n_hit > 0")
+    found = stage(found.select(F.col("doc_id").alias(ROW)), "contaminated")
+    return rows.join(found, ROW, "left_anti").select(*documents.columns)

@@ -24,6 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import ROW, with_row_key
 from kerbside.llm.components import components
 from kerbside.session import stage
 
@@ -161,10 +162,16 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def drop_near_copies(documents: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """``documents`` without the rows whose group has a smaller doc_id; columns unchanged.
+    """``documents`` with one row of each group, that of the smallest doc_id; columns unchanged.
 
-    Rows that share a doc_id stay or go together; rows with a NULL doc_id stay.
+    Every row is judged by its own text, so repeated rows are copies and another text under the same
+    doc_id is not. Rows with a NULL doc_id give way to each other, not to those with one: a group keeps
+    one of either kind.
     """
-    found = simhash_components(documents, shingle, max_bits)
-    removed = found.where(F.col("doc_id") > F.col("component_id")).select(F.col("doc_id")).distinct()
-    return documents.join(stage(removed, "removed_copies"), "doc_id", "left_anti")
+    rows = with_row_key(documents)
+    found = simhash_components(rows.select(F.col(ROW).alias("doc_id"), "text"), shingle, max_bits)
+    grouped = found.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    kept = grouped.groupBy("component_id", F.col("doc_id").isNull().alias("unnamed")).agg(
+        F.min(F.struct("doc_id", ROW))[ROW].alias(ROW)
+    )
+    return rows.join(stage(kept.select(ROW), "kept_rows"), ROW, "left_semi").select(*documents.columns)

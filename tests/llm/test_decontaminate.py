@@ -77,3 +77,10 @@ def test_query_digest_is_sorted_as_strings(spark):
     docs, items = _tables(spark, [(1, ten)], [(10, ten), (9, ten)])
     row = decontaminate.contamination(docs, items).select(F.sha2(F.concat_ws(",", "item_ids"), 256)).first()
     assert row[0] == hashlib.sha256(b"10,9").hexdigest()
+
+
+def test_clean_rows_stay_beside_contaminated_namesakes(spark):
+    ten = "a1 b2 c3 d4 e5 f6 g7 h8 i9 j10"
+    docs, items = _tables(spark, [(None, ten), (None, "clean one"), (None, None), (7, "clean two"), (7, ten)], [(5, ten)])
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert sorted(str((r.doc_id, r.text)) for r in kept.collect()) == ["(7, 'clean two')", "(None, 'clean one')", "(None, None)"]

@@ -153,3 +153,12 @@ def test_embeddings_odd_rows(spark):
     got = _checked(embedding_dedup.near_vectors(_vectors(spark, repeated)))
     assert got == {1: (1, 1, True), 2: (1, 1, False), None: (0, None, False)}
     assert embedding_dedup.near_vectors(_vectors(spark, [])).count() == 0
+
+
+def test_one_row_of_each_group_is_kept(spark):
+    """Repeated rows, copies without an id, and another text under the id of a removed copy."""
+    rows = [(1, "x y z"), (1, "x y z"), (2, "x y z"), (2, "quite other words here"), (None, "only unnamed copies"), (None, "only unnamed copies")]
+    kept = simhash_dedup.drop_near_copies(_docs(spark, rows)).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in kept) == [
+        "(1, 'x y z')", "(2, 'quite other words here')", "(None, 'only unnamed copies')"
+    ]
