@@ -66,3 +66,17 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, learna
 def with_row_key(documents: DataFrame) -> DataFrame:
     """``documents`` with a number of its own for every row, written once so that the numbers stay."""
     return stage(documents.withColumn(ROW, F.monotonically_increasing_id()), "keyed_rows")
+
+
+def bounded_draw(documents: DataFrame, limit: int) -> DataFrame:
+    """(doc_id, text, draw) of about ``limit`` different rows and never more, the same at any partitioning.
+
+    Drawn by a hash of id and text, so rows that share an id, NULL included, are drawn one by one; copies of
+    a row count once. What comes to the last sort is about ``limit`` rows whatever the input.
+    """
+    total = documents.count()
+    scale = 1 << 30
+    share = min(1.0, limit / max(total, 1))
+    keyed = documents.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("draw"))
+    passed = keyed.where(F.pmod("draw", F.lit(scale)) < F.lit(int(share * scale)))
+    return passed.dropDuplicates(["draw"]).orderBy("draw").limit(limit)

@@ -21,6 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import bounded_draw
 from kerbside.session import stage
 
 # Short public notices by which works state their licence.
@@ -161,13 +162,9 @@ def scan_licences(
     """
     spark = documents.sparkSession
     docs = documents.select("doc_id", "text")
-    total = docs.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+    drawn = bounded_draw(docs.where(F.col("text").isNotNull()), sample_rows)
     lines = F.split(F.col("text"), "\n")  # one paragraph of each sampled document
-    some = drawn.where(F.col("text").isNotNull()).select(
-        F.get(lines, F.pmod(F.xxhash64("doc_id"), F.size(lines)).cast("int")).alias("p")
-    )
+    some = drawn.select(F.get(lines, F.pmod("draw", F.size(lines)).cast("int")).alias("p"))
     model = fit_licences(sorted(r.p for r in some.collect() if r.p))
     classes = [*FAMILIES, UNKNOWN]
     singles = [g for g in model.grams if " " not in g]

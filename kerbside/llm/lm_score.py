@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.llm.common import bounded_draw
 from kerbside.llm.tokens import Words, blocks, encoded, kinds, words_of
 from kerbside.session import stage
 
@@ -201,9 +202,7 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
                 seen += len(rows)
         return seen
 
-    total = documents.count()
-    share = min(1.0, sample_rows / max(total, 1))
-    drawn = documents.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))).select("doc_id", "text")
+    drawn = bounded_draw(documents, sample_rows).select("doc_id", "text")
 
     def task(start: np.ndarray, every: int, rounds: tuple[float, ...]):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

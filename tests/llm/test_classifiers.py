@@ -187,3 +187,17 @@ def test_licences(spark):
     assert (by[1002].families, by[1002].n_confirmed) == ("cc-by-nc-4.0,gpl-3.0", 2)
     assert by[1004].family is None and by[1005].n_paragraphs == 0 and by[1006].family is None
     assert license_scan.scan_licences(docs.limit(0)).count() == 0
+
+
+def test_samples_stay_bounded_where_ids_are_null_or_repeated(spark, monkeypatch):
+    from kerbside.llm import common
+
+    rows = [(None, f"unnamed {i}") for i in range(900)] + [(7, f"namesake {i}") for i in range(900)] + [(i, f"text {i}") for i in range(900)]
+    docs = _docs(spark, rows + [(None, "copy")] * 300)
+    drawn = common.bounded_draw(docs, 200).collect()
+    assert 120 < len(drawn) <= 200 and len({r.text for r in drawn}) == len(drawn)
+    assert 20 < sum(r.doc_id is None for r in drawn) < 110 and sum(r.doc_id == 7 for r in drawn) < 110
+    sizes, fit = [], license_scan.fit_licences
+    monkeypatch.setattr(license_scan, "fit_licences", lambda background: (sizes.append(len(background)), fit(background, epochs=2))[1])
+    license_scan.scan_licences(docs, sample_rows=200)
+    assert sizes and sizes[0] <= 200
