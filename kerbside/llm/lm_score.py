@@ -1,31 +1,32 @@
 """Masked pseudo-likelihood: a bidirectional window network predicts every token from both sides.
 
-Tokens are words and runs of signs. The most frequent ones are classes of their own; every other token
-belongs to one of the tail classes, by the hash of its last bytes, in which its share is its count over
-the class's count. Counts come from the whole texts of all documents.
+Tokens are words and runs of signs. The most frequent ones are classes of their own, the more the more
+different tokens the corpus has; every other token belongs to one of the tail classes, by its last two bytes, in
+which its share is its count over the class's count. Counts come from the whole texts of all documents. Shares of
+the SHIPPED most frequent tail tokens go to the tasks, those of all others meet the documents in a join.
 
 The network: embeddings of the two tokens to the left and the two to the right, one per place, are
 summed, pass a tanh layer and a softmax over classes. It starts from a fit on a bounded sample; then every
 task goes on from there over its own documents, and the weights are averaged by tokens seen (local
-gradient steps with one averaging round), so all documents take part. A document's score
+gradient steps with one averaging round), so all tokens of all documents take part. A document's score
 is the sum of log p(token | both sides) over its tokens.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import bounded_draw
+from kerbside.llm.common import ROW, bounded_draw
 from kerbside.llm.tokens import Words, blocks, encoded, kinds, words_of
 from kerbside.session import stage
 
-HEAD = 192  # classes of single tokens
+HEAD = 192  # classes of single tokens, before those a corpus adds by its number of different tokens
 TAIL = 62  # classes of all other tokens
 EDGE = HEAD + TAIL  # what stands beyond the ends of a text
 CLASSES = HEAD + TAIL  # predicted
@@ -37,30 +38,63 @@ _SIGNS = bytes(c for c in range(33, 127) if c not in _ALNUM)
 _TABLE = kinds(_ALNUM, _SIGNS)
 #: Distinct tokens a task counts before it hands them on.
 FLUSH = 400_000
+#: Tail tokens whose shares the tasks get in advance; only saves rows of the join, which knows all others.
+SHIPPED = 1 << 16
+
+
+def head_size(types: int) -> int:
+    """Classes of single tokens for a corpus of so many different tokens."""
+    return HEAD + round(types ** (1 / 3))
 
 
 @dataclass
 class Vocabulary:
-    """Classes of frequent tokens by hash (sorted), and the log of the number of tokens of each tail class."""
+    """Classes of frequent tokens by hash (sorted), the size of each tail class, and shares of tail tokens by hash (sorted)."""
 
     hashes: np.ndarray
     classes: np.ndarray
     tail_tokens: np.ndarray  # all occurrences in each tail class
     tail_types: np.ndarray  # distinct tokens in each tail class
+    head: int = HEAD
+    shipped: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype=np.uint64))
+    shipped_gain: np.ndarray = field(default_factory=lambda: np.zeros(0))
+
+    @property
+    def size(self) -> int:
+        """Number of classes; the next number stands for what is beyond the ends of a text."""
+        return self.head + TAIL
 
     def classify(self, words: Words) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.hashes, words.hash), max(len(self.hashes) - 1, 0))
-        known = self.hashes[at] == words.hash if len(self.hashes) else np.zeros(len(words.hash), dtype=bool)
-        out = HEAD + tail_classes(words)
+        at, known = _found(self.hashes, words.hash)
+        out = self.head + tail_classes(words)
         out[known] = self.classes[at[known]]
         return out
 
     def within(self, classes: np.ndarray) -> np.ndarray:
-        """log p(token | class): 0 for classes of one token, an even share of the class's types for the others."""
-        share = np.zeros(CLASSES + 1)
-        share[HEAD : HEAD + TAIL] = -np.log(np.maximum(self.tail_types, 1))
+        """log p(token | class) without ``gain``: 0 for classes of one token, an even share of the class's types for the others."""
+        share = np.zeros(self.size + 1)
+        share[self.head : self.head + TAIL] = -np.log(np.maximum(self.tail_types, 1))
         return share[classes]
 
+    def even_count(self) -> np.ndarray:
+        """Of each tail class, the count of a token that has just an even share; its gain is 0."""
+        return np.maximum(self.tail_tokens, 1) / np.maximum(self.tail_types, 1)
+
+    def gain(self, words: Words, classes: np.ndarray) -> np.ndarray:
+        """log of the token's count over the even count: 0 in classes of one token, NaN for what is not shipped."""
+        at, known = _found(self.shipped, words.hash)
+        out = np.where(classes < self.head, 0.0, np.nan)
+        out[known] = self.shipped_gain[at[known]]
+        return out
+
+
+def _found(hashes: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted ``hashes`` and whether the wanted hash stands there."""
+    if not len(hashes):
+        return np.zeros(len(wanted), dtype=np.int64), np.zeros(len(wanted), dtype=bool)
+    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+    return at, hashes[at] == wanted
+
 
 def tail_classes(words: Words) -> np.ndarray:
     """Tail class by the last two bytes of a token."""
@@ -110,44 +144,48 @@ def token_counts(documents: DataFrame) -> DataFrame:
     )
 
 
-def fit_vocabulary(documents: DataFrame) -> Vocabulary:
-    """The driver gets the HEAD most frequent tokens and TAIL sums."""
-    counts = stage(token_counts(documents), "token_counts")
-    head = counts.orderBy(F.desc("n"), "hash").limit(HEAD).collect()
-    named = {r.hash for r in head}
+def fit_vocabulary(counts: DataFrame) -> Vocabulary:
+    """From all (hash, tail, n). The driver gets the most frequent tokens, SHIPPED beside the head, and TAIL sums."""
     tail_tokens, tail_types = np.zeros(TAIL), np.zeros(TAIL)
-    rest = counts.where(~F.col("hash").isin(*named)) if named else counts
-    for r in rest.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():  # TAIL rows
+    for r in counts.groupBy("tail").agg(F.sum("n").alias("n"), F.count("*").alias("types")).collect():  # TAIL rows
         tail_tokens[r.tail], tail_types[r.tail] = r.n, r.types
-    hashes = np.array([r.hash for r in head], dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return Vocabulary(hashes[order], np.arange(len(head))[order], tail_tokens, tail_types)
+    size = head_size(int(tail_types.sum()))
+    top = counts.orderBy(F.desc("n"), "hash").limit(size + SHIPPED).toPandas()
+    head, rest = top[:size], top[size:]
+    np.subtract.at(tail_tokens, head["tail"].to_numpy(np.int64), head["n"].to_numpy(np.int64))
+    np.subtract.at(tail_types, head["tail"].to_numpy(np.int64), 1)
+    hashes, shipped = (x["hash"].to_numpy(np.int64).view(np.uint64) for x in (head, rest))
+    order, behind = np.argsort(hashes), np.argsort(shipped)
+    out = Vocabulary(hashes[order], np.arange(len(head))[order], tail_tokens, tail_types, size, shipped[behind])
+    out.shipped_gain = np.log(rest["n"].to_numpy(float) / out.even_count()[rest["tail"].to_numpy(np.int64)])[behind]
+    return out
 
 
 @dataclass
 class WindowNet:
-    places: np.ndarray  # (2 * SIDE, CLASSES + 1, UNITS) embeddings per place
-    out: np.ndarray  # (UNITS, CLASSES)
-    bias: np.ndarray  # (CLASSES,)
+    places: np.ndarray  # (2 * SIDE, classes + 1, UNITS) embeddings per place
+    out: np.ndarray  # (UNITS, classes)
+    bias: np.ndarray  # (classes,)
 
     @classmethod
-    def fresh(cls, seed: int = 9) -> WindowNet:
+    def fresh(cls, seed: int = 9, classes: int = CLASSES) -> WindowNet:
         rng = np.random.default_rng(seed)
         return cls(
-            rng.normal(0, 0.3, (2 * SIDE, CLASSES + 1, UNITS)).astype(np.float32),
-            rng.normal(0, 0.2, (UNITS, CLASSES)).astype(np.float32),
-            np.zeros(CLASSES, dtype=np.float32),
+            rng.normal(0, 0.3, (2 * SIDE, classes + 1, UNITS)).astype(np.float32),
+            rng.normal(0, 0.2, (UNITS, classes)).astype(np.float32),
+            np.zeros(classes, dtype=np.float32),
         )
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.places.ravel(), self.out.ravel(), self.bias])
 
     @classmethod
-    def of(cls, flat: np.ndarray) -> WindowNet:
+    def of(cls, flat: np.ndarray, classes: int) -> WindowNet:
         flat = flat.astype(np.float32)
-        a = 2 * SIDE * (CLASSES + 1) * UNITS
-        b = a + UNITS * CLASSES
-        return cls(flat[:a].reshape(2 * SIDE, CLASSES + 1, UNITS).copy(), flat[a:b].reshape(UNITS, CLASSES).copy(), flat[b:].copy())
+        a = 2 * SIDE * (classes + 1) * UNITS
+        b = a + UNITS * classes
+        c = b + classes
+        return cls(flat[:a].reshape(2 * SIDE, classes + 1, UNITS).copy(), flat[a:b].reshape(UNITS, classes).copy(), flat[b:c].copy())
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
         return np.tanh(sum(self.places[k][context[:, k]] for k in range(2 * SIDE)))
@@ -171,16 +209,20 @@ class WindowNet:
             self.out -= step * (h.T @ p)
             self.bias -= step * p.sum(0)
             for k in range(2 * SIDE):
-                slope = np.zeros((CLASSES + 1, UNITS), dtype=np.float32)
-                np.add.at(slope, c[:, k], back)
-                self.places[k] -= step * slope
+                order = np.argsort(c[:, k], kind="stable")  # sums per class
+                own = c[order, k]
+                first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                self.places[k][own[first]] -= step * np.add.reduceat(back[order], first)
 
 
 def contexts(texts: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every token of some texts: classes around it (left to right), its own class, its text."""
-    words = words_of(texts, _TABLE)
+    return _contexts(words_of(texts, _TABLE), vocabulary)
+
+
+def _contexts(words: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     classes = vocabulary.classify(words)
-    around = np.full((len(classes), 2 * SIDE), EDGE)
+    around = np.full((len(classes), 2 * SIDE), vocabulary.size)
     for d in range(1, SIDE + 1):
         same = words.owner[d:] == words.owner[:-d]
         around[d:, SIDE - d][same] = classes[:-d][same]
@@ -188,9 +230,9 @@ def contexts(texts: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np
     return around, classes, words.owner
 
 
-def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int = 1500, stride: int = 4) -> WindowNet:
+def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int = 1500, stride: int = 1) -> WindowNet:
     """Start: about ``sample_rows`` documents. Then one round over all documents: of each, every
-    ``stride``-th token from an offset given by its length is a target (all are context)."""
+    ``stride``-th token from an offset given by its length is a target (all are context), by default all."""
 
     def train(net: WindowNet, texts: list[bytes], every: int, rate: float) -> int:
         seen = 0
@@ -206,7 +248,7 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
 
     def task(start: np.ndarray, every: int, rounds: tuple[float, ...]):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            net, seen = unpadded(start), 0
+            net, seen = WindowNet.of(start, vocabulary.size), 0
             for batch in batches:
                 texts = [encoded(t).lower() for t in batch["text"]]
                 for rate in rounds:
@@ -229,9 +271,9 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
             out[r.piece] = np.array(r[2:]) / r.seen
         return out.ravel()
 
-    flat = padded(WindowNet.fresh())
+    flat = padded(WindowNet.fresh(classes=vocabulary.size))
     flat = averaged(stage(drawn.coalesce(1), "lm_sample"), flat, 1, (0.5, 0.5, 0.25))
-    return unpadded(averaged(documents, flat, stride, (0.2,)))
+    return WindowNet.of(averaged(documents, flat, stride, (0.2,)), vocabulary.size)
 
 
 def padded(net: WindowNet) -> np.ndarray:
@@ -239,10 +281,6 @@ def padded(net: WindowNet) -> np.ndarray:
     return np.concatenate([flat, np.zeros(-len(flat) % 64, dtype=flat.dtype)])
 
 
-def unpadded(flat: np.ndarray) -> WindowNet:
-    return WindowNet.of(flat[: len(WindowNet.fresh().flat())])
-
-
 def score_documents(documents: DataFrame, **fit) -> DataFrame:
     """(doc_id, n_tokens, log_likelihood, mean_log_likelihood) of every row of ``documents``.
 
@@ -250,25 +288,39 @@ def score_documents(documents: DataFrame, **fit) -> DataFrame:
     scored one by one; only doc_id and text are read.
     """
     documents = documents.select("doc_id", "text")
-    vocabulary = fit_vocabulary(documents)
+    counts = stage(token_counts(documents), "token_counts")
+    vocabulary = fit_vocabulary(counts)
     net = fit_network(documents, vocabulary, **fit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            n_tokens, sums = [], []
+            n_tokens, sums, rare = [], [], []
             for block in blocks([encoded(t).lower() for t in batch["text"]]):
-                around, target, owner = contexts(block, vocabulary)
+                words = words_of(block, _TABLE)
+                around, target, owner = _contexts(words, vocabulary)
                 found = np.zeros(len(target))
                 for at in range(0, len(target), 4096):
                     found[at : at + 4096] = net.log_probabilities(around[at : at + 4096], target[at : at + 4096])
-                found += vocabulary.within(target)
+                gain = vocabulary.gain(words, target)
+                left = np.flatnonzero(np.isnan(gain))
+                gain[left] = 0.0
+                found += vocabulary.within(target) + gain
                 n_tokens.append(np.bincount(owner, minlength=len(block)))
                 sums.append(np.bincount(owner, found, len(block)))
+                ends = np.searchsorted(owner[left], np.arange(1, len(block)))
+                rare += np.split(words.hash[left].view(np.int64), ends)
             n, s = (np.concatenate(v) if v else np.zeros(0) for v in (n_tokens, sums))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n.astype(np.int64), "log_likelihood": s})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n.astype(np.int64), "known": s, "rare": rare})
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    scored = documents.mapInPandas(run, f"doc_id {kind}, n_tokens bigint, log_likelihood double")
+    passed = documents.mapInPandas(run, f"doc_id {kind}, n_tokens bigint, known double, rare array<bigint>")
+    passed = stage(passed.withColumn(ROW, F.monotonically_increasing_id()), "lm_scores")
+    even = F.array(*[F.lit(float(x)) for x in np.log(vocabulary.even_count())])
+    gains = counts.select("hash", (F.log("n") - F.get(even, F.col("tail").cast("int"))).alias("gain"))
+    added = passed.select(ROW, F.explode("rare").alias("hash")).join(gains, "hash").groupBy(ROW).agg(F.sum("gain").alias("gain"))
+    scored = passed.join(added, ROW, "left").select(
+        "doc_id", "n_tokens", (F.col("known") + F.coalesce("gain", F.lit(0.0))).alias("log_likelihood")
+    )
     return scored.withColumn(
         "mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
     )

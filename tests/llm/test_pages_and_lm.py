@@ -170,3 +170,19 @@ def test_token_counts_are_exact(spark, monkeypatch):
     rows = [(i, f"word{i % 7} Word{i % 3} !! é", "", 0, 0) for i in range(300)] + [(None, None, "", 0, 0)]
     counts = lm_score.token_counts(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
     assert sum(r.n for r in counts) == 1200 and sorted(r.n for r in counts)[-2:] == [300, 300] and len(counts) == 9
+
+
+@pytest.mark.parametrize("shipped", [1 << 16, 0])
+def test_tail_tokens_have_their_own_share(spark, monkeypatch, shipped):
+    """Three tokens of one tail class in the same context: scores differ by the log of their counts."""
+    prepare(spark)
+    monkeypatch.setattr(lm_score, "SHIPPED", shipped)
+    monkeypatch.setattr(lm_score, "head_size", lambda types: 3)
+    rows = [(i, f"the {w} sings", "", 0, 0) for i, w in enumerate(["oftenab"] * 40 + ["seldomab"] * 4 + ["onceab"])]
+    common = [(1000 + i, "the bird sings bird", "", 0, 0) for i in range(50)]
+    got = {r.doc_id: r.log_likelihood for r in lm_score.score_documents(spark.createDataFrame(rows + common, DOCS)).collect()}
+    assert got[0] - got[40] == pytest.approx(math.log(10), abs=1e-4) and got[40] - got[44] == pytest.approx(math.log(4), abs=1e-4)
+
+
+def test_head_grows_with_the_corpus():
+    assert lm_score.head_size(0) == lm_score.HEAD < lm_score.head_size(10**4) < lm_score.head_size(10**6) < lm_score.head_size(10**9)
