@@ -2,6 +2,7 @@
 
 A writer's word passes a channel that may replace letters by look-alikes (l0ser), stretch them
 (looooser) or space them out (l o s e r). Words that could have passed it span a lattice of letters;
+in spaced-out letters every sign between two may be nothing or the end of a word;
 a Viterbi search picks the path that is likeliest under a character trigram model counted over all
 documents, times the channel's costs. All other words have a lattice of one path and stay as they are.
 
@@ -39,7 +40,8 @@ SYMBOLS = 28
 
 LEET_COST = 1.0  # of a look-alike, in nats
 STRETCH_COST = 1.0  # of a letter stretched to three or more
-JOIN_COST = 0.5  # of a space between single letters
+JOIN_COST = 0.5  # of a sign between single letters that joins them, and of each that is wider than the narrowest
+BREAK_COST = 0.5  # of a narrowest sign between spaced letters that ends a word; wider ones end it at no cost
 DROP_COST = 2.0  # of a sign that stands for nothing
 
 #: The byte that any Latin-1 byte folds to: lower case, no marks, a space for what is no ASCII character then.
@@ -160,31 +162,52 @@ class Restorer:
             slots.append(ways)
         return slots
 
-    def decode(self, word: str, spaced: bool = False) -> str:
+    def _spaced_slots(self, letters: str, join: list[float], part: list[float]) -> list[list[tuple[str, float]]]:
+        """The lattice of spaced-out letters: after letter k nothing (at the cost ``join[k]``) or a space (``part[k]``)."""
+        slots, at = [], 0
+        for run in re.finditer(r"(.)\1*", letters):
+            n, (first, last) = len(run[0]), run.span()
+            whole = sum(join[first : last - 1])
+            ways = [(text, cost + whole) for way in self._slots(run[0], True) for text, cost in way]
+            for k in range(first, last - 1):  # one break within the run
+                rest = whole - join[k] + part[k]
+                halves = [[w for way in self._slots(letters[a:b], True) for w in way] for a, b in ((first, k + 1), (k + 1, last))]
+                ways += [(f"{x} {y}", a + b + rest) for x, a in halves[0] for y, b in halves[1] if x and y]
+            if n > 2:
+                ways.append((" ".join(run[0]), sum(part[first : last - 1])))
+            slots.append(ways)
+            at = last - 1
+            if last < len(letters):
+                slots.append([("", join[at]), (" ", part[at])])
+        return slots
+
+    def decode(self, word: str) -> str:
         known = self.memory.get(word)
-        if known is not None:
-            return known
+        if known is None:
+            if len(self.memory) > 200_000:  # a cache only: what is forgotten is decoded again
+                self.memory.clear()
+            known = self.memory[word] = self._likeliest(self._slots(word, False))[1]
+        return known
+
+    def _likeliest(self, slots: list[list[tuple[str, float]]]) -> tuple[float, str]:
+        """Cost and text of the best path; a space in it ends a word and begins another."""
         costs, code = self.costs, _CODE
         # states: (last but one symbol, last symbol) -> (cost, text)
         states = {(EDGE, EDGE): (0.0, "")}
-        for ways in self._slots(word, spaced):
+        for ways in slots:
             after: dict[tuple[int, int], tuple[float, str]] = {}
             for (a, b), (cost, text) in states.items():
                 for letters, price in ways:
                     x, y, total = a, b, cost + price
                     for c in letters:
-                        z = code.get(c, OTHER)
+                        z = EDGE if c == " " else code.get(c, OTHER)
                         total += costs[(x * SYMBOLS + y) * SYMBOLS + z]
-                        x, y = y, z
+                        x, y = (EDGE, EDGE) if c == " " else (y, z)
                     best = after.get((x, y))
                     if best is None or total < best[0]:
                         after[x, y] = (total, text + letters)
             states = after
-        found = min((cost + costs[(a * SYMBOLS + b) * SYMBOLS + EDGE], text) for (a, b), (cost, text) in states.items())[1]
-        if len(self.memory) > 200_000:  # a cache only: what is forgotten is decoded again
-            self.memory.clear()
-        self.memory[word] = found
-        return found
+        return min((cost + costs[(a * SYMBOLS + b) * SYMBOLS + EDGE], text) for (a, b), (cost, text) in states.items())
 
     def _price(self, words: list[str]) -> float:
         total = 0.0
@@ -194,15 +217,26 @@ class Restorer:
         return total
 
     def _joined(self, piece: str) -> str:
-        """Single letters in a row: one word if that is likelier than so many words of one letter."""
-        letters = "".join(c for c in piece if _KIND[ord(c)] != 3)
+        """Single letters in a row: the likeliest words of them, if likelier than so many words of one letter."""
+        known = self.memory.get(piece)
+        if known is None:
+            if len(self.memory) > 200_000:
+                self.memory.clear()
+            known = self.memory[piece] = self._words_of_letters(piece)
+        return known
+
+    def _words_of_letters(self, piece: str) -> str:
+        at = [i for i, c in enumerate(piece) if _KIND[ord(c)] != 3]
+        letters = "".join(piece[i] for i in at)
         if not any(c.isalpha() for c in letters):
             return piece
-        word = self.decode(letters, spaced=True)
-        apart = self._price(list(letters))
-        return f" {word} " if self._price([word]) + JOIN_COST * len(letters) < apart else piece
+        wider = [b - a for a, b in pairwise(at)]
+        wider = [w - min(wider) for w in wider]
+        join, part = [JOIN_COST * (1 + w) for w in wider], [0.0 if w else BREAK_COST for w in wider]
+        cost, text = self._likeliest(self._spaced_slots(letters, join, part))
+        return f" {text} " if cost < self._price(list(letters)) else piece
 
-    def _disguised(self, block: bytes) -> list[tuple[int, int, bool]]:
+    def _disguised(self, block: bytes, starts: list[int]) -> list[tuple[int, int, bool]]:
         """(start, end, spaced) of the words of a block whose lattice has more than one path, in order."""
         a = np.frombuffer(block, dtype=np.uint8)
         kind = _KIND[a]
@@ -211,20 +245,13 @@ class Restorer:
         spots = np.flatnonzero(same[1:] & same[:-1] & (kind[2:] == 1))
         mixed = kind[1:] + 4 * kind[:-1]
         spots = np.concatenate([spots, np.flatnonzero((mixed == 6) | (mixed == 9))])  # a letter beside a look-alike
-        found = []
         alone = np.flatnonzero(part[1:-1] & ~part[:-2] & ~part[2:]) + 1
-        near = np.diff(alone) <= 3
-        i = 0
-        while i < len(near):
-            if not near[i]:
-                i += 1
-                continue
-            j = i
-            while j < len(near) and near[j] and (kind[alone[j] + 1 : alone[j + 1]] == 3).all():
-                j += 1
-            if j - i >= 2:
-                found.append((int(alone[i]), int(alone[j]) + 1, True))
-            i = max(j, i + 1)
+        # Neighbours have only signs between them, however many, and are of one text.
+        foreign = np.concatenate([[0], np.cumsum(kind != 3)])
+        owner = np.searchsorted(starts, alone, side="right")
+        near = (foreign[alone[1:]] == foreign[alone[:-1] + 1]) & (owner[1:] == owner[:-1])
+        change = np.flatnonzero(np.diff(np.concatenate([[False], near, [False]]).astype(np.int8)))
+        found = [(int(alone[i]), int(alone[j]) + 1, True) for i, j in zip(change[::2], change[1::2], strict=True) if j - i >= 2]
         if len(spots):
             edges = np.flatnonzero(~part)
             at = np.unique(np.searchsorted(edges, spots))
@@ -236,7 +263,7 @@ class Restorer:
     def restore_block(self, starts: list[int], block: bytes) -> tuple[list[int], bytes]:
         """The restored block and where its texts start then."""
         out, done, shifts, shift = [], 0, [(0, 0)], 0
-        for x, y, spaced in self._disguised(block):
+        for x, y, spaced in self._disguised(block, starts):
             if x < done or x >= y:
                 continue
             piece = block[x:y].decode()

@@ -201,3 +201,19 @@ def test_samples_stay_bounded_where_ids_are_null_or_repeated(spark, monkeypatch)
     monkeypatch.setattr(license_scan, "fit_licences", lambda background: (sizes.append(len(background)), fit(background, epochs=2))[1])
     license_scan.scan_licences(docs, sample_rows=200)
     assert sizes and sizes[0] <= 200
+
+
+@pytest.mark.parametrize(
+    ("seen", "word"),
+    [
+        ("you are a d i m w i t", "dimwit"), ("y o u a r e a d i m w i t", "dimwit"), ("b - l - o - c - k - h - e - a - d", "blockhead"),
+        ("d i m w i t  n i t w i t", "nitwit"), ("d.i.m.w.i.t. .n.i.t.w.i.t", "dimwit"), ("a d i i i i m w i t", "dimwit"),
+    ],
+)
+def test_spaced_words_beside_others(restorer, seen, word):
+    assert word in restorer.restore(seen).split()
+
+
+def test_letters_of_two_texts_stay_apart(restorer):
+    model = toxicity.ToxicityModel(restorer.costs, {"dimwit.": 9.0}, -3.0)
+    assert max(model.score_texts(["d i m", "w i t"], restorer, model.heads())) < 0.1
