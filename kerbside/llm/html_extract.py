@@ -3,10 +3,12 @@
 The standard library's streaming parser turns a page into lines, one per block of text. A line's
 text-to-tag ratio is its characters over the tags that opened since the line before, links weighing
 more. The ratios are smoothed with a Gaussian window and split into two clusters by a threshold found
-by iterated means; lines of the upper cluster vote for the containers they stand in. The
-content is the innermost container that holds most of the upper cluster's text; all its lines belong to it,
+by iterated means; lines of the upper cluster that are not mostly
+links vote for the containers they stand in. The
+content is the innermost container that holds all of the upper cluster's text; all its lines belong to it,
 short ones too, except those inside parts that are no article: menus, headers, footers, sidebars,
-notices, adverts, forms and comments, known by tag, role, id or class.
+notices, adverts, forms and comments, known by tag, role, id or class. A part known by id or class only counts as
+content where the measured text says so (``_overruled``).
 """
 
 from __future__ import annotations
@@ -55,11 +57,14 @@ _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 #: Words that may also name a wrapper around the article, or its own head.
 LAYOUT_WORDS = frozenset("sidebar side rail header masthead menu nav navbar navigation widget overlay modal".split())
 
-SOFT, HARD = 1, 2
+SOFT, LOOSE, FIRM, HARD = 1, 2, 3, 4
+#: Characters of a line that is running text for sure.
+RUNNING = 80
 
 
 def _apart(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool) -> int:
-    """Whether an element is a part of the page that is no article: 0, SOFT (an article in it counts again) or HARD."""
+    """Whether an element is a part of the page that is no article: 0, SOFT (an article in it counts again), LOOSE
+    (a class or id has a listed word in a name of other words too), FIRM (a whole name is listed) or HARD (tag, role, hidden)."""
     if tag in APART or (tag == "header" and not inside_article):
         return HARD
     if tag in ("html", "body"):
@@ -73,14 +78,15 @@ def _apart(tag: str, attrs: list[tuple[str, str | None]], inside_article: bool)
         if name == "role" and value.strip().lower() in NOT_CONTENT_ROLES:
             return HARD
         if name in ("class", "id"):
-            words = {w for token in value.split() for w in _NAME_PARTS.findall(_CAMEL.sub(" ", token).lower())}
-            words &= NOT_CONTENT_WORDS
-            if tag in CONTENT_TAGS or inside_article:
-                words -= {"header", "masthead"}
-            if tag in CONTENT_TAGS:
-                words -= LAYOUT_WORDS
-            if words:
-                found = max(found, SOFT if words <= LAYOUT_WORDS else HARD)
+            for token in value.split():
+                parts = set(_NAME_PARTS.findall(_CAMEL.sub(" ", token).lower()))
+                words = parts & NOT_CONTENT_WORDS
+                if tag in CONTENT_TAGS or inside_article:
+                    words -= {"header", "masthead"}
+                if tag in CONTENT_TAGS:
+                    words -= LAYOUT_WORDS
+                if words:
+                    found = max(found, SOFT if words <= LAYOUT_WORDS else FIRM if parts <= NOT_CONTENT_WORDS else LOOSE)
     return found
 
 
@@ -91,6 +97,9 @@ class Line:
     container: int
     apart: bool
     heading: bool
+    named: tuple[int, ...] = ()  # parts around it that are no article by id or class
+    linked: int = 0  # characters inside links
+    article: bool = False
 
 
 @dataclass
@@ -98,8 +107,9 @@ class _Open:
     tag: str
     container: int
     silent: bool
-    apart: int
+    apart: bool
     article: bool
+    named: tuple[int, ...]
 
 
 @dataclass
@@ -111,10 +121,11 @@ class PageLines(HTMLParser):
 
     def __post_init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.stack = [_Open("", 0, False, 0, False)]
+        self.stack = [_Open("", 0, False, False, False, ())]
+        self.kinds: list[int] = []  # SOFT, LOOSE or FIRM of each part known by id or class
         self.content: set[int] = set()  # containers that are an article
         self.pieces: list[str] = []
-        self.tags = 0
+        self.tags = self.linked = 0
 
     def updatepos(self, i: int, j: int) -> int:
         """Line and column of a tag are not asked for; counting lines would read every page once more."""
@@ -127,8 +138,9 @@ class PageLines(HTMLParser):
             if text:
                 top = self.stack[-1]
                 heading = any(e.tag == "h1" for e in self.stack)
-                self.lines.append(Line(text, self.tags, top.container, bool(top.apart), heading))
+                self.lines.append(Line(text, self.tags, top.container, top.apart, heading, top.named, self.linked, top.article))
                 self.tags = 0
+            self.linked = 0
 
     def _close(self, at: int) -> None:
         if any(e.tag in BLOCKS for e in self.stack[at:]):
@@ -149,14 +161,14 @@ class PageLines(HTMLParser):
             container = len(self.parents) - 1
             if tag in CONTENT_TAGS:
                 self.content.add(container)
+        kind, named = _apart(tag, attrs, top.article), top.named
+        if tag in CONTENT_TAGS:
+            named = tuple(n for n in named if self.kinds[n] != SOFT)
+        if 0 < kind < HARD:
+            named = (*named, len(self.kinds))
+            self.kinds.append(kind)
         self.stack.append(
-            _Open(
-                tag,
-                container,
-                top.silent or tag in SILENT,
-                max(0 if top.apart == SOFT and tag in CONTENT_TAGS else top.apart, _apart(tag, attrs, top.article)),
-                top.article or tag in CONTENT_TAGS,
-            )
+            _Open(tag, container, top.silent or tag in SILENT, top.apart or kind == HARD, top.article or tag in CONTENT_TAGS, named)
         )
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -187,6 +199,8 @@ class PageLines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.stack[-1].silent:
             self.pieces.append(data)
+            if any(e.tag == "a" for e in self.stack[1:]):
+                self.linked += len(data.strip())
 
     def finish(self) -> list[Line]:
         self.close()
@@ -217,27 +231,54 @@ def cluster_threshold(values: np.ndarray) -> float:
     return cut
 
 
+def _overruled(lines: list[Line], rich: np.ndarray, kinds: list[int]) -> set[int]:
+    """Parts known by id or class that are content nevertheless: no article lies outside such parts, and the
+    part holds most of the articles' rich text; or the page has no article, and the part, whose name has other words
+    too, holds most of the rich text. A part with a name of listed words only is content if nothing else is and it has
+    running text."""
+    possible = [x for x, r in zip(lines, rich, strict=True) if r and not x.apart] or [x for x in lines if not x.apart]
+    articles = [x for x in possible if x.article]
+    if any(not x.named for x in articles):
+        return set()
+    total = sum(len(x.text) for x in articles or possible)
+    held = [0] * len(kinds)
+    for x in articles or possible:
+        for n in x.named:
+            held[n] += len(x.text)
+    out = {n for n, size in enumerate(held) if 2 * size > total and (articles or kinds[n] != FIRM)}
+    if any(not x.apart and out.issuperset(x.named) for x in lines):
+        return out
+    running = {n for x in possible if len(x.text) >= RUNNING for n in x.named}
+    return out | {n for n in running if 2 * held[n] > total}
+
+
 def main_text(html: str | None) -> str:
     """Text of the content region, one block per line of the result; empty for pages without any."""
     page = PageLines()
     page.feed(html or "")
     lines = page.finish()
-    able = [x for x in lines if not x.apart]
-    if not able:
+    if not lines:
         return ""
     ratio = smoothed_ratios(lines)
     rich = ratio > cluster_threshold(ratio)
+    if page.kinds:
+        lifted = _overruled(lines, rich, page.kinds)
+        for x in lines:
+            x.apart = x.apart or not lifted.issuperset(x.named)
+    able = [x for x in lines if not x.apart]
+    if not able:
+        return ""
     votes = np.zeros(len(page.parents))
     for x, r in zip(lines, rich, strict=True):
-        if r and not x.apart:
+        if r and not x.apart and 2 * x.linked < len(x.text):
             votes[x.container] += len(x.text)
     if not votes.any():
         for x in able:
             votes[x.container] += len(x.text)
     for c in range(len(page.parents) - 1, 0, -1):  # children come after their parents
         votes[page.parents[c]] += votes[c]
-    # Innermost container with most of the votes: descend while one child holds at least 9 of 10 characters, but
-    # not below an article, away from a heading, or into a single line.
+    # Innermost container with all the votes: descend while one child holds them, but not below an article, and
+    # outside of articles only past lines that are mostly links.
     children: dict[int, list[int]] = {}
     for c, parent in enumerate(page.parents):
         children.setdefault(parent, []).append(c)
@@ -249,13 +290,17 @@ def main_text(html: str | None) -> str:
             inside[c] |= inside[page.parents[c]]
         return inside
 
+    whole = [c for c in page.content if votes[c] == votes[0]]
+    if whole:
+        inside = below(min(whole))  # the outermost one
+        return "\n".join(x.text for x in able if inside[x.container])
     at, inside = 0, below(0)
-    while at in children and at not in page.content:
+    while at in children:
         best = max(children[at], key=lambda c: votes[c])
-        if best not in children or votes[best] < 0.9 * votes[at]:
+        if best not in children or votes[best] < votes[at]:
             break
         within = below(best)
-        if best not in page.content and any(x.heading and inside[x.container] and not within[x.container] for x in able):
+        if any(inside[x.container] and not within[x.container] and 2 * x.linked < len(x.text) for x in able):
             break
         at, inside = best, within
     return "\n".join(x.text for x in able if inside[x.container])

@@ -186,3 +186,21 @@ def test_tail_tokens_have_their_own_share(spark, monkeypatch, shipped):
 
 def test_head_grows_with_the_corpus():
     assert lm_score.head_size(0) == lm_score.HEAD < lm_score.head_size(10**4) < lm_score.head_size(10**6) < lm_score.head_size(10**9)
+
+
+@pytest.mark.parametrize(
+    ("body", "text"),
+    [
+        (f"<div><div>{'<p>' + LONG:s}{('<p>' + LONG) * 20}</div><div><p>{LONG} last</div></div>", "\n".join([LONG] * 21 + [f"{LONG} last"])),
+        (f"<div><div>{('<p>' + LONG) * 3}</div><div><p>In short.</div></div>", "\n".join([LONG] * 3 + ["In short."])),
+        (f"<div><div>{('<p>' + LONG) * 3}</div><ul><li><a>One more</a><li><a>Two</a></ul></div>", "\n".join([LONG] * 3)),
+        (f"<article>{('<p>' + LONG) * 20}</article><article><p>{LONG} too</article>", "\n".join([LONG] * 20 + [f"{LONG} too"])),
+        (f"<div class='content with-comments'><article><p>{LONG}</article><div id=comments><p>{LONG} nice</div></div>", LONG),
+        (f"<div id='social-sciences'><p>{LONG}</div>", LONG),
+        (f"<div class='no-sidebar'><p>{LONG}</div>", LONG),
+        (f"<div class='notice'><p>{LONG}</div>", LONG),
+        (f"<main><p>{LONG}</main><div id=comments><article><p>{LONG} I say</article></div>", LONG),
+    ],
+)
+def test_main_text_is_whole(body, text):
+    assert html_extract.main_text(FRAME.format(body)) == text
