@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -157,7 +159,7 @@ def scan_licences(
 
     family is the likeliest confirmed family of the document (else the likeliest predicted one, else
     NULL), families all confirmed ones, sorted; n_paragraphs counts paragraphs predicted as a licence with
-    ``threshold`` or more, n_confirmed those that hold ``confirm`` of a template's 5-word shingles.
+    ``threshold`` or more, n_confirmed those that hold ``confirm`` of a template's 5-word shingles and its version.
     NULL and empty texts have none. Repeated rows and rows with NULL ids are judged one by one.
     """
     spark = documents.sparkSession
@@ -244,5 +246,9 @@ def _confirmed(words: Column, family: Column, confirm: float) -> Column:
         w = plain_words(text)
         shingles = sorted({" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
         held = sum((spelled.contains(f" {s} ").cast("int") for s in shingles[1:]), spelled.contains(f" {shingles[0]} ").cast("int"))
-        out = out | ((family == name) & (held >= math.ceil(confirm * len(shingles))))
+        here = (family == name) & (held >= math.ceil(confirm * len(shingles)))
+        for mark in {x for x in w if any(c.isdigit() for c in x)}:  # a version: one of the shingles it is in must stand there
+            of = [spelled.contains(f" {s} ") for s in shingles if mark in s.split(" ")]
+            here = here & reduce(or_, of)
+        out = out | here
     return out

@@ -217,3 +217,11 @@ def test_spaced_words_beside_others(restorer, seen, word):
 def test_letters_of_two_texts_stay_apart(restorer):
     model = toxicity.ToxicityModel(restorer.costs, {"dimwit.": 9.0}, -3.0)
     assert max(model.score_texts(["d i m", "w i t"], restorer, model.heads())) < 0.1
+
+
+def test_another_version_is_not_confirmed(spark):
+    gpl = [t for f, t in license_scan.TEMPLATES if f == "gpl-3.0" and "version 3" in t]
+    rows = [(i, t) for i, t in enumerate(gpl)] + [(10 + i, t.replace("version 3", "version 2")) for i, t in enumerate(gpl)]
+    words = license_scan.word_array(F.col("text"))
+    got = _docs(spark, rows).select("doc_id", license_scan._confirmed(words, F.lit("gpl-3.0"), 0.8).alias("c")).collect()
+    assert {r.doc_id: r.c for r in got} == {0: True, 1: True, 10: False, 11: False}
