@@ -93,7 +93,9 @@ def fit_tables(sample: np.ndarray, largest: int, threshold: float, recall: float
         meets = np.logical_or.accumulate(model.keys(probe) == model.keys(turned), axis=1).mean(0)
         enough = np.flatnonzero(meets >= recall)
         if len(enough) or tables >= 128:
-            model.tables = int(enough[0]) + 1 if len(enough) else tables
+            if not len(enough):
+                raise RuntimeError(f"{tables} tables find {meets[-1]:.4f} of the pairs at the threshold; {recall} are asked for")
+            model.tables = int(enough[0]) + 1
             return model
 
 

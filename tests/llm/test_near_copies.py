@@ -162,3 +162,9 @@ def test_one_row_of_each_group_is_kept(spark):
     assert sorted(str((r.doc_id, r.text)) for r in kept) == [
         "(1, 'x y z')", "(2, 'quite other words here')", "(None, 'only unnamed copies')"
     ]
+
+
+def test_tables_that_miss_the_recall_are_an_error():
+    x = np.random.default_rng(8).normal(size=(200, 64))
+    with pytest.raises(RuntimeError):
+        embedding_dedup.fit_tables(x / np.linalg.norm(x, axis=1, keepdims=True), 10_000_000, 0.3)
