@@ -14,6 +14,7 @@ from kerbside.llm import (
     license_scan,
     lm_score,
     mixing,
+    packing,
     quality,
     simhash_dedup,
     toxicity,
@@ -89,6 +90,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), path, capacity=4096, end_id=1)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,5 +115,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_toxicity": op10_toxicity,
+        "op13_packing": op13_packing,
         "pipeline": pipeline,
     }

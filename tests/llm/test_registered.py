@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_names():
     names = [n for n in queries() if n.startswith("op")]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert "pipeline" in queries() and set(oracle_sql()) <= set(queries())
 
 
