@@ -25,6 +25,7 @@ import zlib
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -39,7 +40,7 @@ from kerbside.llm.common import prepare
 from kerbside.session import stage
 
 #: Bytes of text split into words at once, and bytes of words a worker remembers.
-SEGMENT, REMEMBERED = 1 << 22, 1 << 26
+SEGMENT, REMEMBERED = 1 << 22, 1 << 27
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
 # letters of ASCII and Latin-1, then signs of ASCII without the apostrophe: two tokens to any word tokenizer
 _WORD_AND_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
@@ -72,14 +73,15 @@ class WordIds(dict):
         return b"".join(parts)
 
     def _words(self, words: list[bytes]) -> bytes:
+        found = list(map(self.get, words))
         try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
+            return b"".join(found)
+        except TypeError:  # some are new
             if self.size > REMEMBERED:
                 self.clear()
                 self.size = 0
-            self._learn(set(words).difference(self))
-            return b"".join(map(self.__getitem__, words))
+            self._learn({w for w, ids in zip(words, found, strict=True) if ids is None})
+            return b"".join([self[w] if ids is None else ids for w, ids in zip(words, found, strict=True)])
 
     def _learn(self, words: set[bytes]) -> None:
         split = {w: m.groups() for w in words if (m := _WORD_AND_SIGNS.fullmatch(w))}
@@ -92,6 +94,12 @@ class WordIds(dict):
         self.size += sum(100 + len(w) for w in words) + 4 * sum(len(e.ids) for e in encoded)
 
 
+@lru_cache(maxsize=1)
+def _word_ids(vocabulary: str) -> WordIds:
+    """One memory of words for all tasks that a Python worker runs."""
+    return WordIds(vocabulary)
+
+
 class WholeIds:
     """Ids of whole texts, for any other vocabulary."""
 
@@ -219,7 +227,7 @@ def pack_documents(
     prepare(documents.sparkSession)
     with open(vocabulary, encoding="utf-8") as f:
         content = f.read()
-    encoder = (lambda: WordIds(content)) if whole_words else (lambda: WholeIds(content))
+    encoder = (lambda: _word_ids(content)) if whole_words else (lambda: WholeIds(content))
     id_type = documents.schema["doc_id"].dataType
     piece = T.StructType().add("doc_id", id_type).add("piece", "integer").add("start", "long").add("length", "long")
     piece = piece.add("ids_crc32", "long")
