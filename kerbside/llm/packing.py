@@ -39,59 +39,80 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from kerbside.llm.common import prepare
 from kerbside.session import stage
 
-#: Bytes of text split into words at once, and bytes of words a worker remembers.
-SEGMENT, REMEMBERED = 1 << 22, 1 << 27
+#: Bytes of text split into words at once; half the words a Python worker remembers, about 200 bytes each.
+SEGMENT, REMEMBERED = 1 << 22, 250_000
 _SPACE = re.compile(rb"[ \t\n\r\x0b\x0c]")
-# letters of ASCII and Latin-1, then signs of ASCII without the apostrophe: two tokens to any word tokenizer
-_WORD_AND_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
+# small letters of ASCII and Latin-1: one token before the merges, and untouched by normalisation
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+# such letters, then signs of ASCII without the apostrophe: two tokens before the merges
+_LETTERS_AND_SIGNS = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]+)")
 
 
-class WordIds(dict):
-    """Ids (little-endian unsigned 32 bit) of each white-space separated word, each encoded once.
+class WordIds:
+    """Ids (little-endian unsigned 32 bit) of each white-space separated word, kept while words come again.
 
-    For vocabularies that lower-case and drop white space, where no token spans two words. ``special``
-    starts the tokenizer's special tokens, whose spelling counts.
+    For vocabularies that lower-case and split texts into words and signs, where no token spans two words.
+    Words of small letters alone go straight to the tokenizer's merges, all others through the whole of it.
+    ``special`` starts the tokenizer's special tokens, whose spelling counts.
     """
 
     def __init__(self, vocabulary: str, special: bytes = b"<|"):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(vocabulary)
-        self.special, self.size = special, 0
+        self.tokenizer, self.merges = Tokenizer.from_str(vocabulary), Tokenizer.from_str(vocabulary)
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.special, self.recent, self.older = special, {}, {}
 
     def text_ids(self, text: bytes) -> bytes:
-        if self.special not in text:
-            text = text.lower()
         if len(text) <= SEGMENT:
-            return self._words(text.split())
+            return self._segment(text)
         parts, at = [], 0
         while at < len(text):
             cut = _SPACE.search(text, at + SEGMENT)
             end = cut.start() if cut else len(text)
-            parts.append(self._words(text[at:end].split()))
+            parts.append(self._segment(text[at:end]))
             at = end
         return b"".join(parts)
 
-    def _words(self, words: list[bytes]) -> bytes:
-        found = list(map(self.get, words))
-        try:
-            return b"".join(found)
-        except TypeError:  # some are new
-            if self.size > REMEMBERED:
-                self.clear()
-                self.size = 0
-            self._learn({w for w, ids in zip(words, found, strict=True) if ids is None})
-            return b"".join([self[w] if ids is None else ids for w, ids in zip(words, found, strict=True)])
-
-    def _learn(self, words: set[bytes]) -> None:
-        split = {w: m.groups() for w in words if (m := _WORD_AND_SIGNS.fullmatch(w))}
-        whole = list((words - split.keys()) | {part for w in split.values() for part in w if part not in self})
-        encoded = self.tokenizer.encode_batch([w.decode() for w in whole], add_special_tokens=False)
-        for word, found in zip(whole, encoded, strict=True):
-            self[word] = struct.pack(f"<{len(found.ids)}I", *found.ids)
+    def _segment(self, text: bytes) -> bytes:
+        if self.special not in text:
+            text = text.lower()
+        words = text.split()
+        found = list(map(self.recent.get, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            recent = self._learn({words[i] for i in new})
+            for i in new:
+                found[i] = recent[words[i]]
+        return b"".join(found)
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The memory with ``words`` in it; when it is full, only what is used again outlives the next half."""
+        if len(self.recent) > REMEMBERED:
+            self.recent, self.older = {}, self.recent
+        recent, older = self.recent, self.older
+        split, plain, other = {}, set(), set()
+        for word in words:
+            if word in older:
+                recent[word] = older[word]
+            elif _LETTERS.fullmatch(word):
+                plain.add(word)
+            elif m := _LETTERS_AND_SIGNS.fullmatch(word):
+                split[word] = letters, signs = m.groups()
+                if letters not in recent:
+                    plain.add(letters)
+                if signs not in recent:
+                    other.add(signs)
+            else:
+                other.add(word)
+        for tokenizer, some in ((self.merges, list(plain)), (self.tokenizer, list(other))):
+            encoded = tokenizer.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)
+            for word, e in zip(some, encoded, strict=True):
+                recent[word] = struct.pack(f"<{len(e)}I", *e.ids)
         for word, (letters, signs) in split.items():
-            self[word] = self[letters] + self[signs]
-        self.size += sum(100 + len(w) for w in words) + 4 * sum(len(e.ids) for e in encoded)
+            recent[word] = recent[letters] + recent[signs]
+        return recent
 
 
 @lru_cache(maxsize=1)
