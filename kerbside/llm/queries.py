@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside.llm import (
     decontaminate,
+    divergence,
     embedding_dedup,
     html_extract,
     license_scan,
@@ -90,6 +91,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"), min_docs=30, smoothing=5, top=50)
+
+
 def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -115,6 +120,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_toxicity": op10_toxicity,
+        "op12_source_divergence": op12_source_divergence,
         "op13_packing": op13_packing,
         "pipeline": pipeline,
     }

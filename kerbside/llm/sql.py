@@ -30,5 +30,44 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+TERMS = r"regexp_extract_all({}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')".format(LOWER.format("coalesce(text, '')"))
+
+DIVERGENCE = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {TERMS} AS w FROM documents
+),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 30),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+p AS (
+  SELECT lang, source, term, n,
+    1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // CAST(sum(n) OVER (PARTITION BY lang, source) + 5 * v AS HUGEINT) AS p
+  FROM (SELECT g.lang, g.source, kept.term, coalesce(c.n, 0) AS n
+        FROM g JOIN kept USING (lang) LEFT JOIN c USING (lang, source, term)) JOIN v USING (lang)
+),
+q AS (
+  SELECT lang, term,
+    1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // CAST(sum(n) OVER (PARTITION BY lang) + 5 * v AS HUGEINT) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN v USING (lang)
+),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+),
+f AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM f)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION}
+    return {"op4_decontamination": DECONTAMINATION, "op12_source_divergence": DIVERGENCE}
