@@ -11,6 +11,7 @@ from kerbside.llm import (
     decontaminate,
     divergence,
     embedding_dedup,
+    hard_negatives,
     html_extract,
     license_scan,
     lm_score,
@@ -91,6 +92,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(read_table(spark, sf_dir, "documents"), min_docs=30, smoothing=5, top=50)
 
@@ -120,6 +127,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_simhash_dedup": op8_simhash_dedup,
         "op9_license_scan": op9_license_scan,
         "op10_toxicity": op10_toxicity,
+        "op11_hard_negatives": op11_hard_negatives,
         "op12_source_divergence": op12_source_divergence,
         "op13_packing": op13_packing,
         "pipeline": pipeline,

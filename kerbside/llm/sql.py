@@ -69,5 +69,27 @@ WHERE part = 'pair' OR rank <= 50
 """
 
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = len([x FOR x IN embedding IF isfinite(x)])
+),
+s AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+),
+pos AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+neg AS (
+  SELECT pos.a, pos.b AS p, pos.score AS ps, s.b AS n, s.score AS ns,
+    row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY s.score DESC, s.b) AS rank
+  FROM pos JOIN s ON s.a = pos.a AND NOT s.same AND 50 * pos.score <= 100 * s.score AND 100 * s.score <= 95 * pos.score
+)
+SELECT a AS anchor_id, p AS positive_id, CAST(rank AS INTEGER) AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score
+FROM neg WHERE rank <= 3
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": DECONTAMINATION, "op12_source_divergence": DIVERGENCE}
+    return {"op4_decontamination": DECONTAMINATION, "op11_hard_negatives": HARD_NEGATIVES, "op12_source_divergence": DIVERGENCE}
