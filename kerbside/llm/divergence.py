@@ -33,10 +33,10 @@ from kerbside.session import stage
 
 #: Terms of a shard; shards in one broadcast; bytes up to which a key is stored as it is.
 SHARD_TERMS, WAVE_SHARDS, LONG_KEY = 1 << 14, 128, 64
-#: Different terms a task holds in counters, and bytes of dense slots, before it hands them on.
-HELD_TERMS, HELD_BYTES = 200_000, 1 << 26
+#: What a task holds before it hands it on: different terms in counters, bytes of dense slots, bytes of text read.
+HELD_TERMS, HELD_BYTES, HELD_TEXT = 350_000, 1 << 26, 1 << 30
 #: Slots and sources compared at once.
-BLOCK_SLOTS, BLOCK_SOURCES = 1024, 256
+BLOCK_SLOTS, BLOCK_SOURCES = 256, 256
 SEGMENT = 1 << 22
 
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -67,8 +67,8 @@ def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     def hand_on() -> Iterator[pa.RecordBatch]:
         for lang, counts in held.items():
             if counts:
-                terms = pa.array([t.decode() for t in counts], pa.string())
-                columns = [pa.array([lang] * len(counts), pa.string()), terms, pa.array(counts.values(), pa.int64())]
+                terms = pa.array(list(counts), pa.binary()).cast(pa.string())
+                columns = [pa.array([lang] * len(counts), pa.string()), terms, pa.array(list(counts.values()), pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "term", "n"])
         held.clear()
 
@@ -83,6 +83,17 @@ def _count_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from hand_on()
 
 
+def _hashes(keys: list[bytes]) -> np.ndarray:
+    """Two 64-bit hashes of each key."""
+    digests = b"".join(map(xxhash.xxh3_128_digest, keys))
+    return np.frombuffer(digests, dtype=">u8").astype(np.uint64).reshape(-1, 2)
+
+
+def _shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """By the upper bits of the first hash; a shard's buckets take the remainder of the whole of it."""
+    return ((hashes[:, 0] >> np.uint64(32)) % np.uint64(shards)).astype(np.int64)
+
+
 class PerfectHash:
     """Slot of each key of a fixed set, 0 to n-1 without gaps, and none for any other key.
 
@@ -90,15 +101,10 @@ class PerfectHash:
     bucket of one key names its slot itself. Stored keys tell foreign keys apart.
     """
 
-    def __init__(self, salt: int, seeds: np.ndarray, ends: np.ndarray, blob: bytes):
-        self.salt, self.seeds, self.ends, self.blob = salt, seeds, ends, blob
+    def __init__(self, seeds: np.ndarray, ends: np.ndarray, blob: bytes):
+        self.seeds, self.ends, self.blob = seeds, ends, blob
         self.n = len(ends) - 1
 
-    @staticmethod
-    def _hashes(keys: list[bytes], salt: int) -> np.ndarray:
-        digests = b"".join([xxhash.xxh3_128_digest(k, salt) for k in keys])
-        return np.frombuffer(digests, dtype=">u8").astype(np.uint64).reshape(-1, 2)
-
     @staticmethod
     def _slot(h: np.ndarray, seed: np.ndarray, n: int) -> np.ndarray:
         x = h + seed.astype(np.uint64) * _ODD
@@ -107,21 +113,16 @@ class PerfectHash:
 
     @classmethod
     def build(cls, keys: list[bytes]) -> PerfectHash:
-        for salt in range(8):
-            seeds = cls._seeds(keys, salt)
-            if seeds is not None:
-                break
-        else:
-            raise ValueError("keys repeat")
-        made = cls(salt, seeds, np.zeros(len(keys) + 1, dtype=np.int64), b"")
-        order = np.argsort(made.guess(keys))
+        hashes = _hashes(keys)
+        made = cls(cls._seeds(hashes), np.zeros(len(keys) + 1, dtype=np.int64), b"")
+        order = np.argsort(made.guess(hashes))
         made.blob = b"".join(keys[i] for i in order)
         np.cumsum([len(keys[i]) for i in order], out=made.ends[1:])
         return made
 
     @classmethod
-    def _seeds(cls, keys: list[bytes], salt: int) -> np.ndarray | None:
-        n, h = len(keys), cls._hashes(keys, salt)
+    def _seeds(cls, h: np.ndarray) -> np.ndarray:
+        n = len(h)
         buckets = max(1, n // 3)
         home = (h[:, 0] % np.uint64(buckets)).astype(np.int64)
         by_home = np.argsort(home, kind="stable")
@@ -144,48 +145,55 @@ class PerfectHash:
                     seeds[b], free[slots[k]] = start + k, False
                     break
             else:
-                return None
+                raise ValueError("keys repeat")
         lone = np.flatnonzero(size == 1)
         seeds[lone] = -np.flatnonzero(free)[: len(lone)] - 1
         return seeds
 
-    def guess(self, keys: list[bytes]) -> np.ndarray:
-        """The slot each key would have if it were one of the set."""
-        h = self._hashes(keys, self.salt)
+    def guess(self, h: np.ndarray) -> np.ndarray:
+        """The slot each hashed key would have if it were one of the set."""
         seed = self.seeds[(h[:, 0] % np.uint64(len(self.seeds))).astype(np.int64)]
         return np.where(seed < 0, -seed - 1, self._slot(h[:, 1], np.maximum(seed, 0), self.n))
 
-    def slots(self, keys: list[bytes]) -> np.ndarray:
+    def slots(self, keys: list[bytes], hashes: np.ndarray) -> np.ndarray:
         """The slot of each key, -1 where the key stored there is another."""
-        guess, blob = self.guess(keys), self.blob
+        guess, blob = self.guess(hashes), self.blob
         starts, ends = self.ends[guess].tolist(), self.ends[guess + 1].tolist()
         same = [blob[a:b] == k for a, b, k in zip(starts, ends, keys, strict=True)]
         return np.where(same, guess, -1)
 
     def to_bytes(self) -> bytes:
-        head = np.array([self.salt, len(self.seeds), self.n], dtype="<i8")
+        head = np.array([len(self.seeds), self.n], dtype="<i8")
         return b"".join([head.tobytes(), self.seeds.astype("<i4").tobytes(), self.ends.astype("<i4").tobytes(), self.blob])
 
     @classmethod
     def from_bytes(cls, data: bytes) -> PerfectHash:
-        salt, buckets, n = np.frombuffer(data, "<i8", 3).tolist()
-        at = 24 + 4 * buckets
-        seeds = np.frombuffer(data, "<i4", buckets, 24).astype(np.int64)
-        return cls(salt, seeds, np.frombuffer(data, "<i4", n + 1, at).astype(np.int64), data[at + 4 * (n + 1) :])
+        buckets, n = np.frombuffer(data, "<i8", 2).tolist()
+        at = 16 + 4 * buckets
+        seeds = np.frombuffer(data, "<i4", buckets, 16).astype(np.int64)
+        return cls(seeds, np.frombuffer(data, "<i4", n + 1, at).astype(np.int64), data[at + 4 * (n + 1) :])
 
 
 def _build_shard(terms: pd.DataFrame) -> pd.DataFrame:
     """The terms of a shard with their slots; the row of slot 0 carries the shard's hash."""
     keys = [_key(t.encode(), g.encode()) for t, g in zip(terms.term, terms.lang, strict=True)]
     made = PerfectHash.build(keys)
-    out = terms[["shard", "lang", "term"]].assign(slot=made.guess(keys))
+    out = terms[["shard", "lang", "term"]].assign(slot=made.guess(_hashes(keys)))
     out["hash"] = [made.to_bytes() if s == 0 else None for s in out.slot]
     return out
 
 
-def _shard_of(key: bytes, shards: int) -> int:
-    h = xxhash.xxh64_intdigest(key, 42)
-    return (h - (1 << 64) if h >> 63 else h) % shards
+def _with_shard(shards: int):
+    """Adds the shard of each (lang, term)."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = (batch.column(c).to_pylist() for c in ("lang", "term"))
+            keys = [_key(term.encode(), lang.encode()) for lang, term in zip(*names, strict=True)]
+            shard = pa.array(_shard_of(_hashes(keys), shards), pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns, shard], [*batch.schema.names, "shard"])
+
+    return deal
 
 
 def _recount(broadcast, shards: int):
@@ -196,6 +204,7 @@ def _recount(broadcast, shards: int):
         groups: dict[tuple[str, str], Counter] = defaultdict(Counter)
         dense: dict[tuple[tuple[str, str], int], np.ndarray] = {}
         seen: set[tuple[str, str]] = set()
+        read = 0
 
         def rows(group, shard, slots, n) -> pa.RecordBatch:
             size = len(slots)
@@ -207,19 +216,20 @@ def _recount(broadcast, shards: int):
 
         def increment() -> Iterator[pa.RecordBatch]:
             for group, counts in groups.items():
-                lang, by_shard = group[0].encode(), defaultdict(list)
-                for term in counts:
-                    key = _key(term, lang)
-                    by_shard[_shard_of(key, shards) if shards > 1 else 0].append((key, term))
-                for shard, some in by_shard.items():
+                end = b"\0" + group[0].encode()
+                keys = [t + end if len(t) + len(end) <= LONG_KEY else _key(t, end[1:]) for t in counts]
+                numbers, h = np.fromiter(counts.values(), np.int64, len(counts)), _hashes(keys)
+                shard_of = _shard_of(h, shards)
+                order = np.argsort(shard_of, kind="stable")
+                for some in np.split(order, np.flatnonzero(np.diff(shard_of[order])) + 1):
+                    shard = int(shard_of[some[0]]) if len(some) else -1
                     if shard not in hashes:
                         continue
-                    slots = hashes[shard].slots([k for k, _ in some])
-                    mine = np.flatnonzero(slots >= 0)
+                    slots = hashes[shard].slots([keys[i] for i in some], h[some])
                     if (group, shard) not in dense:
-                        dense[group, shard] = np.zeros(hashes[shard].n, dtype=np.int64)
+                        dense[group, shard] = np.zeros(hashes[shard].n, dtype=np.uint32)
                     # a slot belongs to one key, so no slot occurs twice here
-                    dense[group, shard][slots[mine]] += np.array([counts[some[i][1]] for i in mine], dtype=np.int64)
+                    dense[group, shard][slots[slots >= 0]] += numbers[some[slots >= 0]].astype(np.uint32)
                 if sum(a.nbytes for a in dense.values()) > HELD_BYTES:
                     yield from hand_on()
             groups.clear()
@@ -240,6 +250,11 @@ def _recount(broadcast, shards: int):
                     yield rows(group, -1, [-1], [0])
                 for terms in _terms(text):
                     groups[group].update(terms)
+                read += len(text)
+                if read > HELD_TEXT:  # long before a slot of 32 bits could overflow
+                    yield from increment()
+                    yield from hand_on()
+                    read = 0
             if sum(map(len, groups.values())) > HELD_TERMS:
                 yield from increment()
         yield from increment()
@@ -284,10 +299,7 @@ def source_divergence(
     frequency = docs.select("lang", "text").mapInArrow(_count_documents, "lang string, term string, n bigint")
     kept = stage(frequency.groupBy("lang", "term").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs), "kept_terms")
     shards = max(1, -(-kept.count() // shard_terms))
-    key = F.concat("term", F.lit("\0"), "lang")
-    long_key = F.concat(F.lit(b"\0"), F.unhex(F.sha2(key, 256)))
-    key = F.when(F.octet_length(key) <= LONG_KEY, key.cast("binary")).otherwise(long_key)
-    sharded = kept.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int"))
+    sharded = kept.select("lang", "term").mapInArrow(_with_shard(shards), "lang string, term string, shard int")
     built = sharded.groupBy("shard").applyInPandas(_build_shard, "shard int, lang string, term string, slot int, hash binary")
     slots = stage(built, "slots")
 
