@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside import fixed_values as fx
+from kerbside.sources.readers import path_exists
 
 _LOG = logging.getLogger(__name__)
 
@@ -84,16 +85,20 @@ def summarise_replay(plan: DataFrame, written: DataFrame | None = None) -> DataF
 def run_replay(plan: DataFrame, batch_path: str, ledger_path: str, run_id: str, dry_run: bool = False) -> int:
     """Write the messages to replay under the run's id, then remember them; 0 on success, 2 on failure.
 
-    The batch comes first and replaces what an earlier attempt of the same run has written; the ledger is
-    filled from the stored batch and plan, so a run that dies between the two can be repeated without
-    losing or doubling a message. The error of a failed run goes to the log.
+    A run is planned once: where its batch is stored, a repeat only fills the ledger from it, whatever the
+    new plan says, and where the ledger is there too, it does nothing. So a run that dies between the two
+    can be repeated without losing or doubling a message. The error of a failed run goes to the log.
     """
     if dry_run:
         return 0
+    spark = plan.sparkSession
     batch, stored = f"{batch_path}/run_id={run_id}", f"{ledger_path}/run_id={run_id}"
     try:
-        plan.write.mode("overwrite").partitionBy("action", "acknowledge").parquet(batch)
-        done = plan.sparkSession.read.schema(plan.schema).parquet(batch)
+        if path_exists(spark, f"{stored}/_SUCCESS"):
+            return 0
+        if not path_exists(spark, f"{batch}/_SUCCESS"):
+            plan.write.mode("overwrite").partitionBy("action", "acknowledge").parquet(batch)
+        done = spark.read.schema(plan.schema).parquet(batch)
         done.filter("acknowledge").select("message_id").write.mode("overwrite").parquet(stored)
     except Exception:  # a failed run reports and leaves its messages for the next one
         _LOG.exception("replay run %s failed", run_id)

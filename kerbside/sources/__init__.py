@@ -6,8 +6,10 @@ from kerbside.sources.landing import (
     raw_outcomes,
     wrap_snapshot,
 )
+from kerbside.sources.published import ConcurrentLoad, PublishedTable
 from kerbside.sources.readers import (
     Catalog,
+    path_exists,
     read_lines,
     read_seed,
     stream_kafka,
@@ -25,11 +27,14 @@ from kerbside.sources.sinks import (
 
 __all__ = [
     "Catalog",
+    "ConcurrentLoad",
+    "PublishedTable",
     "append_by_day",
     "disruption_response_errors",
     "explode_disruptions",
     "land_raw",
     "merge_incremental",
+    "path_exists",
     "publish_table",
     "publish_view",
     "push_dead_letters",

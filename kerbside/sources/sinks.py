@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kerbside import fixed_values as fx
 from kerbside.operators.latest import latest_by
+from kerbside.sources.published import PublishedTable
 
 
 def append_by_day(df: DataFrame, path: str, ts: str = "ingest_ts", cluster_by: str | None = "station_id",
@@ -59,8 +60,11 @@ def publish_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
 
-def publish_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(name)
+def publish_table(df: DataFrame, path: str, ts: str = "ingest_ts", load_id: str | None = None) -> DataFrame:
+    """Materialise ``df`` as a table that readers see before or after this load, never in between."""
+    table = PublishedTable(df.sparkSession, path, ts)
+    table.replace(df, load_id)
+    return table.read()
 
 
 def merge_incremental(
@@ -75,6 +79,9 @@ def merge_incremental(
 ) -> None:
     """Load rows newer than the target's newest ``ts`` minus ``lookback``; equal keys are replaced.
 
+    ``keys`` must contain ``ts`` or something that fixes its month: rows of other months are not looked at.
+    :class:`PublishedTable` merges by any key, and shows its readers no month between old and new.
+
     Without a ``lookback`` all rows are loaded, however old, as a stream needs it whose files do not
     come in the order of ``ts``. The target is Parquet partitioned by month. Only months from the
     high-water mark on, or those the new rows belong to, are read back and rewritten, through dynamic
@@ -87,8 +94,11 @@ def merge_incremental(
     target = _existing_table(new.sparkSession, path, evolve_schema)
     if target is not None and lookback is None:
         # the months of this load: a few texts
-        months = [int(r[0]) for r in incoming.select("ingest_month").dropna().distinct().collect()]
-        kept = target.filter(F.col("ingest_month").isin(months) if months else F.lit(False))
+        months = [r[0] for r in incoming.select("ingest_month").distinct().collect()]
+        dated = [int(m) for m in months if m is not None]
+        same = F.col("ingest_month").isin(dated) if dated else F.lit(False)
+        # rows without a time have a folder of their own, which is rewritten like a month
+        kept = target.filter(same | F.col("ingest_month").isNull() if None in months else same)
         incoming = _with_kept(incoming, kept, evolve_schema)
     elif target is not None:
         newest = _newest_month(target)
@@ -96,9 +106,11 @@ def merge_incremental(
             # the newest rows lie in the newest month; no other partition is read for the mark
             mark = F.max(ts) - F.expr(f"interval {lookback}")
             row = target.filter(F.col("ingest_month") == newest).agg(mark.alias("mark")).first()
-            incoming = incoming.filter(F.col(ts) > F.lit(row["mark"]))
+            incoming = incoming.filter((F.col(ts) > F.lit(row["mark"])) | F.col(ts).isNull())
             # a literal month, so that older partitions are pruned without being listed
-            kept = target.filter(F.col("ingest_month") >= int(row["mark"].strftime("%Y%m")))
+            kept = target.filter(
+                (F.col("ingest_month") >= int(row["mark"].strftime("%Y%m"))) | F.col("ingest_month").isNull()
+            )
             incoming = _with_kept(incoming, kept, evolve_schema)
     merged = latest_by(incoming, keys, [F.desc("_is_new"), *order]).drop("_is_new")
     (

@@ -1,11 +1,16 @@
-"""Continuously maintained station state, windowed totals and enrichment."""
+"""Continuously maintained station state, enrichment and de-duplication."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from kerbside.operators.asof import join_as_of
+from kerbside.sources.published import PublishedTable
+
 
 def latest_state_stream(status: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
     """Newest row of every station as a streaming aggregation: the state is one row per station.
@@ -26,25 +31,20 @@ def run_live_state(
     tie_break: list[str] | None = None,
     keep_versions: int = 2,
 ) -> StreamingQuery:
-    """Publish the state table, one version folder per micro-batch.
+    """Publish the state table, a :class:`PublishedTable`, anew after every micro-batch.
 
-    A micro-batch brings the stations that changed; the others are taken over from the version before.
-    A version is complete once its _SUCCESS file exists; a repeated batch rewrites its own. The newest
-    ``keep_versions`` stay, so that readers of the one before are not cut off.
+    A micro-batch brings the stations that changed; the others are taken over from the version before. A
+    repeated batch is known by its name and changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        versions = _complete_versions(spark, path)
-        before = [v for v in versions if v < batch_id]
-        rows = batch
-        if before:
-            last = spark.read.schema(batch.schema).parquet(f"{path}/version={before[-1]}")
+        table = PublishedTable(spark, path, keep_versions=keep_versions)
+        last, rows = table.read(), batch
+        if last is not None:
             rows = last.join(batch.select("station_id"), "station_id", "left_anti").unionByName(batch)
-        rows.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        for old in before[: len(before) + 1 - keep_versions]:
-            folder = _hadoop_path(spark, f"{path}/version={old}")
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        table.replace(rows, load_id=f"{query}:{batch_id}")
 
     return (
         latest_state_stream(status, tie_break)
@@ -56,65 +56,9 @@ def run_live_state(
     )
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _complete_versions(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the versions that have been written in full, in order; a few folders at any time."""
-    folder = _hadoop_path(spark, path)
-    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(folder):
-        return []
-    return sorted(
-        int(s.getPath().getName().split("=")[1])
-        for s in fs.listStatus(folder)
-        if s.getPath().getName().startswith("version=") and fs.exists(_hadoop_path(spark, f"{s.getPath()}/_SUCCESS"))
-    )
-
-
 def read_live_state(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the newest complete version."""
-    return spark.read.parquet(f"{path}/version={_complete_versions(spark, path)[-1]}")
-
-
-def windowed_totals(
-    status: DataFrame, window: str = "1 hour", slide: str | None = None, watermark: str = "10 minutes"
-) -> DataFrame:
-    """Bikes and empty stations per event-time window; late rows within the watermark count.
-
-    The same definition works on a batch table.
-    """
-    timed = status.withColumn("seen_at", F.coalesce("event_ts", "ingest_ts").cast("timestamp"))
-    span = F.window("seen_at", window, slide) if slide else F.window("seen_at", window)
-    return (
-        timed.withWatermark("seen_at", watermark)
-        .groupBy(span.alias("w"))
-        .agg(
-            F.count(F.lit(1)).alias("readings"),
-            F.sum("num_bikes_available").alias("bikes_seen"),
-            F.count_if(F.col("num_bikes_available") == 0).alias("empty_readings"),
-        )
-        .select(F.col("w.start").alias("window_start"), "readings", "bikes_seen", "empty_readings")
-    )
-
-
-def run_windowed_totals(
-    status: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, window: str = "1 hour", slide: str | None = None
-) -> StreamingQuery:
-    """Keep a table of all windows: late rows are counted however late, since every window stays open."""
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return (
-        windowed_totals(status, window, slide)
-        .writeStream.outputMode("complete")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 minute"}))
-        .start()
-    )
+    """Rows of the newest version."""
+    return PublishedTable(spark, path).read()
 
 
 def run_append(rows: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
@@ -134,6 +78,33 @@ def enrich_stream(status: DataFrame, information: DataFrame, columns: list[str]
     return status.join(information.select("station_id", *wanted), "station_id", "left")
 
 
+def run_enrichment_as_of(
+    status: DataFrame,
+    versions: Callable[[], DataFrame],
+    path: str,
+    checkpoint: str,
+    columns: list[str],
+    trigger: dict | None = None,
+    valid_from: str = "valid_from",
+) -> StreamingQuery:
+    """Write each reading with the metadata valid at its own time; ``versions`` is read anew for every batch.
+
+    A repeated batch replaces its folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn("seen_at", F.coalesce("event_ts", "ingest_ts"))
+        rows = join_as_of(timed, versions(), ["station_id"], "seen_at", valid_from, columns).drop("seen_at")
+        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        status.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def deduplicate_stream(messages: DataFrame, ts: str = "publish_time", watermark: str = "1 hour") -> DataFrame:
     """Drop redelivered messages that arrive within the watermark."""
     return messages.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["message_id"])
@@ -145,7 +116,6 @@ __all__: list[str] = [
     "latest_state_stream",
     "read_live_state",
     "run_append",
+    "run_enrichment_as_of",
     "run_live_state",
-    "run_windowed_totals",
-    "windowed_totals",
 ]

@@ -7,25 +7,25 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.plans.disruptions import stage_disruptions
-from kerbside.sources.sinks import merge_incremental
+from kerbside.sources.published import PublishedTable
 
 
 def run_disruption_staging(
     raw: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Merge every micro-batch of raw disruptions into the staged table.
+    """Merge every micro-batch of raw disruptions into the staged table, a :class:`PublishedTable`.
 
-    Files may come in any order, so rows are merged by key and none is left out for its age. A repeated
-    batch changes nothing.
+    Files may come in any order, so rows are merged by key and none is left out for its age or for having
+    no time. A repeated batch is known by its name and changes nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_incremental(
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        PublishedTable(batch.sparkSession, path).merge(
             stage_disruptions(batch),
-            path,
             ["disruption_id", "ingest_ts"],
             [F.asc_nulls_last("last_update"), F.asc("title")],
-            lookback=None,
+            load_id=f"{query}:{batch_id}",
             cluster_by=["severity", "disruption_id"],
         )
 

@@ -261,6 +261,13 @@ STEPS = {
 }
 
 
+VERSIONS = """(select *, lead(valid_from) over (partition by station_id order by valid_from) as valid_to
+        from (select station_id, ingest_ts as valid_from, name, capacity from station_information))"""
+AS_OF_JOIN = f"""select s.event_id, s.station_id, v.valid_from, v.valid_to, v.name, v.capacity
+      from station_status s asof left join {VERSIONS} v
+        on s.station_id = v.station_id and coalesce(s.event_ts, s.ingest_ts) >= v.valid_from"""
+
+
 def _needs(sql: str) -> list[str]:
     words = set(re.findall(r"\b\w+\b", re.sub(r"'[^']*'", "''", sql)))
     return [n for n in (*DEFINITIONS, *STEPS) if n in words]
@@ -408,13 +415,36 @@ BODIES = {
         cast(sum(num_bikes_available) as bigint) as bikes_seen, count(*) filter (where num_bikes_available = 0) as empty_readings
       from (select *, coalesce(event_ts, ingest_ts) as ts from station_status)
         cross join (values (interval 0 minute), (interval 30 minute)) w(shift) group by 1""",
+    "streamed_closing_windows": """select window_start, count(*) as readings
+      from (select time_bucket(interval 30 minute, ts) - shift as window_start, max(ts) over () as newest
+            from (select coalesce(event_ts, ingest_ts) as ts from station_status)
+              cross join (values (interval 0 minute), (interval 30 minute)) w(shift))
+      where window_start + interval 1 hour <= newest - interval 2 hour group by 1""",
+    "changed_stations": "select * from state",
+    "stations_fallen_silent": """select station_id, epoch_ms(epoch_us(seen) // 1000) as silent_since
+      from (select station_id, coalesce(event_ts, ingest_ts) as seen from state)
+      where epoch_us(seen) // 1000 + 86400000 <= (select epoch_us(max(coalesce(event_ts, ingest_ts))) // 1000 from station_status) - 3600000""",
     "streamed_enrichment": """select s.event_id, s.station_id, i.name, i.lat, i.lon, i.capacity
       from station_status s left join info i on s.station_id = i.station_id""",
+    "station_versions": f"select * from {VERSIONS}",
+    "enriched_as_of": AS_OF_JOIN,
+    "streamed_enrichment_as_of": AS_OF_JOIN,
+    "guarded_rows": """select event_id, cast(station_id as bigint) as number from station_status where event_id % 4999 <> 998""",
+    "guarded_dead_letters": f"""select {AS_OF} as dlq_ts, 'CAST_INVALID_INPUT' as error_type, event_id
+      from station_status where event_id % 4999 = 998""",
     "streamed_message_ids": "select distinct message_id from info_messages",
     # disruptions
     "staged_disruptions": "select * from staged",
     "incremental_staging": "select * from staged",
     "streamed_staging": "select * from staged",
+    "published_staging": """select *, 'after' as reader from staged
+      union all select *, 'before' from staged where ingest_ts < timestamp '2024-01-30 16:00:00'""",
+    "merged_across_months": """select ingest_ts, key, payload from (
+        select *, row_number() over (partition by key order by ingest_ts desc, payload) as rn
+        from (select polled_at as ingest_ts, coalesce(json_extract_string(e, '$.id'), 'unknown') as key, cast(e as varchar) as payload
+              from (select polled_at, unnest(json_extract(doc, '$.disruptions[*]')) as e from responses)))
+      where rn = 1""",
+    "published_refresh": "select * from hourly",
     "disruption_sections": "select * from sections",
     "active_sections": "select * from active",
     "disruption_periods": f"""select disruption_id, severity, nullif(regexp_extract(title, '^(.*?) :', 1), '') as line_name,
@@ -484,6 +514,12 @@ BODIES = {
     "replay_summary": """select count(*) as pulled, count(*) filter (where not seen) as republished, count(*) as acked,
         count(*) filter (where seen) as skipped, cast(0 as bigint) as failed
       from (select coalesce(lower(json_extract_string(attributes, '$.replay')), '') = 'true' as seen from push_dlq)""",
+    "replay_repeated": """select message_id, 'run-1' as run_id from pulled where not seen
+      union all select message_id, 'run-2' from (
+        select message_id, coalesce(lower(json_extract_string(attributes, '$.replay')), '') = 'true' as again from push_dlq
+        where message_id not in (select message_id from pulled where not seen)
+        order by publish_time, message_id limit 50)
+      where not again""",
     "original_publish_times": """select message_id, try_strptime(
         json_extract_string(attributes, '$.CloudPubSubDeadLetterSourceTopicPublishTime'), '%Y-%m-%dT%H:%M:%SZ') as original_publish_time
       from push_dlq""",

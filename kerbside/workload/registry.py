@@ -13,15 +13,18 @@ from kerbside import fixed_values as fx
 from kerbside import schemas
 from kerbside.functions import haversine_m
 from kerbside.operators import events, quality, replay
+from kerbside.operators.asof import join_as_of, validity_intervals
 from kerbside.operators.stations import flatten_station_info
 from kerbside.plans import disruptions, hourly, impact, ops, stations
 from kerbside.session import configure, stage, staging_dir
 from kerbside.sources import (
+    PublishedTable,
     append_by_day,
     disruption_response_errors,
     explode_disruptions,
     land_raw,
     merge_incremental,
+    publish_table,
     push_dead_letters,
     push_outcomes,
     raw_outcomes,
@@ -35,12 +38,19 @@ from kerbside.sources import (
 from kerbside.streaming import (
     deduplicate_stream,
     enrich_stream,
+    read_changes,
     read_live_state,
     run_append,
+    run_closing_windows,
     run_curation,
     run_disruption_staging,
+    run_enrichment_as_of,
+    run_guarded,
     run_live_state,
-    run_windowed_totals,
+    run_station_changes,
+    settled_totals,
+    silent_stations,
+    state_of_changes,
     windowed_totals,
 )
 from kerbside.workload.derived import Tables
@@ -447,6 +457,41 @@ def incremental_staging(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path).drop("ingest_month")
 
 
+@query
+def published_staging(t: Tables) -> DataFrame:
+    """What readers have who began before and after the second load; a repeat of that load is a no-op."""
+    table = PublishedTable(t.spark, _folder(t))
+    raw = t.disruptions_raw
+
+    def load(rows: DataFrame, name: str) -> None:
+        table.merge(disruptions.stage_disruptions(rows), ["disruption_id", "ingest_ts"], [F.asc("last_update")], load_id=name)
+
+    load(raw.filter(F.col("ingest_ts") < F.expr("timestamp_ntz '2024-01-30 16:00:00'")), "first")
+    before = table.read()
+    for _ in range(2):
+        load(raw, "second")
+    return before.withColumn("reader", F.lit("before")).unionByName(table.read().withColumn("reader", F.lit("after")))
+
+
+@query
+def merged_across_months(t: Tables) -> DataFrame:
+    """The newest feed row of every key, from three loads that mix all months."""
+    table = PublishedTable(t.spark, _folder(t))
+    rows = stage(explode_disruptions(t.bulk_responses).select("ingest_ts", "key", "payload"), "feed_rows")
+    share = F.pmod(F.xxhash64("ingest_ts", "key", "payload"), F.lit(3))
+    for i in range(3):
+        table.merge(rows.filter(share == i), ["key"], [F.desc("ingest_ts"), F.asc("payload")], newest_wins=True)
+    return table.read()
+
+
+@query
+def published_refresh(t: Tables) -> DataFrame:
+    """A model materialised as a table, refreshed as a whole."""
+    path, totals = _folder(t), _hourly(t)
+    publish_table(totals.filter("hour_ts < timestamp_ntz '2024-01-15 00:00:00'"), path, "hour_ts")
+    return publish_table(totals, path, "hour_ts")
+
+
 # --- streams over files Spark writes from the tables ---------------------------------------
 
 
@@ -468,13 +513,53 @@ def _status_stream(t: Tables, base: str) -> DataFrame:
     return stream.parquet(f"{base}/status")
 
 
+def _closing(t: Tables) -> DataFrame:
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    run_closing_windows(
+        _status_stream(t, base), f"{base}/windows", f"{base}/checkpoint", {"availableNow": True}, "1 hour", "30 minutes",
+        "2 hours",
+    ).awaitTermination()
+    return settled_totals(t.spark, f"{base}/windows")
+
+
 @query
 def streamed_windowed_totals(t: Tables) -> DataFrame:
+    """Windows that closed, their late readings, and the windows still open: together the batch result."""
+    return _closing(t).drop("closed")
+
+
+@query
+def streamed_closing_windows(t: Tables) -> DataFrame:
+    """Windows that have closed: their end lies two hours behind the newest reading."""
+    return _closing(t).filter("closed").select("window_start", "readings")
+
+
+def _changes(t: Tables) -> DataFrame:
+    """Readings as a stream of four files in the order of their snapshots."""
     base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
-    run_windowed_totals(
-        _status_stream(t, base), f"{base}/windows", f"{base}/checkpoint", {"availableNow": True}, "1 hour", "30 minutes"
+    status = t.station_status
+    span = status.agg(F.min("ingest_ts").alias("first"), F.max("ingest_ts").alias("last")).first()
+    edges = [span["first"] + (span["last"] - span["first"]) * i / 4 for i in range(1, 4)]
+    for low, high in zip([None, *edges], [*edges, None], strict=True):
+        after = F.lit(True) if low is None else F.col("ingest_ts") > F.lit(low)
+        until = F.lit(True) if high is None else F.col("ingest_ts") <= F.lit(high)
+        status.filter(after & until).coalesce(1).write.mode("append").parquet(f"{base}/status")
+    stream = t.spark.readStream.schema(status.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/status")
+    run_station_changes(
+        stream, f"{base}/changes", f"{base}/checkpoint", "event_id", "1 day", "1 hour", {"availableNow": True}
     ).awaitTermination()
-    return t.spark.read.parquet(f"{base}/windows")
+    return read_changes(t.spark, f"{base}/changes", status.schema)
+
+
+@query
+def changed_stations(t: Tables) -> DataFrame:
+    return state_of_changes(_changes(t))
+
+
+@query
+def stations_fallen_silent(t: Tables) -> DataFrame:
+    """Stations without a reading for a day before the watermark, an hour behind the newest reading."""
+    return silent_stations(_changes(t))
 
 
 @query
@@ -485,6 +570,64 @@ def streamed_enrichment(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/rows").select("event_id", "station_id", "name", "lat", "lon", "capacity")
 
 
+def _versions(t: Tables) -> DataFrame:
+    versions = t.station_information.withColumnRenamed("ingest_ts", "valid_from")
+    return validity_intervals(versions.select("station_id", "valid_from", "name", "capacity"), ["station_id"], "valid_from")
+
+
+@query
+def station_versions(t: Tables) -> DataFrame:
+    return _versions(t)
+
+
+VERSION_COLUMNS = ["valid_from", "valid_to", "name", "capacity"]
+
+
+@query
+def enriched_as_of(t: Tables) -> DataFrame:
+    """Every reading with the metadata that was valid at its time."""
+    status = t.station_status.withColumn("seen_at", F.coalesce("event_ts", "ingest_ts"))
+    rows = join_as_of(status, _versions(t), ["station_id"], "seen_at", "valid_from", VERSION_COLUMNS)
+    return rows.select("event_id", "station_id", *VERSION_COLUMNS)
+
+
+@query
+def streamed_enrichment_as_of(t: Tables) -> DataFrame:
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    versions = stage(_versions(t), "versions")
+    run_enrichment_as_of(
+        _status_stream(t, base), lambda: versions, f"{base}/rows", f"{base}/checkpoint", VERSION_COLUMNS, {"availableNow": True}
+    ).awaitTermination()
+    return t.spark.read.parquet(f"{base}/rows").select("event_id", "station_id", *VERSION_COLUMNS)
+
+
+def _guarded(t: Tables) -> str:
+    """Readings with a station number, which a few stations lack: such rows cannot be written."""
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    number = F.when(F.col("event_id") % 4999 == 998, F.lit("depot")).otherwise(F.col("station_id"))
+    t.station_status.select("event_id", number.alias("number")).repartition(4).write.parquet(f"{base}/in")
+    stream = t.spark.readStream.schema("event_id bigint, number string").option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
+
+    def strict(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("number", F.col("number").cast("bigint"))
+
+    run_guarded(
+        stream, strict, f"{base}/rows", f"{base}/dead", f"{base}/checkpoint", {"availableNow": True}, as_of()
+    ).awaitTermination()
+    return base
+
+
+@query
+def guarded_rows(t: Tables) -> DataFrame:
+    return t.spark.read.parquet(f"{_guarded(t)}/rows").select("event_id", "number")
+
+
+@query
+def guarded_dead_letters(t: Tables) -> DataFrame:
+    dead = t.spark.read.parquet(f"{_guarded(t)}/dead")
+    return dead.select("dlq_ts", "error_type", F.get_json_object("row_json", "$.event_id").cast("bigint").alias("event_id"))
+
+
 @query
 def streamed_message_ids(t: Tables) -> DataFrame:
     """Redelivered messages pass once."""
@@ -515,7 +658,7 @@ def streamed_staging(t: Tables) -> DataFrame:
     raw.repartitionByRange(4, F.desc("ingest_ts")).write.parquet(f"{base}/raw")
     source = t.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/raw")
     run_disruption_staging(source, f"{base}/staged", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
-    return t.spark.read.parquet(f"{base}/staged").drop("ingest_month")
+    return PublishedTable(t.spark, f"{base}/staged").read()
 
 
 # --- round trips through the sinks and sources ---------------------------------------------
@@ -654,6 +797,19 @@ def replay_summary(t: Tables) -> DataFrame:
     return replay.summarise_replay(_replay_plan(t, max_messages=None, ack_skipped=True))
 
 
+@query
+def replay_repeated(t: Tables) -> DataFrame:
+    """Messages of two runs; the first one is repeated with a new plan, which changes nothing."""
+    batches, ledger = _folder(t), _folder(t)
+    plan = _replay_plan(t)
+    replay.run_replay(plan, batches, ledger, "run-1")
+    done = t.spark.read.parquet(ledger)
+    for run_id in ("run-1", "run-2"):
+        later = replay.plan_replay(t.push_dlq, run_id, "hold-sub", ledger=done)
+        replay.run_replay(later, batches, ledger, run_id)
+    return replay.replayed_messages(t.spark, batches).select("message_id", "run_id")
+
+
 @query
 def original_publish_times(t: Tables) -> DataFrame:
     return ops.original_publish_time(t.push_dlq)
