@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from kerbside.fixed_values import CIVIL_ZONE, COVERAGE_THRESHOLD
 from kerbside.functions import civil_time, hour_bucket, safe_divide
+from kerbside.operators.prefix import running_max
 
 
 def snapshot_totals(status: DataFrame, tz: str | None = None) -> DataFrame:
@@ -29,8 +29,7 @@ def snapshot_totals(status: DataFrame, tz: str | None = None) -> DataFrame:
 def hourly_totals(snapshots: DataFrame) -> DataFrame:
     """Snapshot totals rolled up to hours, with the largest average station count so far.
 
-    The running maximum is taken over finished hours. Its window has no partition, and needs
-    none: its input is bounded by the calendar, at about 8,800 short rows per year of history.
+    The running maximum is taken over finished hours, as a prefix scan over their months.
     """
     hours = snapshots.groupBy("hour_ts").agg(
         F.avg("total_bikes").alias("avg_total_bikes_available"),
@@ -42,8 +41,7 @@ def hourly_totals(snapshots: DataFrame) -> DataFrame:
         F.max("empty_stations").alias("peak_empty_stations"),
         F.count(F.lit(1)).alias("snapshot_samples"),
     )
-    so_far = Window.orderBy("hour_ts").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return hours.withColumn("total_stations_known", F.max("avg_stations_reporting").over(so_far))
+    return running_max(hours, "hour_ts", "avg_stations_reporting", "total_stations_known")
 
 
 def with_coverage(hourly: DataFrame, tz: str = CIVIL_ZONE, suffix: str = "local") -> DataFrame:

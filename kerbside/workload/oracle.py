@@ -289,6 +289,9 @@ def _compose(body: str) -> str:
     return f"with {ctes}\n{result}" if ctes else result
 
 
+NEAR = f"""select {SECTION}, station_id, station_code, station_name, station_capacity,
+        round(distance_to_from_stop_meters, 3) as distance_to_from_stop_meters,
+        round(distance_to_to_stop_meters, 3) as distance_to_to_stop_meters from near"""
 _STATUS = (
     "station_id, station_code, is_installed, is_renting, is_returning, last_reported_ts,"
     " num_bikes_available, num_docks_available, mechanical_available, ebike_available"
@@ -401,6 +404,7 @@ BODIES = {
     # hourly
     "snapshot_totals": "select * from snapshots",
     "hourly_aggregate": "select * from hourly",
+    "hourly_from_partials": "select * from hourly",
     "hourly_coverage": "select * from coverage",
     "hourly_well_covered": "select * from covered",
     "availability_trend": """select hour_local, avg_total_bikes_available, peak_total_bikes_available,
@@ -456,9 +460,8 @@ BODIES = {
     "raw_flow": """select count(*) as row_count, min(ingest_ts) as first_ingest, max(ingest_ts) as last_ingest from disruptions_raw""",
     "poll_counts": "select count(*) as total_rows, count(distinct ingest_ts) as distinct_polls from staged",
     # impact
-    "stations_near_disruptions": f"""select {SECTION}, station_id, station_code, station_name, station_capacity,
-        round(distance_to_from_stop_meters, 3) as distance_to_from_stop_meters,
-        round(distance_to_to_stop_meters, 3) as distance_to_to_stop_meters from near""",
+    "stations_near_disruptions": NEAR,
+    "stations_near_disruptions_split": NEAR,
     "impact_comparison": "select * from comparison",
     "impact_map": """select ('0x' || substr(md5(disruption_id || '_' || stop_role), 1, 15))::bigint as objectid, *,
         'POINT(' || cast(lon as varchar) || ' ' || cast(lat as varchar) || ')' as geom_point
@@ -470,6 +473,13 @@ BODIES = {
           control_fill_rate_pct, control_avg_bikes_available, control_station_count, fill_rate_delta_pct
         from comparison cross join (values ('from'), ('to')) r(stop_role))
       where lat is not null and lon is not null""",
+    "far_zone_polygons": """select zda_id, cast(case when not polar and 180.0e0 - abs(lon) < half then 2 else 1 end as integer) as parts,
+        true as closed, polar as over_pole, true as on_the_map
+      from (select zda_id, lon, abs(lat) + degrees(2000.0e0 / 6371010.0e0) >= 90 as polar,
+              degrees(asin(least(1.0e0, sin(2000.0e0 / 6371010.0e0) / cos(radians(lat))))) as half
+            from (select zda_id, case when turned > 180 then turned - 360 else turned end as lon,
+                    case when zda_id % 8 = 0 then -89.98e0 - zda_id % 20 / 1000.0e0 when zda_id % 4 = 0 then 89.98e0 + zda_id % 20 / 1000.0e0 else lat end as lat
+                  from (select *, (lon * 40 + 179.0e0) - 4 * floor((lon * 40 + 179.0e0) / 4) + 178.0e0 as turned from stops_reference)))""",
     "impact_kpis": """select round(near_fill * 100, 1) as avg_fill_near_disruptions_pct,
         round(control_fill * 100, 1) as avg_fill_elsewhere_pct, round((near_fill - control_fill) * 100, 1) as avg_delta_pct,
         (select count(distinct disruption_id) from pairs) as active_disruptions,

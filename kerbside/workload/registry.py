@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from kerbside import fixed_values as fx
 from kerbside import schemas
-from kerbside.functions import haversine_m
+from kerbside.functions import circle_wkt, haversine_m
 from kerbside.operators import events, quality, replay
 from kerbside.operators.asof import join_as_of, validity_intervals
 from kerbside.operators.stations import flatten_station_info
 from kerbside.plans import disruptions, hourly, impact, ops, stations
+from kerbside.plans.rollup import HourlyRollup
 from kerbside.session import configure, stage, staging_dir
 from kerbside.sources import (
     PublishedTable,
@@ -376,6 +377,16 @@ def hourly_aggregate(t: Tables) -> DataFrame:
     return _hourly(t)
 
 
+@query
+def hourly_from_partials(t: Tables) -> DataFrame:
+    """Hourly figures from four loads that each touch every hour, one of them repeated."""
+    rollup = HourlyRollup(t.spark, _folder(t))
+    status = stage(t.station_status, "status")
+    for i in (2, 0, 3, 1, 0):
+        rollup.add(status.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) == i), f"load-{i}")
+    return hourly.hourly_totals(rollup.snapshots())
+
+
 @query
 def hourly_coverage(t: Tables) -> DataFrame:
     return hourly.with_coverage(_hourly(t))
@@ -713,6 +724,13 @@ def stations_near_disruptions(t: Tables) -> DataFrame:
     return _rounded(_near(t), 3, *impact.DISTANCES).drop("lat", "lon")
 
 
+@query
+def stations_near_disruptions_split(t: Tables) -> DataFrame:
+    """The same pairs with dense cells split by their counts."""
+    near = impact.near_disruptions(_active(t), _information_for_near(t), cell_rows=20)
+    return _rounded(near, 3, *impact.DISTANCES).drop("lat", "lon")
+
+
 @query
 def impact_comparison(t: Tables) -> DataFrame:
     return _rounded(_comparison(t), 3, "closest_station_distance_m")
@@ -741,6 +759,30 @@ def impact_zone_polygons(t: Tables) -> DataFrame:
     )
 
 
+@query
+def far_zone_polygons(t: Tables) -> DataFrame:
+    """Circles of 2 km around the stops, moved to the antimeridian and the poles: parts, and what holds for each."""
+    turned = F.pmod(F.col("lon") * 40 + 179.0, F.lit(4.0)) + 178.0
+    lon = F.when(turned > 180.0, turned - 360.0).otherwise(turned)
+    lat = F.when(F.col("zda_id") % 4 == 0, 89.98 + F.col("zda_id") % 20 / 1000.0).otherwise(F.col("lat"))
+    lat = F.when(F.col("zda_id") % 8 == 0, -lat).otherwise(lat)
+    moved = t.stops_reference.select("zda_id", lon.alias("lon"), lat.alias("lat"))
+    rings = F.regexp_extract_all(circle_wkt("lon", "lat", 2000.0), F.lit(r"\(([^()]+)\)"), F.lit(1))
+    points = F.transform(
+        rings,
+        lambda ring: F.transform(F.split(ring, ", "), lambda p: F.transform(F.split(p, " "), lambda v: v.cast("double"))),
+    )
+    x = F.transform("points", lambda ring: F.transform(ring, lambda p: F.get(p, F.lit(0))))
+    return moved.withColumn("points", points).select(
+        "zda_id",
+        F.size("points").alias("parts"),
+        F.forall("points", lambda ring: F.get(ring, F.lit(0)) == F.element_at(ring, -1)).alias("closed"),
+        # no edge of a part is longer than half the map, but for the edge along a pole
+        (F.exists(x, lambda ring: F.array_max(ring) - F.array_min(ring) > 180.0)).alias("over_pole"),
+        F.forall(x, lambda ring: (F.array_min(ring) >= -180.0) & (F.array_max(ring) <= 180.0)).alias("on_the_map"),
+    )
+
+
 @query
 def impact_kpis(t: Tables) -> DataFrame:
     active, facts = _impact_inputs(t)

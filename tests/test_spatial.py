@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -21,7 +22,7 @@ def metres(lat1, lon1, lat2, lon2):
     return 2 * EARTH_RADIUS_M * math.asin(math.sqrt(min(1.0, h)))
 
 
-def check(spark, left, right, radius, min_m=None, inclusive=True, splits=1):
+def check(spark, left, right, radius, min_m=None, inclusive=True, cell_rows=None):
     def hit(d):
         return d is not None and (d <= radius if inclusive else d < radius) and (min_m is None or d >= min_m)
 
@@ -34,7 +35,7 @@ def check(spark, left, right, radius, min_m=None, inclusive=True, splits=1):
     ldf = spark.createDataFrame([(i, *p) for i, p in enumerate(left)], "i int, a double, b double, c double, d double")
     rdf = spark.createDataFrame([(j, *p) for j, p in enumerate(right)], "j int, lat double, lon double")
     got = join_within(
-        ldf, rdf, radius, [("a", "b"), ("c", "d")], ("lat", "lon"), ["d1", "d2"], min_m, inclusive, splits
+        ldf, rdf, radius, [("a", "b"), ("c", "d")], ("lat", "lon"), ["d1", "d2"], min_m, inclusive, cell_rows
     ).collect()
     assert sorted((r["i"], r["j"]) for r in got) == expected
     for r in got:
@@ -82,10 +83,10 @@ def test_ring_and_strictness(spark):
     assert check(spark, [(48.8, 2.3, None, None)], same, 0.001, inclusive=True)
 
 
-def test_hot_cell_with_salts(spark):
+def test_many_stations_at_one_place(spark):
     rng = random.Random(5)
     right = [(48.8, 2.3 + rng.uniform(0, 1e-4)) for _ in range(200)]
-    check(spark, [(48.8, 2.3, 48.9, 2.4)], right, 750.0, splits=8)
+    check(spark, [(48.8, 2.3, 48.9, 2.4)], right, 750.0, cell_rows=25)
 
 
 coordinate = st.tuples(st.floats(-90, 90), st.floats(-180, 180))
@@ -113,3 +114,78 @@ def test_distance_of_unknown_points(spark):
     df = spark.createDataFrame([(1.0, None), (0.0, 180.0)], "lat double, lon double")
     a, b = [r[0] for r in df.select(haversine_m(F.lit(0.0), F.lit(0.0), "lat", "lon")).collect()]
     assert a is None and abs(b - math.pi * EARTH_RADIUS_M) < 1
+
+
+def test_dense_cells_are_split_by_their_counts(spark):
+    """A third of all stations in one cell: the largest key holds at most twice the median of the full ones."""
+    from kerbside.operators.spatial import _split_dense, cells_around, grid_cell
+
+    rng = random.Random(11)
+    height = math.degrees(750 / EARTH_RADIUS_M)
+    dense = [(48.8 + rng.uniform(0, height / 2), 2.3 + rng.uniform(0, height / 2)) for _ in range(3000)]
+    wide = around(rng, 48.8, 2.3, 0.5, 6000)
+    rdf = spark.createDataFrame([(j, *p) for j, p in enumerate(dense + wide)], "j int, lat double, lon double")
+    stops = around(rng, 48.8, 2.3, 0.02, 25)
+    ldf = spark.createDataFrame([(i, *p) for i, p in enumerate(stops)], "i int, a double, b double")
+    plain, split = (
+        join_within(ldf, rdf, 750.0, [("a", "b")], ("lat", "lon"), ["d"], cell_rows=n) for n in (None, 100)
+    )
+    rows = sorted((r.i, r.j, r.d) for r in plain.collect())
+    assert rows and rows == sorted((r.i, r.j, r.d) for r in split.collect())
+
+    cells = ldf.withColumn("_point", F.struct(F.col("a").alias("lat"), F.col("b").alias("lon"))).withColumn(
+        "_cell", F.explode(cells_around(F.col("a"), F.col("b"), 750.0))
+    )
+    stations = rdf.withColumn("_cell", grid_cell(F.col("lat"), F.col("lon"), 750.0))
+    keys = ["_cell", "_quadrant", "_salt"]
+    spread, salted = _split_dense(cells, stations, ("lat", "lon"), 750.0, 100, ["j", "lat", "lon"])
+    sizes = sorted(r[0] for r in salted.groupBy(*keys).count().select("count").collect())
+    full = [n for n in sizes if n >= 40]
+    assert sum(sizes) == 9000 and sizes[-1] <= 2 * full[len(full) // 2] and sizes[-1] <= 200
+    # a stop goes only to the quadrants its circle reaches
+    quadrants = salted.select("_cell", "_quadrant", "_salt").distinct().groupBy("_cell").count()
+    assert spread.count() < ldf.count() * 9 * max(r["count"] for r in quadrants.collect())
+
+
+def test_split_cells_at_the_edges_of_the_map(spark):
+    rng = random.Random(4)
+    near = lambda lat, lon, n: [(max(-90.0, min(90.0, lat + rng.uniform(-0.01, 0.01))), (lon + rng.uniform(-0.02, 0.02) + 180) % 360 - 180) for _ in range(n)]
+    right = near(0.0, 180.0, 150) + near(89.99, 10.0, 100) + near(-89.995, 0.0, 60)
+    left = [(0.001, 179.999, 0.0, -179.995), (89.995, 100.0, -89.999, 3.0), (90.0, 0.0, None, None)]
+    for radius in (300.0, 2000.0, 40_000.0):
+        check(spark, left, right, radius, cell_rows=7)
+
+
+def rings(wkt):
+    parts = re.findall(r"\(([^()]+)\)", wkt)
+    return wkt.split("(", 1)[0], [[tuple(map(float, c.split())) for c in p.split(", ")] for p in parts]
+
+
+def area(ring):
+    return abs(sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False))) / 2
+
+
+def test_circles_over_the_antimeridian_and_the_poles(spark):
+    places = [(0.0, 179.999), (0.0, -179.999), (60.0, 180.0), (60.0, -180.0), (89.999, 20.0), (-89.999, 179.0), (90.0, 0.0), (-90.0, 7.0), (0.0, 0.0), (89.0, 179.0)]
+    df = spark.createDataFrame(places, "lat double, lon double")
+    made = [r[0] for r in df.select(circle_wkt("lon", "lat", 750.0)).collect()]
+    angular = math.degrees(750 / EARTH_RADIUS_M)
+    for (lat, lon), wkt in zip(places, made, strict=True):
+        kind, parts = rings(wkt)
+        assert all(p[0] == p[-1] and len(p) >= 4 for p in parts)
+        assert all(-180 <= x <= 180 and -90 <= y <= 90 for p in parts for x, y in p)
+        if abs(lat) > 89.9:
+            assert kind == "POLYGON" and len(parts) == 1
+            assert {x for x, _ in parts[0]} >= {-180.0, 180.0} and math.copysign(90, lat) in {y for _, y in parts[0]}
+            off_edge = [(x, y) for x, y in parts[0] if abs(y) < 90 and abs(x) < 180]
+            assert len(off_edge) >= 31 and all(abs(metres(lat, lon, y, x) - 750) < 1 for x, y in off_edge)
+            continue
+        assert kind == ("MULTIPOLYGON" if abs(lon) > 179.9 else "POLYGON")
+        assert len(parts) == (2 if abs(lon) > 179.9 else 1)
+        # each part stays within its half, and together they have the circle's area
+        for p in parts:
+            assert abs(lon) < 179.9 or all(x > 0 for x, _ in p) or all(x < 0 for x, _ in p)
+        want = math.pi * angular**2 / math.cos(math.radians(lat))
+        assert abs(sum(map(area, parts)) / want - 1) < 0.02
+    with pytest.raises(ValueError):
+        circle_wkt("lon", "lat", 2e7)
