@@ -2,7 +2,6 @@ from kerbside.functions.frames import evaluate_once, where_present
 from kerbside.functions.geo import (
     circle_wkt,
     haversine_m,
-    inside_box,
     point_wkt,
     squared_chord,
     squared_chord_limit,
@@ -43,7 +42,6 @@ __all__ = [
     "greatest_strict",
     "haversine_m",
     "hour_bucket",
-    "inside_box",
     "is_truthy",
     "json_document",
     "json_kind",

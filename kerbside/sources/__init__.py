@@ -8,13 +8,13 @@ from kerbside.sources.landing import (
 )
 from kerbside.sources.published import ConcurrentLoad, PublishedTable
 from kerbside.sources.readers import (
-    Catalog,
     path_exists,
     read_lines,
     read_seed,
     stream_kafka,
     stream_lines,
 )
+from kerbside.sources.seen import SeenIds
 from kerbside.sources.sinks import (
     append_by_day,
     merge_incremental,
@@ -26,9 +26,9 @@ from kerbside.sources.sinks import (
 )
 
 __all__ = [
-    "Catalog",
     "ConcurrentLoad",
     "PublishedTable",
+    "SeenIds",
     "append_by_day",
     "disruption_response_errors",
     "explode_disruptions",

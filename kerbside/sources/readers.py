@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,37 +40,6 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
 
 
-class Catalog:
-    """Names for source tables and models.
-
-    ``tables`` maps a name to a path or an already built DataFrame; ``models`` maps a name
-    to a function of the catalog. A model is resolved lazily, when it is asked for.
-    """
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        tables: Mapping[str, str | DataFrame],
-        models: Mapping[str, Callable[[Catalog], DataFrame]] | None = None,
-    ):
-        self.spark = spark
-        self._tables = dict(tables)
-        self._models = dict(models or {})
-        self._resolved: dict[str, DataFrame] = {}
-
-    def source(self, name: str) -> DataFrame:
-        table = self._tables[name]
-        return self.spark.read.parquet(table) if isinstance(table, str) else table
-
-    def ref(self, name: str) -> DataFrame:
-        if name not in self._resolved:
-            self._resolved[name] = self._models[name](self)
-        return self._resolved[name]
-
-    def names(self) -> list[str]:
-        return [*self._tables, *self._models]
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on any file system Spark reads; nothing is listed or read."""
     try:

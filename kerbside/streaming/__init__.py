@@ -12,6 +12,7 @@ from kerbside.streaming.live import (
     enrich_stream,
     read_live_state,
     run_append,
+    run_deduplicated,
     run_enrichment_as_of,
     run_live_state,
 )
@@ -35,6 +36,7 @@ __all__ = [
     "run_append",
     "run_closing_windows",
     "run_curation",
+    "run_deduplicated",
     "run_disruption_staging",
     "run_enrichment_as_of",
     "run_guarded",

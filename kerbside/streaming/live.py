@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kerbside.operators.asof import join_as_of
 from kerbside.sources.published import PublishedTable
+from kerbside.sources.seen import SeenIds
 
 
 def latest_state_stream(status: DataFrame, tie_break: list[str] | None = None) -> DataFrame:
@@ -105,6 +106,27 @@ def run_enrichment_as_of(
     )
 
 
+def run_deduplicated(
+    messages: DataFrame, index_path: str, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Write every message id once, however late it is delivered again: :class:`SeenIds` remembers them all.
+
+    A repeated batch replaces its folder and its entries.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        fresh = SeenIds(batch.sparkSession, index_path).fresh(batch, f"{query}-{batch_id}")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        messages.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
 def deduplicate_stream(messages: DataFrame, ts: str = "publish_time", watermark: str = "1 hour") -> DataFrame:
     """Drop redelivered messages that arrive within the watermark."""
     return messages.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(["message_id"])
@@ -116,6 +138,7 @@ __all__: list[str] = [
     "latest_state_stream",
     "read_live_state",
     "run_append",
+    "run_deduplicated",
     "run_enrichment_as_of",
     "run_live_state",
 ]

@@ -437,6 +437,8 @@ BODIES = {
     "guarded_dead_letters": f"""select {AS_OF} as dlq_ts, 'CAST_INVALID_INPUT' as error_type, event_id
       from station_status where event_id % 4999 = 998""",
     "streamed_message_ids": "select distinct message_id from info_messages",
+    "redelivered_messages": "select distinct message_id from info_messages",
+    "streamed_redeliveries": "select distinct message_id from info_messages",
     # disruptions
     "staged_disruptions": "select * from staged",
     "incremental_staging": "select * from staged",

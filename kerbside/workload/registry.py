@@ -20,6 +20,7 @@ from kerbside.plans.rollup import HourlyRollup
 from kerbside.session import configure, stage, staging_dir
 from kerbside.sources import (
     PublishedTable,
+    SeenIds,
     append_by_day,
     disruption_response_errors,
     explode_disruptions,
@@ -44,6 +45,7 @@ from kerbside.streaming import (
     run_append,
     run_closing_windows,
     run_curation,
+    run_deduplicated,
     run_disruption_staging,
     run_enrichment_as_of,
     run_guarded,
@@ -581,6 +583,26 @@ def streamed_enrichment(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/rows").select("event_id", "station_id", "name", "lat", "lon", "capacity")
 
 
+@query
+def redelivered_messages(t: Tables) -> DataFrame:
+    """Messages from three loads, a redelivery often in a later one than its first delivery; one load is repeated."""
+    seen = SeenIds(t.spark, _folder(t), buckets=8)
+    messages = stage(t.info_messages, "info_messages")
+    share = F.pmod(F.xxhash64("message_id", "data", "attempt"), F.lit(3))
+    loads = {i: stage(seen.fresh(messages.filter(share == i), f"load-{i}"), "fresh") for i in (0, 1, 2, 1)}
+    return loads[0].unionByName(loads[1]).unionByName(loads[2]).select("message_id")
+
+
+@query
+def streamed_redeliveries(t: Tables) -> DataFrame:
+    base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
+    messages = t.info_messages
+    messages.repartition(4).write.parquet(f"{base}/messages")
+    source = t.spark.readStream.schema(messages.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/messages")
+    run_deduplicated(source, f"{base}/ids", f"{base}/unique", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
+    return t.spark.read.parquet(f"{base}/unique").select("message_id")
+
+
 def _versions(t: Tables) -> DataFrame:
     versions = t.station_information.withColumnRenamed("ingest_ts", "valid_from")
     return validity_intervals(versions.select("station_id", "valid_from", "name", "capacity"), ["station_id"], "valid_from")

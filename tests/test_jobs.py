@@ -12,7 +12,6 @@ from kerbside.operators import quality, replay
 from kerbside.plans import disruptions, hourly, stations
 from kerbside.session import stage
 from kerbside.sources import (
-    Catalog,
     append_by_day,
     merge_incremental,
     publish_view,
@@ -120,11 +119,8 @@ def test_sinks_and_sources(spark, tmp_path):
     (tmp_path / "stops.csv").write_text("zda_id,name,lat,lon,town,type\n7,Nation,48.8,2.4,Paris,metro\n")
     seed = read_seed(spark, str(tmp_path / "stops.csv"), schemas.STOPS_REFERENCE)
     assert seed.first()["zda_id"] == 7 and seed.schema["lat"].dataType.simpleString() == "double"
-    catalog = Catalog(
-        spark, {"status": str(tmp_path / "status")}, {"live": lambda c: stations.latest_state(c.source("status"))}
-    )
-    publish_view(catalog.ref("live"), "live_state")
-    assert spark.table("live_state").count() == 4 and catalog.names() == ["status", "live"]
+    publish_view(stations.latest_state(spark.read.parquet(str(tmp_path / "status"))), "live_state")
+    assert spark.table("live_state").count() == 4
     assert stage(seed, "seed").count() == 1
     enriched = enrich_stream(rows, spark.createDataFrame([("1", "One")], "station_id string, name string"), ["name"])
     assert enriched.filter("name = 'One'").count() == rows.filter("station_id = '1'").count()

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import replay
 from kerbside.operators.asof import join_as_of, validity_intervals
-from kerbside.sources import ConcurrentLoad, PublishedTable, merge_incremental, path_exists, published, publish_table
+from kerbside.sources import ConcurrentLoad, PublishedTable, SeenIds, merge_incremental, path_exists, published, publish_table
 from kerbside.streaming import closed_windows, isolate, late_readings, run_station_changes, settled_totals, windowed_totals, write_guarded
 from kerbside.streaming.changes import read_changes, silent_stations, state_of_changes
 from kerbside.streaming.windows import close_batch
@@ -278,3 +278,26 @@ def test_a_finished_run_is_not_planned_anew(spark, tmp_path):
     shutil.move(ledger, str(tmp_path / "gone"))
     assert run(done) == 0 and stored() == {"m0", "m1", "m2"}
     assert {r.message_id for r in spark.read.parquet(ledger).collect()} == {"m0", "m1", "m2"}
+
+
+# --- ids that have been seen ---------------------------------------------------------------
+
+
+def test_a_redelivery_after_a_week_is_dropped(spark, tmp_path):
+    seen = SeenIds(spark, str(tmp_path / "ids"), buckets=4)
+
+    def batch(*rows_):
+        return spark.createDataFrame(
+            [(m, T0 + timedelta(days=d), {"n": n}) for m, d, n in rows_], "message_id string, publish_time timestamp, attributes map<string,string>"
+        )
+
+    def new(name, *rows_):
+        return sorted(((r.message_id, r.attributes["n"]) for r in seen.fresh(batch(*rows_), name).collect()), key=repr)
+
+    assert new("one", ("a", 0, "1"), ("a", 1, "2"), ("b", 0, "1"), (None, 0, "x"), (None, 0, "x")) == [("a", "1"), ("b", "1"), (None, "x"), (None, "x")]
+    assert new("two", ("a", 8, "3"), ("c", 8, "1")) == [("c", "1")]
+    assert new("two", ("a", 8, "3"), ("c", 8, "1")) == [("c", "1")]  # a repeated load
+    assert new("three") == [] and new("four", ("b", 9, "2"), ("c", 9, "2")) == []
+    assert sorted(r.message_id for r in seen.ids().collect()) == ["a", "b", "c"]
+    plan = seen.ids().filter("bucket in (1, 2)").join(batch(("a", 0, "1")), "message_id", "left_semi")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan
