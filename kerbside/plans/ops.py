@@ -24,6 +24,23 @@ def raw_flow(raw: DataFrame) -> DataFrame:
     )
 
 
+def flow_from_footers(footers: DataFrame, micros: str, as_of: Column) -> DataFrame:
+    """Rows, oldest and newest time and its age, of a table with times as microseconds in ``micros``.
+
+    ``footers`` comes from :func:`~kerbside.sources.read_for_footers`; no column is read for it.
+    """
+    found = footers.agg(F.count(F.lit(1)).alias("row_count"), F.min(micros).alias("_first"), F.max(micros).alias("_last"))
+    first, last = (F.timestamp_micros(c).cast("timestamp_ntz") for c in ("_first", "_last"))
+    flow = found.select("row_count", first.alias("first_ingest"), last.alias("last_ingest"))
+    return flow.withColumn("lag_minutes", minutes_between("last_ingest", as_of))
+
+
+def daily_flow_from_footers(footers: DataFrame, micros: str, day: str = "ingest_date") -> DataFrame:
+    """Rows and newest time of every day of a day-partitioned table, from its footers alone."""
+    per_day = footers.groupBy(day).agg(F.count(F.lit(1)).alias("row_count"), F.max(micros).alias("_last"))
+    return per_day.select(day, "row_count", F.timestamp_micros("_last").cast("timestamp_ntz").alias("last_ingest"))
+
+
 def poll_counts(staged: DataFrame) -> DataFrame:
     return staged.agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_distinct("ingest_ts").alias("distinct_polls")

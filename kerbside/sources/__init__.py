@@ -9,6 +9,7 @@ from kerbside.sources.landing import (
 from kerbside.sources.published import ConcurrentLoad, PublishedTable
 from kerbside.sources.readers import (
     path_exists,
+    read_for_footers,
     read_lines,
     read_seed,
     stream_kafka,
@@ -40,6 +41,7 @@ __all__ = [
     "push_dead_letters",
     "push_outcomes",
     "raw_outcomes",
+    "read_for_footers",
     "read_lines",
     "read_seed",
     "stream_kafka",

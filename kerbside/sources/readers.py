@@ -49,3 +49,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
         raise
     return True
+
+
+def read_for_footers(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table whose counts, minima and maxima are answered from the files' footers.
+
+    They must be global or by partition columns, over numbers or dates; Parquet keeps no order for instants
+    of the old kind, so times are asked for as whole microseconds. The frame lives in a session of its own,
+    since the reader that can do this is chosen by setting.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "avro,csv,json,kafka,orc,text")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return session.read.parquet(path)

@@ -395,6 +395,10 @@ BODIES = {
       from station_information group by 1 order by 1 desc limit 7""",
     "status_freshness": f"""select max(ingest_ts) as last_ingest,
         cast(floor(epoch({AS_OF} - max(ingest_ts)) / 60) as bigint) as lag_minutes from station_status""",
+    "status_flow_from_footers": f"""select count(*) as row_count, min(ingest_ts) as first_ingest, max(ingest_ts) as last_ingest,
+        cast(floor(epoch({AS_OF} - max(ingest_ts)) / 60) as bigint) as lag_minutes from station_status""",
+    "daily_flow_from_footers": """select cast(ingest_ts as date) as ingest_date, count(*) as row_count, max(ingest_ts) as last_ingest
+      from station_status group by 1""",
     "temporal_baseline": """select station_id, cast(dayofweek(coalesce(event_ts, ingest_ts)) + 1 as integer) as weekday,
         cast(hour(coalesce(event_ts, ingest_ts)) as integer) as hour_of_day,
         round(avg(num_bikes_available), 6) as usual_bikes, count(*) as samples from station_status group by 1, 2, 3""",

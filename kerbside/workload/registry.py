@@ -30,6 +30,7 @@ from kerbside.sources import (
     push_dead_letters,
     push_outcomes,
     raw_outcomes,
+    read_for_footers,
     read_lines,
     read_seed,
     stream_lines,
@@ -356,6 +357,24 @@ def status_freshness(t: Tables) -> DataFrame:
     return ops.freshness(t.station_status, as_of())
 
 
+def _footers(t: Tables) -> DataFrame:
+    """The curated table with its ingest time as microseconds beside it, as the footer probes need it."""
+    path = _folder(t)
+    micros = F.unix_micros(F.col("ingest_ts").cast("timestamp"))
+    append_by_day(t.station_status.withColumn("ingest_us", micros), path)
+    return read_for_footers(t.spark, path)
+
+
+@query
+def status_flow_from_footers(t: Tables) -> DataFrame:
+    return ops.flow_from_footers(_footers(t), "ingest_us", as_of())
+
+
+@query
+def daily_flow_from_footers(t: Tables) -> DataFrame:
+    return ops.daily_flow_from_footers(_footers(t), "ingest_us")
+
+
 @query
 def temporal_baseline(t: Tables) -> DataFrame:
     return _rounded(ops.temporal_baseline(t.station_status), 6, "usual_bikes")

@@ -50,3 +50,22 @@ def test_rollup_equals_the_rebuild(spark, tmp_path):
     rollup.add(spark.createDataFrame([(start, start, "0", 1, 1)], schema), "late")
     later = {x.station_id: x.number for x in rollup.numbers.read().collect()}
     assert later == numbers | {"0": len(numbers) + 1}
+
+
+def test_probes_read_footers_alone(spark, tmp_path):
+    from kerbside.plans import ops
+    from kerbside.sources import read_for_footers
+
+    days = spark.range(100).selectExpr("id * 3600000000 as us", "date_add(date '2025-01-01', cast(id / 24 as int)) as ingest_date", "id as payload")
+    days.write.partitionBy("ingest_date").parquet(str(tmp_path / "t"))
+    footers = read_for_footers(spark, str(tmp_path / "t"))
+    as_of = F.lit("1970-01-06 00:00:00").cast("timestamp_ntz")
+    flow, daily = ops.flow_from_footers(footers, "us", as_of), ops.daily_flow_from_footers(footers, "us")
+    for probe in (flow, daily):
+        plan = probe._jdf.queryExecution().toString()
+        assert "PushedAggregation: [" in plan and "PushedAggregation: []" not in plan and "payload" not in plan.split("Physical Plan")[-1]
+    row = flow.first()
+    assert (row.row_count, row.lag_minutes) == (100, 21 * 60)
+    assert sorted(r.row_count for r in daily.collect()) == [4, 24, 24, 24, 24]
+    # the caller's session reads as before
+    assert "BatchScan" not in spark.read.parquet(str(tmp_path / "t"))._jdf.queryExecution().toString()
