@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import os
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.session import configure, stage
+from kerbside.session import configure, stage, staging_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Rows of whole texts in one Arrow batch; keeps a Python worker's memory to a few MB of text.
 BATCH_ROWS = "1000"
 #: Column that names a row where ids may be NULL or repeated.
 ROW = "_kerbside_row"
+#: Column with the task that numbered the row, which is the row's number without its last ROW_BITS bits.
+PART, ROW_BITS = "_kerbside_part", 33
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -64,8 +67,42 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, learna
 
 
 def with_row_key(documents: DataFrame) -> DataFrame:
-    """``documents`` with a number of its own for every row, written once so that the numbers stay."""
-    return stage(documents.withColumn(ROW, F.monotonically_increasing_id()), "keyed_rows")
+    """``documents`` with a number of its own for every row, written once so that the numbers stay.
+
+    The table is bucketed by the task that wrote the row (:data:`PART`), which costs no shuffle, so that
+    decisions about rows can come to the texts and the texts never travel.
+    """
+    spark = documents.sparkSession
+    parts = documents.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0]
+    keyed = documents.withColumn(ROW, F.monotonically_increasing_id())
+    keyed = keyed.withColumn(PART, F.shiftright(ROW, ROW_BITS))
+    name = f"kerbside_rows_{uuid.uuid4().hex}"
+    buckets = min(max(parts or 0, 0) + 1, 100_000)  # as many as Spark allows
+    path = f"{staging_dir(spark)}/kerbside/{name}"
+    keyed.write.format("parquet").bucketBy(buckets, PART).option("path", path).saveAsTable(name)
+    return spark.read.table(name)
+
+
+def choose_rows(rows: DataFrame, chosen: DataFrame, keep: bool = True) -> DataFrame:
+    """The rows of :func:`with_row_key` that are in ``chosen`` (a column :data:`ROW`), or all others.
+
+    The choice becomes bitmaps, an eighth of a byte a row of the tasks it falls into, and those are dealt
+    to the buckets of the rows; the hint keeps it so at every size.
+    """
+    place = F.col(ROW).bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    block, bit = F.floor(place / F.lit(32768)), place % 32768
+    bitmaps = (
+        chosen.select(F.shiftright(ROW, ROW_BITS).alias(PART), block.alias("block"), bit.alias("bit"))
+        .groupBy(PART, "block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
+        .groupBy(PART).agg(F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("_chosen"))
+    )
+    byte = F.substring(F.col("_chosen")[block], (F.floor(bit / F.lit(8)) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("int")
+    # the bit's own value, since a shift by a column is for expressions only
+    weight = F.pow(F.lit(2), bit % 8).cast("int")
+    is_chosen = F.coalesce(value.bitwiseAND(weight) != 0, F.lit(False))
+    joined = rows.join(bitmaps.hint("shuffle_hash"), PART, "left")
+    return joined.where(is_chosen if keep else ~is_chosen).drop("_chosen")
 
 
 def bounded_draw(documents: DataFrame, limit: int) -> DataFrame:

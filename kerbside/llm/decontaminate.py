@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import ROW, with_row_key
+from kerbside.llm.common import ROW, choose_rows, with_row_key
 from kerbside.llm.tokens import blocks, encoded, kinds, mix, words_of
 from kerbside.session import stage
 
@@ -246,4 +246,4 @@ def drop_contaminated(documents: DataFrame, items: DataFrame) -> DataFrame:
     rows = with_row_key(documents)
     found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), items).where("n_hit > 0")
     found = stage(found.select(F.col("doc_id").alias(ROW)), "contaminated")
-    return rows.join(found, ROW, "left_anti").select(*documents.columns)
+    return choose_rows(rows, found, keep=False).select(*documents.columns)

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import ROW, with_row_key
+from kerbside.llm.common import ROW, choose_rows, with_row_key
 from kerbside.llm.components import components
 from kerbside.session import stage
 
@@ -174,4 +174,4 @@ def drop_near_copies(documents: DataFrame, shingle: int = 3, max_bits: int = 2)
     kept = grouped.groupBy("component_id", F.col("doc_id").isNull().alias("unnamed")).agg(
         F.min(F.struct("doc_id", ROW))[ROW].alias(ROW)
     )
-    return rows.join(stage(kept.select(ROW), "kept_rows"), ROW, "left_semi").select(*documents.columns)
+    return choose_rows(rows, stage(kept.select(ROW), "kept_rows")).select(*documents.columns)
