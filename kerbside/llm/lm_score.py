@@ -161,58 +161,122 @@ def fit_vocabulary(counts: DataFrame) -> Vocabulary:
     return out
 
 
+def group_width(classes: int) -> int:
+    """Classes of a group, so that there are about as many groups as classes in one."""
+    return int(np.ceil(np.sqrt(classes)))
+
+
 @dataclass
 class WindowNet:
+    """p(class | window) = p(group | window) p(class | group, window), both softmaxes over the same hidden units.
+
+    Classes of consecutive numbers form a group, so a token costs two short softmaxes in place of one over
+    all classes, and the probabilities of all classes still add up to one.
+    """
+
     places: np.ndarray  # (2 * SIDE, classes + 1, UNITS) embeddings per place
+    groups: np.ndarray  # (UNITS, groups)
+    group_bias: np.ndarray  # (groups,)
     out: np.ndarray  # (UNITS, classes)
     bias: np.ndarray  # (classes,)
 
+    @staticmethod
+    def shapes(classes: int) -> list[tuple[int, ...]]:
+        groups = -(-classes // group_width(classes))
+        return [(2 * SIDE, classes + 1, UNITS), (UNITS, groups), (groups,), (UNITS, classes), (classes,)]
+
     @classmethod
     def fresh(cls, seed: int = 9, classes: int = CLASSES) -> WindowNet:
         rng = np.random.default_rng(seed)
-        return cls(
-            rng.normal(0, 0.3, (2 * SIDE, classes + 1, UNITS)).astype(np.float32),
-            rng.normal(0, 0.2, (UNITS, classes)).astype(np.float32),
-            np.zeros(classes, dtype=np.float32),
-        )
+        spread = (0.3, 0.2, 0.0, 0.2, 0.0)
+        return cls(*[rng.normal(0, s, shape).astype(np.float32) for s, shape in zip(spread, cls.shapes(classes), strict=True)])
+
+    def parts(self) -> list[np.ndarray]:
+        return [self.places, self.groups, self.group_bias, self.out, self.bias]
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([self.places.ravel(), self.out.ravel(), self.bias])
+        return np.concatenate([x.ravel() for x in self.parts()])
 
     @classmethod
     def of(cls, flat: np.ndarray, classes: int) -> WindowNet:
-        flat = flat.astype(np.float32)
-        a = 2 * SIDE * (classes + 1) * UNITS
-        b = a + UNITS * classes
-        c = b + classes
-        return cls(flat[:a].reshape(2 * SIDE, classes + 1, UNITS).copy(), flat[a:b].reshape(UNITS, classes).copy(), flat[b:c].copy())
+        shapes = cls.shapes(classes)
+        ends = np.cumsum([int(np.prod(x)) for x in shapes])
+        parts = np.split(flat.astype(np.float32)[: ends[-1]], ends[:-1])
+        return cls(*[x.reshape(shape).copy() for x, shape in zip(parts, shapes, strict=True)])
 
     def hidden(self, context: np.ndarray) -> np.ndarray:
-        return np.tanh(sum(self.places[k][context[:, k]] for k in range(2 * SIDE)))
+        total = self.places[0][context[:, 0]]
+        for k in range(1, 2 * SIDE):
+            total += self.places[k][context[:, k]]
+        return np.tanh(total, out=total)
+
+    def by_group(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]:
+        """The group of each target, the rows in order of groups, and (first row, end, first class, end) of each."""
+        width = group_width(len(self.bias))
+        group = (target // width).astype(np.uint16)
+        order = np.argsort(group, kind="stable")
+        sizes = np.bincount(group, minlength=len(self.group_bias))
+        ends = np.cumsum(sizes)
+        spans = [
+            (int(ends[g] - sizes[g]), int(ends[g]), int(g) * width, min((int(g) + 1) * width, len(self.bias)))
+            for g in np.flatnonzero(sizes)
+        ]
+        return group, order, spans
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        z = self.hidden(context) @ self.out + self.bias
-        top = z.max(1)
-        return z[np.arange(len(z)), target] - top - np.log(np.exp(z - top[:, None]).sum(1))
+        h = self.hidden(context)
+        group, order, spans = self.by_group(target)
+        out = _log_softmax_at(h @ self.groups + self.group_bias, group)
+        h, wanted = h[order], target[order]
+        within = np.empty(len(target), dtype=out.dtype)
+        for first, end, low, high in spans:
+            within[first:end] = _log_softmax_at(h[first:end] @ self.out[:, low:high] + self.bias[low:high], wanted[first:end] - low)
+        out[order] += within
+        return out
 
     def learn(self, context: np.ndarray, target: np.ndarray, rate: float, batch: int = 256) -> None:
         """Plain gradient steps over the rows, in the order given."""
+        embeddings = self.places.reshape(-1, UNITS)
+        starts = np.arange(2 * SIDE) * self.places.shape[1]
+        small = np.uint16 if len(embeddings) < 1 << 16 else np.int64  # the short type is sorted by counting
         for at in range(0, len(target), batch):
-            c, y = context[at : at + batch], target[at : at + batch]
+            group, order, spans = self.by_group(target[at : at + batch])
+            c, y = context[at : at + batch][order], target[at : at + batch][order]
+            n = len(y)
+            step = np.float32(rate / n)
             h = self.hidden(c)
-            z = h @ self.out + self.bias
-            p = np.exp(z - z.max(1, keepdims=True))
-            p /= p.sum(1, keepdims=True)
-            p[np.arange(len(y)), y] -= 1
-            back = (p @ self.out.T) * (1 - h * h)
-            step = np.float32(rate / len(y))
-            self.out -= step * (h.T @ p)
-            self.bias -= step * p.sum(0)
-            for k in range(2 * SIDE):
-                order = np.argsort(c[:, k], kind="stable")  # sums per class
-                own = c[order, k]
-                first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                self.places[k][own[first]] -= step * np.add.reduceat(back[order], first)
+            p = _softmax(h @ self.groups + self.group_bias)
+            p[np.arange(n), group[order]] -= 1
+            back = p @ self.groups.T
+            self.groups -= step * (h.T @ p)
+            self.group_bias -= step * p.sum(0)
+            for first, end, low, high in spans:
+                some, weights = h[first:end], self.out[:, low:high]
+                p = _softmax(some @ weights + self.bias[low:high])
+                p[np.arange(end - first), y[first:end] - low] -= 1
+                back[first:end] += p @ weights.T
+                weights -= step * (some.T @ p)
+                self.bias[low:high] -= step * p.sum(0)
+            back *= 1 - h * h
+            back *= step
+            places = (c + starts).ravel().astype(small)
+            by_place = np.argsort(places, kind="stable")  # sums per place and class
+            own = places[by_place]
+            first_of = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            embeddings[own[first_of]] -= np.add.reduceat(back[by_place // (2 * SIDE)], first_of)
+
+
+def _softmax(z: np.ndarray) -> np.ndarray:
+    z -= z.max(1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(1, keepdims=True)
+    return z
+
+
+def _log_softmax_at(z: np.ndarray, at: np.ndarray) -> np.ndarray:
+    z -= z.max(1, keepdims=True)
+    own = z[np.arange(len(z)), at]
+    return own - np.log(np.exp(z, out=z).sum(1))
 
 
 def contexts(texts: list[bytes], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -234,25 +298,25 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
     """Start: about ``sample_rows`` documents. Then one round over all documents: of each, every
     ``stride``-th token from an offset given by its length is a target (all are context), by default all."""
 
-    def train(net: WindowNet, texts: list[bytes], every: int, rate: float) -> int:
+    def train(net: WindowNet, texts: list[bytes], every: int, rate: float, batch: int) -> int:
         seen = 0
         for block in blocks(texts):
             around, target, owner = contexts(block, vocabulary)
             rows = np.flatnonzero((np.arange(len(target)) + np.array([len(t) for t in block])[owner]) % every == 0) if len(target) else []
             if len(rows):
-                net.learn(around[rows], target[rows], rate)
+                net.learn(around[rows], target[rows], rate, batch)
                 seen += len(rows)
         return seen
 
     drawn = bounded_draw(documents, sample_rows).select("doc_id", "text")
 
-    def task(start: np.ndarray, every: int, rounds: tuple[float, ...]):
+    def task(start: np.ndarray, every: int, rounds: tuple[float, ...], rows: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             net, seen = WindowNet.of(start, vocabulary.size), 0
             for batch in batches:
                 texts = [encoded(t).lower() for t in batch["text"]]
                 for rate in rounds:
-                    seen += train(net, texts, every, rate)
+                    seen += train(net, texts, every, rate, rows)
             if seen:
                 flat = padded(net).reshape(-1, 64).astype(float)
                 yield pd.DataFrame({"piece": np.arange(len(flat)), "seen": seen} | {f"w{i}": flat[:, i] * seen for i in range(64)})
@@ -262,8 +326,8 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
     columns = [f"w{i}" for i in range(64)]
     schema = "piece bigint, seen bigint, " + ", ".join(f"{c} double" for c in columns)
 
-    def averaged(df: DataFrame, start: np.ndarray, every: int, rounds: tuple[float, ...]) -> np.ndarray:
-        summed = df.select("text").mapInPandas(task(start, every, rounds), schema).groupBy("piece").agg(
+    def averaged(df: DataFrame, start: np.ndarray, every: int, rounds: tuple[float, ...], rows: int) -> np.ndarray:
+        summed = df.select("text").mapInPandas(task(start, every, rounds, rows), schema).groupBy("piece").agg(
             F.sum("seen").alias("seen"), *[F.sum(c).alias(c) for c in columns]
         )
         out = start.copy().reshape(-1, 64)
@@ -272,8 +336,8 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
         return out.ravel()
 
     flat = padded(WindowNet.fresh(classes=vocabulary.size))
-    flat = averaged(stage(drawn.coalesce(1), "lm_sample"), flat, 1, (0.5, 0.5, 0.25))
-    return WindowNet.of(averaged(documents, flat, stride, (0.2,)), vocabulary.size)
+    flat = averaged(stage(drawn.coalesce(1), "lm_sample"), flat, 1, (0.5, 0.5, 0.25), 256)
+    return WindowNet.of(averaged(documents, flat, stride, (0.3,), 1024), vocabulary.size)
 
 
 def padded(net: WindowNet) -> np.ndarray:

@@ -161,10 +161,42 @@ def test_window_network_equals_a_loop():
     for k in range(4):
         h = np.tanh(sum(net.places[j][around[k, j]] for j in range(4)))
         z = (h @ net.out + net.bias).astype(float)
-        assert got[k] == pytest.approx(z[target[k]] - np.log(np.exp(z).sum()), abs=1e-4)
+        # the group among groups, then the class among those of its group
+        zg, width = (h @ net.groups + net.group_bias).astype(float), lm_score.group_width(len(z))
+        group = target[k] // width
+        among = z[group * width : (group + 1) * width]
+        want = zg[group] - np.log(np.exp(zg).sum()) + z[target[k]] - np.log(np.exp(among).sum())
+        assert got[k] == pytest.approx(want, abs=1e-4)
+    # the classes of any window share one probability of 1
+    every = np.arange(lm_score.CLASSES)
+    for k in range(4):
+        assert np.exp(net.log_probabilities(np.repeat(around[k : k + 1], len(every), 0), every)).sum() == pytest.approx(1, abs=1e-4)
     assert vocabulary.within(target) == pytest.approx(np.full(4, -math.log(3)))
 
 
+def test_a_step_follows_the_gradient():
+    """One step over a batch against differences of the summed log-probability."""
+    r = np.random.default_rng(4)
+    classes = 11
+    net = lm_score.WindowNet.fresh(3, classes)
+    around, target = r.integers(0, classes + 1, (40, 4)), r.integers(0, classes, 40)
+    flat = net.flat().astype(float)
+
+    def loss(at: int, by: float) -> float:
+        moved = flat.copy()
+        moved[at] += by
+        parts = np.split(moved, np.cumsum([int(np.prod(x)) for x in net.shapes(classes)])[:-1])
+        wide = lm_score.WindowNet(*[x.reshape(shape) for x, shape in zip(parts, net.shapes(classes), strict=True)])
+        return -wide.log_probabilities(around, target).mean()
+
+    stepped = lm_score.WindowNet.of(flat, classes)
+    stepped.learn(around, target, 0.1, batch=40)
+    change = stepped.flat().astype(float) - flat
+    for at in r.choice(len(flat), 150, replace=False):
+        slope = (loss(at, 1e-4) - loss(at, -1e-4)) / 2e-4
+        assert change[at] == pytest.approx(-0.1 * slope, abs=2e-5)
+
+
 def test_token_counts_are_exact(spark, monkeypatch):
     prepare(spark)
     rows = [(i, f"word{i % 7} Word{i % 3} !! é", "", 0, 0) for i in range(300)] + [(None, None, "", 0, 0)]
