@@ -77,7 +77,8 @@ def with_row_key(documents: DataFrame) -> DataFrame:
     keyed = documents.withColumn(ROW, F.monotonically_increasing_id())
     keyed = keyed.withColumn(PART, F.shiftright(ROW, ROW_BITS))
     name = f"kerbside_rows_{uuid.uuid4().hex}"
-    buckets = min(max(parts or 0, 0) + 1, 100_000)  # as many as Spark allows
+    # with fewer buckets than shuffle partitions Spark would rather shuffle the texts; more than 100,000 it refuses
+    buckets = min(max((parts or 0) + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))), 100_000)
     path = f"{staging_dir(spark)}/kerbside/{name}"
     keyed.write.format("parquet").bucketBy(buckets, PART).option("path", path).saveAsTable(name)
     return spark.read.table(name)

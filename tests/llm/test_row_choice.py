@@ -23,7 +23,7 @@ def shuffled_scans(df):
 
 @pytest.fixture
 def no_broadcast(spark):
-    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield spark
     for k, v in before.items():
@@ -49,6 +49,7 @@ def test_rows_are_chosen_one_by_one(no_broadcast):
 def test_stages_shuffle_no_text(no_broadcast):
     spark = prepare(no_broadcast)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")  # more than the documents have
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").repartition(5)
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     for kept in (simhash_dedup.drop_near_copies(docs), decontaminate.drop_contaminated(docs, items)):
