@@ -82,9 +82,11 @@ class Vocabulary:
 
     def gain(self, words: Words, classes: np.ndarray) -> np.ndarray:
         """log of the token's count over the even count: 0 in classes of one token, NaN for what is not shipped."""
-        at, known = _found(self.shipped, words.hash)
-        out = np.where(classes < self.head, 0.0, np.nan)
-        out[known] = self.shipped_gain[at[known]]
+        out = np.zeros(len(classes))
+        tail = np.flatnonzero(classes >= self.head)
+        at, known = _found(self.shipped, words.hash[tail])
+        out[tail] = np.nan
+        out[tail[known]] = self.shipped_gain[at[known]]
         return out
 
 
@@ -289,8 +291,8 @@ def _contexts(words: Words, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndar
     around = np.full((len(classes), 2 * SIDE), vocabulary.size)
     for d in range(1, SIDE + 1):
         same = words.owner[d:] == words.owner[:-d]
-        around[d:, SIDE - d][same] = classes[:-d][same]
-        around[:-d, SIDE + d - 1][same] = classes[d:][same]
+        np.copyto(around[d:, SIDE - d], classes[:-d], where=same)
+        np.copyto(around[:-d, SIDE + d - 1], classes[d:], where=same)
     return around, classes, words.owner
 
 
@@ -337,7 +339,7 @@ def fit_network(documents: DataFrame, vocabulary: Vocabulary, sample_rows: int =
 
     flat = padded(WindowNet.fresh(classes=vocabulary.size))
     flat = averaged(stage(drawn.coalesce(1), "lm_sample"), flat, 1, (0.5, 0.5, 0.25), 256)
-    return WindowNet.of(averaged(documents, flat, stride, (0.3,), 1024), vocabulary.size)
+    return WindowNet.of(averaged(documents, flat, stride, (0.3,), 2048), vocabulary.size)
 
 
 def padded(net: WindowNet) -> np.ndarray:
