@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the results or the skew handling depend on. Broadcast joins are
-# never forced anywhere in this package: Spark decides from measured sizes against
-# spark.sql.autoBroadcastJoinThreshold and falls back to a shuffled join beyond it.
+# Runtime settings the results or the skew handling depend on. Spark decides about broadcast
+# joins from measured sizes against spark.sql.autoBroadcastJoinThreshold and falls back to a
+# shuffled join beyond it; only the text operators force some, of sides bounded by a parameter.
 REQUIRED_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
