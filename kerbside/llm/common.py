@@ -47,11 +47,11 @@ def id_remainder(doc_id: Column, modulus: int) -> Column:
 
 
 def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, learnable: Column, limit: int) -> DataFrame:
-    """(doc_id, text, target) of about ``limit`` labelled documents at most.
+    """(doc_id, text, target) of about ``limit`` labelled documents and never more.
 
-    A document is drawn by the hash of its id, so the draw is the same at any partitioning. Ids with
-    contradictory labels take the smaller one. ``learnable`` is an expression over doc_id. The
-    drawn ids are at most about ``limit`` rows, which is what allows the broadcast.
+    An id is drawn by its hash, so the draw is the same at any partitioning. Ids with contradictory labels
+    take the smaller one; of rows that share an id the text with the smallest hash counts. ``learnable`` is an
+    expression over doc_id. The drawn ids are ``limit`` rows at most, which is what allows the broadcast.
     """
     usable = (
         labels.select("doc_id", F.col(target).cast("int").alias("target"))
@@ -63,7 +63,9 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, learna
     scale = 1 << 30
     share = min(1.0, limit / max(total, 1))
     drawn = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < F.lit(int(share * scale)))
-    return documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    drawn = drawn.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    rows = documents.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    return rows.groupBy("doc_id", "target").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
 
 def with_row_key(documents: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ A writer's word passes a channel that may replace letters by look-alikes (l0ser)
 (looooser) or space them out (l o s e r). Words that could have passed it span a lattice of letters;
 in spaced-out letters every sign between two may be nothing or the end of a word;
 a Viterbi search picks the path that is likeliest under a character trigram model counted over all
-documents, times the channel's costs. All other words have a lattice of one path and stay as they are.
+documents, mixed with the counts of the commonest words, times the channel's costs. Spaced-out letters are also
+read as one word from one wide gap to the next; both readings count. All other words have a lattice of one path
+and stay as they are.
 
 Restored words give features: the squeezed word and its prefixes. A logistic regression over features
 that mark toxic documents is fitted on a bounded, documented sample of labelled rows.
@@ -15,7 +17,8 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import pairwise
 
@@ -40,9 +43,23 @@ SYMBOLS = 28
 
 LEET_COST = 1.0  # of a look-alike, in nats
 STRETCH_COST = 1.0  # of a letter stretched to three or more
+REPEAT_COST = 0.75  # of a spaced-out letter that only repeats the one before it
 JOIN_COST = 0.5  # of a sign between single letters that joins them, and of each that is wider than the narrowest
 BREAK_COST = 0.5  # of a narrowest sign between spaced letters that ends a word; wider ones end it at no cost
 DROP_COST = 2.0  # of a sign that stands for nothing
+KNOWN_COST, UNKNOWN_COST = 0.1, 2.3  # of a word being one of the known words or any other: shares 0.9 and 0.1
+#: No word of the word model, and no second reading of spaced-out letters, is longer.
+LONGEST_WORD = 32
+#: Decoded pieces up to this length are remembered.
+REMEMBERED = 256
+
+# Letters of other scripts that look like a Latin one.
+SCRIPT_LOOK_ALIKES = {
+    "\u0430": "a", "\u0435": "e", "\u043e": "o", "\u0440": "p", "\u0441": "c", "\u0443": "y", "\u0445": "x", "\u0456": "i",
+    "\u0458": "j", "\u0455": "s", "\u0501": "d", "\u04bb": "h", "\u051b": "q", "\u051d": "w", "\u043a": "k", "\u043c": "m",
+    "\u0442": "t", "\u043d": "h", "\u0432": "b", "\u03b1": "a", "\u03b5": "e", "\u03b9": "i", "\u03bf": "o", "\u03c1": "p",
+    "\u03c5": "u", "\u03bd": "v", "\u03ba": "k", "\u03c4": "t", "\u0131": "i",
+}
 
 #: The byte that any Latin-1 byte folds to: lower case, no marks, a space for what is no ASCII character then.
 _FOLD = bytes(
@@ -51,6 +68,14 @@ _FOLD = bytes(
 )
 _INVISIBLE = re.compile("[\xad\u200b-\u200d\u2060\ufeff]")
 _MARKS = re.compile("[\u0300-\u036f]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
+_OTHER_SCRIPT = re.compile(f"[{''.join(SCRIPT_LOOK_ALIKES)}]")
+_SCRIPT_TABLE = str.maketrans(SCRIPT_LOOK_ALIKES)
+
+
+def _one_script(word: re.Match) -> str:
+    """A word with Latin letters in it, with the letters it borrows from other scripts replaced."""
+    return word[0].translate(_SCRIPT_TABLE) if any("a" <= c <= "z" for c in word[0]) else word[0]
 
 
 def plain(text: str | None) -> bytes:
@@ -62,7 +87,9 @@ def plain(text: str | None) -> bytes:
     try:
         return text.encode("latin-1").translate(_FOLD)
     except UnicodeEncodeError:
-        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text)).lower()
+        if _OTHER_SCRIPT.search(text):
+            text = _LETTERS.sub(_one_script, text)
         return text.encode("latin-1", "replace").translate(_FOLD)
 
 
@@ -79,7 +106,7 @@ for _c in LOOK_ALIKES:
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[ord(c) for c in LETTERS]] = 1
 _KIND[[ord(c) for c in LOOK_ALIKES]] = 2
-_KIND[[ord(c) for c in " ._*-"]] = 3
+_KIND[[ord(c) for c in " \t\r\n._*-/\\,;:~'\"#"]] = 3
 #: Bytes of text looked at in one go.
 BLOCK_BYTES = 1 << 20
 
@@ -103,25 +130,58 @@ def _trigrams(block: bytes) -> np.ndarray:
     return (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
 
 
-def trigram_counts(documents: DataFrame) -> DataFrame:
-    """(trigram, n) over the whole texts of all documents: SYMBOLS**3 rows at most."""
+#: A task hands its word counts on when it holds this many.
+HELD_WORDS = 500_000
+
+
+def _words(block: bytes) -> Iterable[bytes]:
+    """Words of a block; as a stream where one text makes it very long."""
+    return _WORD.findall(block) if len(block) < 8 * BLOCK_BYTES else (m[0] for m in _WORD.finditer(block))
+
+
+def corpus_counts(documents: DataFrame) -> DataFrame:
+    """(trigram, word, n) over the whole texts of all documents: SYMBOLS**3 rows of trigrams at most (word NULL),
+    and one for each word of LONGEST_WORD letters at most (trigram NULL)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(SYMBOLS**3, dtype=np.int64)
+        words: Counter[bytes] = Counter()
+
+        def rows(trigram: Iterable, word: Iterable, n: Iterable) -> pd.DataFrame:
+            columns = {"trigram": trigram, "word": word, "n": n}
+            return pd.DataFrame({name: pd.Series(list(values), dtype=object) for name, values in columns.items()})
+
+        def counted() -> pd.DataFrame:
+            some = [(w.decode(), n) for w, n in words.items() if len(w) <= LONGEST_WORD]
+            words.clear()
+            return rows([None] * len(some), (w for w, _ in some), (n for _, n in some))
+
         for batch in batches:
             for _, block in _blocks([plain(t) for t in batch["text"]]):
                 total += np.bincount(_trigrams(block), minlength=SYMBOLS**3)
+                words.update(_words(block))
+                if len(words) >= HELD_WORDS:
+                    yield counted()
+        yield counted()
         seen = np.flatnonzero(total)
-        yield pd.DataFrame({"trigram": seen, "n": total[seen]})
+        yield rows(seen.tolist(), [None] * len(seen), total[seen].tolist())
 
     return (
         documents.select("text")
-        .mapInPandas(run, "trigram bigint, n bigint")
-        .groupBy("trigram")
+        .mapInPandas(run, "trigram bigint, word string, n bigint")
+        .groupBy("trigram", "word")
         .agg(F.sum("n").alias("n"))
     )
 
 
+def word_costs(counts: DataFrame, known_words: int) -> dict[str, float]:
+    """-log of the share of each of the ``known_words`` commonest words that occur twice or more."""
+    words = counts.where(F.col("word").isNotNull())
+    total = words.agg(F.sum("n")).first()[0]
+    top = words.where(F.col("n") >= 2).orderBy(F.desc("n"), "word").limit(known_words).collect()
+    return {r.word: math.log(total / r.n) for r in top}
+
+
 def character_costs(counts: np.ndarray) -> list[float]:
     """-log p(c | a, b) at index (a, b, c), smoothed by the bigram and unigram shares."""
     cube = counts.reshape(SYMBOLS, SYMBOLS, SYMBOLS).astype(float)
@@ -140,23 +200,31 @@ _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 
 @dataclass
 class Restorer:
-    """Viterbi decoding of words under the character costs. Keeps a bounded memory of decoded words."""
+    """Viterbi decoding of words under the costs of characters and of known words. Keeps a bounded memory of decoded pieces."""
 
     costs: list[float]
+    words: dict[str, float] = field(default_factory=dict)
     memory: dict[str, str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.begins = {w[:k] for w in self.words for k in range(len(w) + 1)}
+        self.unknown = UNKNOWN_COST if self.words else 0.0  # without known words the character model stands alone
+
     def _slots(self, word: str, spaced: bool) -> list[list[tuple[str, float]]]:
         """The lattice: per position, the strings it may stand for, and their channel costs."""
         slots = []
         for run in re.finditer(r"(.)\1*", word):
             c, n = run[1], len(run[0])
+            if spaced:
+                ways = [(letter, LEET_COST) for letter in LOOK_ALIKES.get(c, "")]
+                ways += [("", DROP_COST)] if c in LOOK_ALIKES and not c.isdigit() else [(c, 0.0)]
+                slots += [ways, *([[*ways, ("", REPEAT_COST)]] * (n - 1))]
+                continue
             if c in LOOK_ALIKES:
                 ways = [(letter * k, LEET_COST + 0.5 * (k - 1)) for letter in LOOK_ALIKES[c] for k in (1, 2)[: min(n, 2)]]
                 ways += [(c, 0.0)] if c.isdigit() else [("", DROP_COST)]
             elif n >= 3:
                 ways = [(c, STRETCH_COST), (c * 2, STRETCH_COST)]
-            elif n == 2 and spaced:
-                ways = [(c * 2, 0.0)]
             else:
                 ways = [(c * n, 0.0)]
             slots.append(ways)
@@ -164,66 +232,86 @@ class Restorer:
 
     def _spaced_slots(self, letters: str, join: list[float], part: list[float]) -> list[list[tuple[str, float]]]:
         """The lattice of spaced-out letters: after letter k nothing (at the cost ``join[k]``) or a space (``part[k]``)."""
-        slots, at = [], 0
-        for run in re.finditer(r"(.)\1*", letters):
-            n, (first, last) = len(run[0]), run.span()
-            whole = sum(join[first : last - 1])
-            ways = [(text, cost + whole) for way in self._slots(run[0], True) for text, cost in way]
-            for k in range(first, last - 1):  # one break within the run
-                rest = whole - join[k] + part[k]
-                halves = [[w for way in self._slots(letters[a:b], True) for w in way] for a, b in ((first, k + 1), (k + 1, last))]
-                ways += [(f"{x} {y}", a + b + rest) for x, a in halves[0] for y, b in halves[1] if x and y]
-            if n > 2:
-                ways.append((" ".join(run[0]), sum(part[first : last - 1])))
-            slots.append(ways)
-            at = last - 1
-            if last < len(letters):
-                slots.append([("", join[at]), (" ", part[at])])
-        return slots
+        slots = self._slots(letters, True)
+        between = [[("", j), (" ", p)] for j, p in zip(join, part, strict=True)]
+        return [s for pair in zip(slots, [*between, []], strict=True) for s in pair][:-1]
 
-    def decode(self, word: str) -> str:
-        known = self.memory.get(word)
+    def _remembered(self, piece: str, decoder) -> str:
+        known = self.memory.get(piece)
         if known is None:
-            if len(self.memory) > 200_000:  # a cache only: what is forgotten is decoded again
-                self.memory.clear()
-            known = self.memory[word] = self._likeliest(self._slots(word, False))[1]
+            known = decoder(piece)
+            if len(piece) <= REMEMBERED:
+                if len(self.memory) > 200_000:  # a cache only: what is forgotten is decoded again
+                    self.memory.clear()
+                self.memory[piece] = known
         return known
 
+    def decode(self, word: str) -> str:
+        return self._remembered(word, lambda w: self._likeliest(self._slots(w, False))[1])
+
     def _likeliest(self, slots: list[list[tuple[str, float]]]) -> tuple[float, str]:
-        """Cost and text of the best path; a space in it ends a word and begins another."""
-        costs, code = self.costs, _CODE
-        # states: (last but one symbol, last symbol) -> (cost, text)
-        states = {(EDGE, EDGE): (0.0, "")}
+        """Cost and text of the best path; a space in it ends a word and begins another.
+
+        A word on its way is either any word, priced letter by letter (its last two symbols are the state), or the
+        beginning of known words, priced when it ends. States point back to the letters before them.
+        """
+        costs, code, begins, words = self.costs, _CODE, self.begins, self.words
+        State = tuple[float, tuple | None]
+        free: dict[tuple[int, int], State] = {(EDGE, EDGE): (0.0, None)}
+        known: dict[str, State] = {"": (0.0, None)} if words else {}
+
+        def ended() -> State:
+            every = [(cost + costs[(a * SYMBOLS + b) * SYMBOLS + EDGE] + self.unknown, at) for (a, b), (cost, at) in free.items()]
+            every += [(cost + words[w] + KNOWN_COST, at) for w, (cost, at) in known.items() if w in words]
+            return min(every, key=lambda state: state[0])
+
         for ways in slots:
-            after: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (cost, text) in states.items():
-                for letters, price in ways:
+            free_after: dict[tuple[int, int], State] = {}
+            known_after: dict[str, State] = {}
+            for letters, price in ways:
+                if letters == " ":
+                    cost, at = ended()
+                    state = (cost + price, (at, " "))
+                    if (EDGE, EDGE) not in free_after or state[0] < free_after[EDGE, EDGE][0]:
+                        free_after[EDGE, EDGE] = state
+                    if words and ("" not in known_after or state[0] < known_after[""][0]):
+                        known_after[""] = state
+                    continue
+                for (a, b), (cost, at) in free.items():
                     x, y, total = a, b, cost + price
                     for c in letters:
-                        z = EDGE if c == " " else code.get(c, OTHER)
+                        z = code.get(c, OTHER)
                         total += costs[(x * SYMBOLS + y) * SYMBOLS + z]
-                        x, y = (EDGE, EDGE) if c == " " else (y, z)
-                    best = after.get((x, y))
+                        x, y = y, z
+                    best = free_after.get((x, y))
                     if best is None or total < best[0]:
-                        after[x, y] = (total, text + letters)
-            states = after
-        return min((cost + costs[(a * SYMBOLS + b) * SYMBOLS + EDGE], text) for (a, b), (cost, text) in states.items())
+                        free_after[x, y] = (total, (at, letters) if letters else at)
+                for w, (cost, at) in known.items():
+                    longer = w + letters
+                    if longer in begins:
+                        best = known_after.get(longer)
+                        if best is None or cost + price < best[0]:
+                            known_after[longer] = (cost + price, (at, letters) if letters else at)
+            free, known = free_after, known_after
+        cost, at = ended()
+        text = []
+        while at:
+            at, letters = at
+            text.append(letters)
+        return cost, "".join(reversed(text))
 
     def _price(self, words: list[str]) -> float:
         total = 0.0
         for w in words:
             s = [EDGE, EDGE, *(_CODE.get(c, OTHER) for c in w), EDGE]
-            total += sum(self.costs[(x * SYMBOLS + y) * SYMBOLS + z] for (x, y), z in zip(pairwise(s), s[2:], strict=False))
+            free = sum(self.costs[(x * SYMBOLS + y) * SYMBOLS + z] for (x, y), z in zip(pairwise(s), s[2:], strict=False))
+            total += min(free + self.unknown, self.words.get(w, math.inf) + KNOWN_COST)
         return total
 
     def _joined(self, piece: str) -> str:
-        """Single letters in a row: the likeliest words of them, if likelier than so many words of one letter."""
-        known = self.memory.get(piece)
-        if known is None:
-            if len(self.memory) > 200_000:
-                self.memory.clear()
-            known = self.memory[piece] = self._words_of_letters(piece)
-        return known
+        """Single letters in a row: the likeliest words of them, if likelier than so many words of one letter, and
+        each group between wider gaps as one word."""
+        return self._remembered(piece, self._words_of_letters)
 
     def _words_of_letters(self, piece: str) -> str:
         at = [i for i, c in enumerate(piece) if _KIND[ord(c)] != 3]
@@ -231,10 +319,17 @@ class Restorer:
         if not any(c.isalpha() for c in letters):
             return piece
         wider = [b - a for a, b in pairwise(at)]
-        wider = [w - min(wider) for w in wider]
+        least = min(wider)
+        wider = [w - least for w in wider]
         join, part = [JOIN_COST * (1 + w) for w in wider], [0.0 if w else BREAK_COST for w in wider]
         cost, text = self._likeliest(self._spaced_slots(letters, join, part))
-        return f" {text} " if cost < self._price(list(letters)) else piece
+        if cost >= self._price(list(letters)):
+            text = " ".join(letters)
+        ends = [0, *(k + 1 for k, w in enumerate(wider) if w), len(letters)]
+        groups = [letters[a:b] for a, b in pairwise(ends) if 3 <= b - a <= LONGEST_WORD]
+        found = set(text.split())
+        whole = dict.fromkeys(self._likeliest(self._slots(g, True))[1] for g in groups)
+        return " ".join(["", text, *(w for w in whole if w not in found), ""])
 
     def _disguised(self, block: bytes, starts: list[int]) -> list[tuple[int, int, bool]]:
         """(start, end, spaced) of the words of a block whose lattice has more than one path, in order."""
@@ -304,9 +399,10 @@ class ToxicityModel:
     costs: list[float]
     weights: dict[str, float]
     bias: float
+    words: dict[str, float] = field(default_factory=dict)
 
     def restorer(self) -> Restorer:
-        return Restorer(self.costs)
+        return Restorer(self.costs, self.words)
 
     def heads(self) -> np.ndarray:
         """For each trigram that can begin a word, whether a weighed feature may begin so, letters doubled or not."""
@@ -343,11 +439,11 @@ class ToxicityModel:
         return out
 
 
-def _training_rows(sample: DataFrame, costs: list[float]) -> DataFrame:
+def _training_rows(sample: DataFrame, costs: list[float], known: dict[str, float]) -> DataFrame:
     """(doc_id, target, features): the distinct features of each sampled document."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        restorer = Restorer(costs)
+        restorer = Restorer(costs, known)
         for batch in batches:
             rows = []
             for text in batch["text"]:
@@ -386,8 +482,10 @@ def fit_toxicity(
     sample_rows: int = 12_000,
     max_features: int = 4096,
     min_docs: int = 5,
+    known_words: int = 50_000,
 ) -> ToxicityModel:
-    """Character model over all documents; word weights from about ``sample_rows`` labelled rows.
+    """Character model and the ``known_words`` commonest words over all documents; word weights from ``sample_rows``
+    labelled rows at most.
 
     A feature is a candidate if at least ``min_docs`` toxic documents hold it and it is at least 8
     times as frequent among toxic as among clean ones (smoothed); the ``max_features`` that mark most
@@ -395,10 +493,12 @@ def fit_toxicity(
     Without toxic examples every score is the bias alone.
     """
     counts = np.zeros(SYMBOLS**3, dtype=np.int64)
-    for r in trigram_counts(documents).collect():  # SYMBOLS**3 rows at most
+    counted = stage(corpus_counts(documents), "toxicity_counts")
+    for r in counted.where(F.col("trigram").isNotNull()).collect():  # SYMBOLS**3 rows at most
         counts[r.trigram] = r.n
-    costs = character_costs(counts)
-    rows = stage(_training_rows(labelled_sample(documents, labels, "toxic", learnable, sample_rows), costs), "toxicity_rows")
+    costs, words = character_costs(counts), word_costs(counted, known_words)
+    sample = labelled_sample(documents, labels, "toxic", learnable, sample_rows)
+    rows = stage(_training_rows(sample, costs, words), "toxicity_rows")
     sizes = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("target"), F.lit(0)).alias("toxic")).first()
     n_clean = sizes.n - sizes.toxic
     per_feature = (
@@ -414,12 +514,12 @@ def fit_toxicity(
     )
     names = [r.feature for r in per_feature.collect()]
     if not names:
-        return ToxicityModel(costs, {}, math.log((sizes.toxic + 0.5) / (n_clean + 10.0)))
+        return ToxicityModel(costs, {}, math.log((sizes.toxic + 0.5) / (n_clean + 10.0)), words)
     chosen = rows.select(
         "target", F.array_intersect("features", F.array(*[F.lit(f) for f in names])).alias("features")
     ).where(F.size("features") > 0)
     w, bias = _fit_weights([(r.target, r.features) for r in chosen.collect()], names, sizes.n, sizes.toxic)
-    return ToxicityModel(costs, {f: float(x) for f, x in zip(names, w, strict=True) if x > 0}, bias)
+    return ToxicityModel(costs, {f: float(x) for f, x in zip(names, w, strict=True) if x > 0}, bias, words)
 
 
 def toxicity_score(model: ToxicityModel, text: Column) -> Column:
