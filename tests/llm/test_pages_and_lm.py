@@ -236,3 +236,49 @@ def test_head_grows_with_the_corpus():
 )
 def test_main_text_is_whole(body, text):
     assert html_extract.main_text(FRAME.format(body)) == text
+
+
+WORDY = " ".join([LONG] * 4)
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<html><head><title>t</title><body><article><p>{LONG}</article>", LONG),
+        (f"<head><meta charset=x><title>t</title><style>p</style><p>{LONG}<p>{LONG}", f"{LONG}\n{LONG}"),
+        (f"<head><title>t</title>{LONG}", LONG),
+        (f"<head><noscript><img src=x><p>off</noscript><title>t</title></head><p>{LONG}", LONG),
+        (f"<body><form><nav><a>Home</a></nav><div><p>{LONG}<p>{LONG}</div><footer>us</footer></form>", f"{LONG}\n{LONG}"),
+        (f"<body><form><article><p>{LONG}</article><div class=comments><p>{WORDY}</div></form>", LONG),
+        (f"<div><p>{LONG}<p>{LONG}</div><form><p>Subscribe to our letter here.</form>", f"{LONG}\n{LONG}"),
+        (f"<article><p>{WORDY}<form><p>{LONG}</form><p>end</article>", f"{WORDY}\nend"),
+        (f"<article>{('<p>' + WORDY) * 9}</article><article><h2>Two</h2><p>short one</article>", "\n".join([WORDY] * 9 + ["Two", "short one"])),
+        (f"<article><p>short</article><article>{('<p>' + WORDY) * 9}</article>", "\n".join(["short"] + [WORDY] * 9)),
+        (f"<main><p>{LONG}<section class='comments'><article><p>{WORDY}</article></section></main>", LONG),
+        (f"<main><p>Brief.<section class='comments'>{('<article><p>' + WORDY + '</article>') * 5}</section></main>", "Brief."),
+        (f"<div><p>{LONG}</div><div class='comments-area'>{('<p>' + WORDY) * 5}</div>", LONG),
+        (f"<div class=sidebar><div class=rail><article><p>{LONG}</article><p>x</div></div>", LONG),
+    ],
+)
+def test_main_text_of_ordinary_pages(html, text):
+    assert html_extract.main_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 50_000 + LONG,
+        "<div class='sidebar x'>" * 50_000 + LONG,
+        "<div class='side'>" * 25_000 + "<article class='promo'>" * 25_000 + LONG,
+        "<p>" + "<span>" * 50_000 + "x<br>" * 50_000,
+        "<div>" * 50_000 + "x</p>" * 50_000,
+        "<a><div>" + "<span>" * 50_000 + "y</a>" * 50_000,
+        "<form><article>" * 25_000 + f"<p>{LONG}",
+    ],
+)
+def test_extraction_takes_linear_time(html):
+    import time
+
+    start = time.perf_counter()
+    html_extract.main_text(html)
+    assert time.perf_counter() - start < 2
