@@ -11,6 +11,7 @@ own factor follows in place, and only a (language x topic) table of sums reaches
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,6 +50,10 @@ def token_and_topic(text: Column) -> Column:
     return measure(text)
 
 
+#: Sweeps in a row without progress after which targets count as contradicting each other.
+STALLED = 3
+
+
 @dataclass
 class Mixture:
     """The raked factors. ``sources`` has (source, source_factor); the other two are small lists."""
@@ -58,7 +63,8 @@ class Mixture:
     topic: np.ndarray
     scale: float
     sweeps: int
-    gap: float
+    gap: float  # the most by which a language's or topic's share misses its target; sources meet theirs
+    converged: bool
 
 
 def language_index(lang: Column) -> Column:
@@ -88,6 +94,11 @@ def rake(
     Targets: shares of tokens. Without explicit ones they are the observed shares raised to ``power``,
     which lifts the small ones; sources always follow that rule. Cells without tokens stay empty.
     ``budget_share`` of all tokens are to be drawn, as far as there are enough.
+
+    Targets may contradict each other, as where sources of one language each have other shares than their languages.
+    Where STALLED sweeps in a row lower the gap by less than 1 % each, sweeping stops: sources meet their shares exactly,
+    languages and topics as nearly as ``gap`` says, ``converged`` is false and a warning names the gap. The same
+    holds after ``max_sweeps``.
     """
     n_lang, k = len(LANGUAGES) + 1, (len(LANGUAGES) + 1) * TOPICS
     cell = (F.col("language") * TOPICS + F.col("topic")).cast("int")
@@ -126,17 +137,21 @@ def rake(
             .withColumn("source_factor", F.when(F.col("weighed") > 0, goal_s / F.col("weighed")).otherwise(F.lit(0.0)))
         )
 
-    sweeps, gap = 0, 0.0
+    sweeps, gap, stalled = 0, 0.0, 0
     for sweeps in range(1, max_sweeps + 1) if total else ():
         sums = by_cell(with_factor(), F.col("source_factor") * F.col("tokens"))  # raked over sources only
         raked = sums * np.outer(f_l, f_t)
-        gap = max(float(np.abs(raked.sum(1) - goal_l).max()), float(np.abs(raked.sum(0) - goal_t).max()))
-        if gap < tolerance:
+        before, gap = gap, max(float(np.abs(raked.sum(1) - goal_l).max()), float(np.abs(raked.sum(0) - goal_t).max()))
+        stalled = stalled + 1 if sweeps > 1 and gap > 0.99 * before else 0
+        if gap < tolerance or stalled == STALLED:
             break
         by_l = sums @ f_t
         f_l = np.divide(goal_l, by_l, out=np.zeros_like(goal_l), where=by_l > 0)
         by_t = f_l @ sums
         f_t = np.divide(goal_t, by_t, out=np.zeros_like(goal_t), where=by_t > 0)
+    converged = gap < tolerance
+    if not converged:
+        warnings.warn(f"targets not met after {sweeps} sweeps: shares of languages or topics miss by up to {gap:.2g}", stacklevel=2)
     sources = stage(with_factor().drop("phi", "weighed"), "mixing_factors")
 
     # One factor for all: tokens of cells drawn whole, plus scale times the weight of the rest, meet the budget.
@@ -157,7 +172,7 @@ def rake(
         if new <= scale * (1 + 1e-9):
             break
         scale = new
-    return Mixture(sources.select("source", "source_factor"), f_l, f_t, scale, sweeps, gap)
+    return Mixture(sources.select("source", "source_factor"), f_l, f_t, scale, sweeps, gap, converged)
 
 
 def _present(goal: np.ndarray, observed: np.ndarray) -> np.ndarray:
@@ -172,8 +187,8 @@ def _probability(mixture: Mixture) -> Column:
 
 
 def _uniform(seed: int) -> Column:
-    """A number from 0 to 1 for each document, by its id (its text where it has none)."""
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")))
+    """A number from 0 to 1 for each document, by its id and text, so that rows that share an id are drawn one by one."""
+    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     return F.pmod(key, F.lit(1 << 52)) / F.lit(float(1 << 52))
 
 
@@ -181,7 +196,7 @@ def mix_sources(documents: DataFrame, seed: int = 11, **targets) -> DataFrame:
     """(doc_id, source, lang, topic, tokens, probability, kept) of every row of ``documents``.
 
     NULL sources are a source of their own; NULL and unlisted languages share one class; documents
-    without words have no tokens to weigh and follow their cell. Repeated rows are drawn or left together.
+    without words have no tokens to weigh and follow their cell. Copies of a row are drawn or left together.
     Columns of ``documents`` other than doc_id, text, source and lang are not read.
     """
     counted = stage(

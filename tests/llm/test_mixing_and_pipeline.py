@@ -111,3 +111,23 @@ def test_pipeline_stages(spark):
         docs = out
     assert all(0 < kept < n for n, kept in stages.values()), stages
     assert stages["toxicity"][1] > 850 and stages["quality classifier"][1] > 0.8 * stages["quality classifier"][0]
+
+
+def test_contradicting_targets_end_soon_and_say_so(spark):
+    """Sources of one language each: source shares are met, the gap is told."""
+    rows = [("a", 0, 0, 900), ("b", 0, 0, 50), ("c", 1, 0, 50)]
+    with pytest.warns(UserWarning, match="not met"):
+        got = mixing.rake(spark.createDataFrame(rows, COUNTED))
+    assert not got.converged and got.sweeps <= 6 and 0 < got.gap < 0.2
+    factor = {x.source: x.source_factor for x in got.sources.collect()}
+    weight = {s: t * factor[s] * got.language[a] * got.topic[b] for s, a, b, t in rows}
+    root = {s: t**0.5 for s, _, _, t in rows}
+    assert weight == pytest.approx({s: v / sum(root.values()) for s, v in root.items()})
+    assert mixing.rake(spark.createDataFrame(rows[:1], COUNTED)).converged
+
+
+def test_rows_of_a_hot_id_are_drawn_one_by_one(spark):
+    prepare(spark)
+    rows = [(7 if i % 3 == 0 else i, f"words of text number {i}", "en", "s", 1, "", 0, "", 0, 0) for i in range(3000)]
+    drawn = mixing.sample_mixture(spark.createDataFrame(rows, DOCS), budget_share=0.4)
+    assert 0.36 < drawn.count() / len(rows) < 0.44 and 300 < drawn.where("doc_id = 7").count() < 500
