@@ -99,7 +99,13 @@ def fit_tables(sample: np.ndarray, largest: int, threshold: float, recall: float
             return model
 
 
+def _scaled(rows: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, so that squares neither vanish nor overflow and nothing else changes."""
+    return np.ldexp(rows, -np.frexp(np.abs(rows).max(1))[1][:, None])
+
+
 def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = _scaled(rows)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -121,7 +127,7 @@ def near_vectors(
     block_rows: int = 256,
     bucket_rows: int = 256,
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept): one row per vec_id.
+    """(vec_id, n_links, component_id, kept): one row per vec_id, and one for each row without one.
 
     Vectors with equal non-NULL labels and a cosine of ``threshold`` or more are linked. Vectors that are
     NULL, empty, zero, or hold NULL or non-finite components link with nothing, nor do vectors of
@@ -130,14 +136,14 @@ def near_vectors(
     rotation is ``sample_rows`` rows at most per vector length; every row is indexed. ``bucket_rows`` is
     the wanted size of a bucket, ``block_rows`` the most rows a task compares with as many others.
     """
-    rows = embeddings.groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select(
+    named = embeddings.where(F.col("vec_id").isNotNull())
+    rows = named.groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select(
         "vec_id", "v.label", F.col("v.embedding").cast("array<double>").alias("embedding")
     )
     rows = stage(rows, "vectors")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     usable = rows.where(
-        F.col("vec_id").isNotNull()
-        & F.col("label").isNotNull()
+        F.col("label").isNotNull()
         & F.col("embedding").isNotNull()
         & finite
         & F.exists("embedding", lambda x: x != 0)
@@ -205,6 +211,7 @@ def near_vectors(
         keys = np.stack(group["keys"].to_numpy())
         block, names, copies = (group[c].to_numpy() for c in ("block", "first_id", "copies"))
         left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+        x = _scaled(x)
         norm = np.sqrt((x * x).sum(1))
         cosine = (x[left] @ x[right].T) / (norm[left][:, None] * norm[right][None, :])
         i, j = np.nonzero(cosine >= threshold)
@@ -232,9 +239,13 @@ def near_vectors(
     )
     # ids of the vectors behind each distinct one; the smallest of a component is its smallest first_id
     of_row = usable.join(stage(result, "vector_results"), ["label", "embedding"]).select("vec_id", "n", "component")
-    return rows.select("vec_id").join(of_row, "vec_id", "left").select(
+    unnamed = embeddings.where(F.col("vec_id").isNull()).select(
+        "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(False).alias("kept")
+    )
+    judged = rows.select("vec_id").join(of_row, "vec_id", "left").select(
         "vec_id",
         F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component", "vec_id").alias("component_id"),
         F.coalesce(F.coalesce("component", "vec_id") == F.col("vec_id"), F.lit(False)).alias("kept"),
     )
+    return judged.unionByName(unnamed)

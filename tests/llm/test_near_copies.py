@@ -168,3 +168,15 @@ def test_tables_that_miss_the_recall_are_an_error():
     x = np.random.default_rng(8).normal(size=(200, 64))
     with pytest.raises(RuntimeError):
         embedding_dedup.fit_tables(x / np.linalg.norm(x, axis=1, keepdims=True), 10_000_000, 0.3)
+
+
+def test_vectors_without_id_and_of_extreme_size(spark):
+    prepare(spark)
+    rows = [(None, 1, [1.0, 0.0])] * 2 + [(None, 2, None)]
+    rows += [(1, 1, [1e-200, 0.0]), (2, 1, [3.0, 3.0]), (3, 1, [1e200, 0.0]), (4, 1, [1e200, 1e199]), (5, 1, [1e-300, 1e-300])]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, embedding array<double>")
+    got = embedding_dedup.near_vectors(frame).collect()
+    assert sorted(str((r.vec_id, r.n_links, r.component_id, r.kept)) for r in got) == sorted(
+        ["(None, 0, None, False)"] * 3
+        + ["(1, 2, 1, True)", "(2, 1, 2, True)", "(3, 2, 1, False)", "(4, 2, 1, False)", "(5, 1, 2, False)"]
+    )
