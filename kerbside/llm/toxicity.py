@@ -131,7 +131,7 @@ def _trigrams(block: bytes) -> np.ndarray:
 
 
 #: A task hands its word counts on when it holds this many.
-HELD_WORDS = 500_000
+HELD_WORDS = 100_000
 
 
 def _words(block: bytes) -> Iterable[bytes]:
@@ -241,7 +241,7 @@ class Restorer:
         if known is None:
             known = decoder(piece)
             if len(piece) <= REMEMBERED:
-                if len(self.memory) > 200_000:  # a cache only: what is forgotten is decoded again
+                if len(self.memory) > 50_000:  # a cache only: what is forgotten is decoded again
                     self.memory.clear()
                 self.memory[piece] = known
         return known
