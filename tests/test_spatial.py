@@ -189,3 +189,8 @@ def test_circles_over_the_antimeridian_and_the_poles(spark):
         assert abs(sum(map(area, parts)) / want - 1) < 0.02
     with pytest.raises(ValueError):
         circle_wkt("lon", "lat", 2e7)
+
+
+def test_circle_corners_are_computed_once(spark):
+    """The formula of a corner stands once in the expression, however many parts of the text read it."""
+    assert str(circle_wkt("lon", "lat", 750.0)).upper().count("ATAN2") == 1
