@@ -6,7 +6,7 @@ from kerbside.streaming.changes import (
     station_changes,
 )
 from kerbside.streaming.curation import run_curation
-from kerbside.streaming.guarded import isolate, run_guarded, write_guarded
+from kerbside.streaming.guarded import StrictCasts, isolate, run_guarded, write_guarded
 from kerbside.streaming.live import (
     deduplicate_stream,
     enrich_stream,
@@ -26,6 +26,7 @@ from kerbside.streaming.windows import (
 )
 
 __all__ = [
+    "StrictCasts",
     "closed_windows",
     "deduplicate_stream",
     "enrich_stream",

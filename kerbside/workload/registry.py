@@ -39,6 +39,7 @@ from kerbside.sources import (
     write_ndjson,
 )
 from kerbside.streaming import (
+    StrictCasts,
     deduplicate_stream,
     enrich_stream,
     read_changes,
@@ -660,11 +661,8 @@ def _guarded(t: Tables) -> str:
     t.station_status.select("event_id", number.alias("number")).repartition(4).write.parquet(f"{base}/in")
     stream = t.spark.readStream.schema("event_id bigint, number string").option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
 
-    def strict(rows: DataFrame) -> DataFrame:
-        return rows.withColumn("number", F.col("number").cast("bigint"))
-
     run_guarded(
-        stream, strict, f"{base}/rows", f"{base}/dead", f"{base}/checkpoint", {"availableNow": True}, as_of()
+        stream, StrictCasts({"number": "bigint"}), f"{base}/rows", f"{base}/dead", f"{base}/checkpoint", {"availableNow": True}, as_of()
     ).awaitTermination()
     return base
 

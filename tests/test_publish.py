@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kerbside.operators import replay
 from kerbside.operators.asof import join_as_of, validity_intervals
 from kerbside.sources import ConcurrentLoad, PublishedTable, SeenIds, merge_incremental, path_exists, published, publish_table
-from kerbside.streaming import closed_windows, isolate, late_readings, run_station_changes, settled_totals, windowed_totals, write_guarded
+from kerbside.streaming import StrictCasts, closed_windows, isolate, late_readings, run_station_changes, settled_totals, windowed_totals, write_guarded
 from kerbside.streaming.changes import read_changes, silent_stations, state_of_changes
 from kerbside.streaming.windows import close_batch
 
@@ -237,6 +237,38 @@ def test_unwritable_rows_stand_alone(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "dead")).count() == 0
 
 
+def test_refused_texts_cost_one_more_write_however_many(spark, tmp_path):
+    frame = spark.range(4000).selectExpr("id", "case id % 4 when 1 then 'bad' when 2 then null else cast(id as string) end as v", "'1' as w")
+    commits, buried = [], []
+
+    def commit(ready):
+        commits.append(1)
+        ready.write.mode("overwrite").parquet(str(tmp_path / "ok"))
+
+    def bury(dead):
+        buried.extend((r.id, r.v, r.error_type) for r in dead.collect())
+
+    write_guarded(frame, StrictCasts({"v": "bigint"}), commit, bury, patience=3)
+    assert sorted(buried) == [(i, "bad", "CAST_INVALID_INPUT") for i in range(1, 4000, 4)] and len(commits) == 2
+    kept = spark.read.parquet(str(tmp_path / "ok"))
+    assert dict(kept.dtypes)["v"] == "bigint" and sorted(r.id for r in kept.collect()) == [i for i in range(4000) if i % 4 != 1]
+
+
+def test_other_errors_are_still_isolated(spark, tmp_path):
+    class Picky(StrictCasts):
+        def __call__(self, rows):
+            return super().__call__(rows).withColumn("one", F.lit(1) / (F.col("id") - 5))
+
+    frame = spark.range(40).selectExpr("id", "if(id in (3, 5), 'bad', cast(id as string)) as v", "if(id = 5, '1', '2') as w")
+    buried = []
+    write_guarded(
+        frame.withColumn("v", F.when(F.col("id") == 5, "5").otherwise(F.col("v"))), Picky({"v": "bigint"}),
+        lambda d: d.write.mode("overwrite").parquet(str(tmp_path / "ok")), lambda d: buried.extend((r.id, r.error_type) for r in d.collect()),
+    )
+    assert sorted(buried) == [(3, "CAST_INVALID_INPUT"), (5, "DIVIDE_BY_ZERO")]
+    assert spark.read.parquet(str(tmp_path / "ok")).count() == 38
+
+
 def test_passing_errors_are_raised(spark):
     def attempt(part):
         raise OSError("disk")
