@@ -5,12 +5,35 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside import fixed_values as fx
 from kerbside.operators.latest import latest_by
 from kerbside.sources.published import PublishedTable
 
 
+#: Bytes of text, before compression, that one task sorts and writes of a table of long rows.
+PIECE_BYTES = 64 << 20
+
+
+def in_pieces(df: DataFrame, *order: str, piece_bytes: int | None = None) -> DataFrame:
+    """Rows dealt over tasks by what they weigh uncompressed, in ranges of ``order``.
+
+    AQE cuts by the bytes of compressed shuffle files; long texts that compress a hundredfold would meet in
+    one task. ``df`` is read twice here and once later, so pass it staged or persisted.
+    """
+    # a row is at least as heavy as its fixed part
+    weight = F.lit(8 * len(df.columns)).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            weight = weight + F.coalesce(F.octet_length(f.name), F.lit(0))
+    total = df.agg(F.sum(weight)).first()[0] or 0
+    pieces = 1 + int(total) // (piece_bytes or PIECE_BYTES)
+    # equal rows are spread too
+    spread = F.xxhash64(F.monotonically_increasing_id())
+    return df.withColumn("_spread", spread).repartitionByRange(pieces, *order, "_spread").drop("_spread")
+
+
 def append_by_day(df: DataFrame, path: str, ts: str = "ingest_ts", cluster_by: str | None = "station_id",
                   mode: str = "append") -> None:
     """Append to a Parquet table partitioned by day and sorted inside each file.
@@ -25,13 +48,17 @@ def append_by_day(df: DataFrame, path: str, ts: str = "ingest_ts", cluster_by: s
 
 
 def write_dead_letters(branches: list[DataFrame], path: str | None) -> None:
-    """All dead-letter branches into one day-partitioned table; nothing when no target is set."""
+    """All dead-letter branches into one day-partitioned table; nothing when no target is set.
+
+    Branches are read three times, so pass them from a staged or persisted table.
+    """
     if path is None or not branches:
         return
     merged = branches[0]
     for branch in branches[1:]:
         merged = merged.unionByName(branch)
-    append_by_day(merged, path, ts="dlq_ts", cluster_by="stage")
+    days = in_pieces(merged.withColumn("ingest_date", F.to_date("dlq_ts")), "ingest_date")
+    days.sortWithinPartitions("ingest_date", "stage").write.mode("append").partitionBy("ingest_date").parquet(path)
 
 
 def push_dead_letters(

@@ -8,14 +8,17 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
 from kerbside.operators.events import dead_letters, route_snapshots, station_rows, with_dlq_counters
+from kerbside.sources.sinks import in_pieces
 
 
-def _write_batch(rows: DataFrame, path: str, ts: str, cluster_by: str, batch_id: int) -> None:
-    """Write one micro-batch into its own partitions; a repeated batch replaces them."""
+def _write_batch(rows: DataFrame, path: str, ts: str, cluster_by: str, batch_id: int, long_rows: bool = False) -> None:
+    """Write one micro-batch into its own partitions; a repeated batch replaces them.
+
+    Long rows are dealt out by what they weigh uncompressed.
+    """
+    dated = rows.withColumn("ingest_date", F.to_date(ts)).withColumn("batch_id", F.lit(batch_id))
     (
-        rows.withColumn("ingest_date", F.to_date(ts))
-        .withColumn("batch_id", F.lit(batch_id))
-        .hint("rebalance", "ingest_date")
+        (in_pieces(dated, "ingest_date") if long_rows else dated.hint("rebalance", "ingest_date"))
         .sortWithinPartitions("batch_id", "ingest_date", cluster_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -45,7 +48,7 @@ def run_curation(
         try:
             _write_batch(station_rows(held), status_path, "ingest_ts", "station_id", batch_id)
             if dlq_path is not None:
-                _write_batch(dead_letters(held), dlq_path, "dlq_ts", "stage", batch_id)
+                _write_batch(dead_letters(held), dlq_path, "dlq_ts", "stage", batch_id, long_rows=True)
         finally:
             held.unpersist()
 
