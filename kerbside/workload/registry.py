@@ -705,8 +705,10 @@ def streamed_staging(t: Tables) -> DataFrame:
     """The disruption feed as a stream of files that come newest first."""
     base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
     raw = t.disruptions_raw
-    raw.repartitionByRange(4, F.desc("ingest_ts")).write.parquet(f"{base}/raw")
-    source = t.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/raw")
+    # four micro-batches of as many files as the input's size asks for; one poll may fill several
+    files = -(-raw.rdd.getNumPartitions() // 4)
+    raw.repartitionByRange(4 * files, F.desc("ingest_ts"), "key").write.parquet(f"{base}/raw")
+    source = t.spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", files).parquet(f"{base}/raw")
     run_disruption_staging(source, f"{base}/staged", f"{base}/checkpoint", {"availableNow": True}).awaitTermination()
     return PublishedTable(t.spark, f"{base}/staged").read()
 
