@@ -29,20 +29,21 @@ class _Changes(StatefulProcessor):
         self.newest = handle.getValueState("newest", "event_us bigint, ingest_us bigint, tie bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        best = None
+        # a station mostly has few readings, so plain tuples cost far less than frames
+        order, best = None, None
         for part in rows:
-            row = part.sort_values(_ORDER).iloc[[-1]]
-            if best is None or self._order(row) > self._order(best):
-                best = row
-        if best is None or (self.newest.exists() and self._order(best) <= tuple(self.newest.get())):
+            orders = list(zip(*(part[c].tolist() for c in _ORDER), strict=True))
+            if orders and (order is None or max(orders) > order):
+                order = max(orders)
+                best = part.iloc[orders.index(order)]
+        if best is None or (self.newest.exists() and order <= tuple(self.newest.get())):
             return
-        self.newest.update(self._order(best))
+        self.newest.update(order)
         for old in self.handle.listTimers():
             self.handle.deleteTimer(old)
-        self.handle.registerTimer(int(best["seen_ms"].iloc[0]) + self.silent_after_ms)
-        yield best[["station_id", *self.columns]].assign(kind=CHANGED, since_ms=best["seen_ms"])[
-            ["station_id", "kind", "since_ms", *self.columns]
-        ]
+        self.handle.registerTimer(int(best["seen_ms"]) + self.silent_after_ms)
+        row = {"station_id": [best["station_id"]], "kind": [CHANGED], "since_ms": [int(best["seen_ms"])]}
+        yield pd.DataFrame(row | {c: [best[c]] for c in self.columns})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         since = expiredTimerInfo.getExpiryTimeInMs() - self.silent_after_ms
@@ -52,10 +53,6 @@ class _Changes(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    @staticmethod
-    def _order(row: pd.DataFrame) -> tuple[int, int, int]:
-        return tuple(int(row[c].iloc[0]) for c in _ORDER)
-
 
 def station_changes(
     status: DataFrame, tie_break: str, silent_after: str = "1 day", watermark: str = "1 hour"

@@ -568,7 +568,7 @@ def streamed_closing_windows(t: Tables) -> DataFrame:
 
 
 def _changes(t: Tables) -> DataFrame:
-    """Readings as a stream of four files in the order of their snapshots."""
+    """Readings as a stream of four deliveries in the order of their snapshots, taken up one by one."""
     base = f"{staging_dir(t.spark)}/kerbside/stream-{uuid.uuid4().hex}"
     status = t.station_status
     span = status.agg(F.min("ingest_ts").alias("first"), F.max("ingest_ts").alias("last")).first()
@@ -576,11 +576,11 @@ def _changes(t: Tables) -> DataFrame:
     for low, high in zip([None, *edges], [*edges, None], strict=True):
         after = F.lit(True) if low is None else F.col("ingest_ts") > F.lit(low)
         until = F.lit(True) if high is None else F.col("ingest_ts") <= F.lit(high)
-        status.filter(after & until).coalesce(1).write.mode("append").parquet(f"{base}/status")
-    stream = t.spark.readStream.schema(status.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/status")
-    run_station_changes(
-        stream, f"{base}/changes", f"{base}/checkpoint", "event_id", "1 day", "1 hour", {"availableNow": True}
-    ).awaitTermination()
+        status.filter(after & until).write.mode("append").parquet(f"{base}/status")
+        stream = t.spark.readStream.schema(status.schema).parquet(f"{base}/status")
+        run_station_changes(
+            stream, f"{base}/changes", f"{base}/checkpoint", "event_id", "1 day", "1 hour", {"availableNow": True}
+        ).awaitTermination()
     return read_changes(t.spark, f"{base}/changes", status.schema)
 
 
