@@ -94,3 +94,15 @@ def test_nearest_listing_counts_notices_that_read_alike(spark):
     assert [r.station_name for r in got] == ["s0"] * 7 + ["s1"] * 3
     full = active.withColumns({"last_update": F.current_timestamp(), "to_stop_name": F.lit("x")})
     assert got == impact.nearest_listing(impact.near_disruptions(full, stations)).collect()
+
+
+def test_notices_of_a_station_follow_each_other(spark):
+    """The columns of a station and its distances come in one run a station, which files hold in a few bytes."""
+    more = {"last_update": F.expr("timestamp '2026-01-01'"), "to_stop_name": F.lit("x")}
+    near = impact.near_disruptions(_sections(spark, 500).withColumns(more).repartition(3), _stations(spark), digits=3)
+    rows = near.collect()
+    assert len(rows) == 1500
+    assert sum(a.station_id != b.station_id for a, b in zip(rows, rows[1:])) < 20
+    assert all(r.distance_to_from_stop_meters == round(r.distance_to_from_stop_meters, 3) for r in rows)
+    exact = impact.near_disruptions(_sections(spark, 1).withColumns(more), _stations(spark)).collect()
+    assert {(r.station_id, r.distance_to_to_stop_meters) for r in rows} == {(r.station_id, round(r.distance_to_to_stop_meters, 3)) for r in exact}
