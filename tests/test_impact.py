@@ -111,3 +111,14 @@ def test_latest_row_is_limited_before_the_shuffle(spark):
     plan = latest_by(df, ["k"], [F.desc("id")])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert {r["id"] for r in latest_by(df, ["k"], [F.desc("id")]).collect()} == {97, 98, 99}
+
+
+def test_pairs_compete_by_numbers(spark):
+    """The shuffle that chooses among notices carries no texts of notices and nothing of stations that is not asked for."""
+    rows = [section(n, A, B, minute=n) for n in range(3)] + [section(9, ("A", 48.801, 2.30), B, minute=30)]
+    network = facts(spark, *NETWORK).select("station_id", "lat", "lon", "fill_rate")
+    pairs = impact.impact_pairs(sections(spark, *rows), network)
+    assert {(r.disruption_id, r.station_id) for r in pairs.collect()} == {("d9", i) for i in ("1", "2", "4", "5", "6")}
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window") :].splitlines()[0]
+    assert "_rank" in window and "title" not in window and "last_update" not in window
