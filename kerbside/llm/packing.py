@@ -80,11 +80,13 @@ class WordIds:
             text = text.lower()
         words = text.split()
         found = list(map(self.recent.get, words))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            recent = self._learn({words[i] for i in new})
-            for i in new:
-                found[i] = recent[words[i]]
+        try:
+            return b"".join(found)
+        except TypeError:  # a word is new; texts of known words are not looked through once more
+            new = [i for i, ids in enumerate(found) if ids is None]
+        recent = self._learn({words[i] for i in new})
+        for i in new:
+            found[i] = recent[words[i]]
         return b"".join(found)
 
     def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
