@@ -77,7 +77,7 @@ def _parse(lines: DataFrame, unless: Column) -> DataFrame:
     """:func:`parse_events`, leaving both columns NULL where ``unless`` holds."""
     value, event = F.col("value"), F.col("event")
     parsed = evaluate_once(
-        lines.withColumn("_wrapped", F.when(~unless, strict_json(value))),
+        lines.withColumn("_wrapped", F.when(~(unless | _is_cut_off(value)), strict_json(value))),
         {"event": json_document(F.col("_wrapped"), value)},
     ).drop("_wrapped")
     # an object's text starts with a brace; cheaper than deriving the document's schema
@@ -92,6 +92,12 @@ def _parse(lines: DataFrame, unless: Column) -> DataFrame:
     return evaluate_once(parsed, {"error": error})
 
 
+def _is_cut_off(value: Column) -> Column:
+    """Whether a text begins like an object and does not end like one, so that no parser need read it."""
+    space = F.lit(" \t\r\n")
+    return F.ltrim(value, space).startswith("{") & ~F.rtrim(value, space).endswith("}")
+
+
 def _read_plain(lines: DataFrame) -> DataFrame:
     """Adds ``_plain``: texts and station elements of ordinary lines, NULL for all others.
 
@@ -102,13 +108,14 @@ def _read_plain(lines: DataFrame) -> DataFrame:
     value = F.col("value")
     check = F.crc32(value).cast("string")
     wrapped = F.concat(F.lit("["), value, F.lit(',{"line_check":"'), check, F.lit('"}]'))
-    read = lines.withColumn("_read", F.from_json(wrapped, LINE_SCHEMA, JSON_OPTIONS))
+    read = lines.withColumn("_read", F.when(~_is_cut_off(value), F.from_json(wrapped, LINE_SCHEMA, JSON_OPTIONS)))
     doc = F.try_element_at("_read", F.lit(1))
     stations = doc["payload"]["data"]["stations"]
+    # the cheap tests first: the others read the whole line again
     ordinary = (
-        F.is_valid_utf8(value)
+        stations.isNotNull()
         & (F.try_element_at("_read", F.lit(2))["line_check"] == check)
-        & stations.isNotNull()
+        & F.is_valid_utf8(value)
         # a list element that is itself JSON text would look like an object
         & ~value.rlike(r'[\[,]\s*"\s*\{')
         & ~F.coalesce(doc["event_ts"].isin(*AMBIGUOUS), F.lit(False))
@@ -331,9 +338,12 @@ def _instant(text: Column) -> Column:
 
 
 def _sink_errors() -> Column:
-    """Messages for values the typed table cannot hold, in column order; empty when it fits."""
+    """Messages for values the typed table cannot hold, in column order; empty when it fits.
+
+    Needs the instants of both times as ``_ingest_ts_at`` and ``_event_ts_at``.
+    """
     times = [
-        F.when(_instant(F.col(name)).isNull(), F.concat(F.lit(f"Invalid timestamp in {name}: "), F.col(name)))
+        F.when(F.col(f"_{name}_at").isNull(), F.concat(F.lit(f"Invalid timestamp in {name}: "), F.col(name)))
         for name in ("ingest_ts", "event_ts")
     ]
     # too large an integer is never a plain one
@@ -414,9 +424,13 @@ def route_snapshots(
     # the event as it is after normalisation, whole
     normal_event = F.to_json(F.struct("ingest_ts", "event_ts", "source", "event_type", "key", "payload"))
     mapped = mapped.withColumn("payload", where_present(F.when(is_mapping, F.col("event")), _normal_payload))
+    # read once a line, not once a station
+    mapped = mapped.withColumns({f"_{name}_at": _instant(F.col(name)) for name in ("ingest_ts", "event_ts")})
     elements = mapped.select(
         "ingest_ts",
         "event_ts",
+        "_ingest_ts_at",
+        "_event_ts_at",
         F.coalesce("error", "mapping_error").alias("error"),
         F.when(error.isNotNull(), fx.STAGE_PARSE).when(is_mapping, fx.STAGE_MAPPING).alias("stage"),
         F.when(error.isNotNull(), F.make_valid_utf8("value")).when(is_mapping, normal_event).alias("raw"),
@@ -426,13 +440,15 @@ def route_snapshots(
     )
     # a NULL element of a list is no station, only a dead letter may go without one
     present = elements.filter(F.col("stage").isNotNull() | F.col("station").isNotNull())
-    rows = _with_station_fields(present).withColumn("_sink", F.when(F.col("stage").isNull(), _sink_errors()))
+    # only a time that cannot be read or a value of the exact rules can be refused
+    may_fail = F.col("_ingest_ts_at").isNull() | F.col("_event_ts_at").isNull() | F.col("_exact").isNotNull()
+    rows = _with_station_fields(present).withColumn("_sink", F.when(F.col("stage").isNull() & may_fail, _sink_errors()))
     refused = F.coalesce(F.size("_sink") > 0, F.lit(False))
     row_json = F.to_json(F.struct(*STATUS_COLUMNS), {"ignoreNullFields": "false"})
     sink_errors = F.to_json(F.transform("_sink", lambda m: F.struct(m.alias("message"))))
     return rows.select(
-        _instant(F.col("ingest_ts")).alias("ingest_ts"),
-        _instant(F.col("event_ts")).alias("event_ts"),
+        F.col("_ingest_ts_at").alias("ingest_ts"),
+        F.col("_event_ts_at").alias("event_ts"),
         *STATUS_COLUMNS[2:],
         (as_of if as_of is not None else F.current_timestamp()).alias("dlq_ts"),
         F.when(refused, fx.STAGE_SINK).otherwise(F.col("stage")).alias("stage"),

@@ -224,3 +224,25 @@ def test_integers_beyond_the_column_are_refused(spark):
         for n in ("ebike_available", "mechanical_available", "num_bikes_available", "num_docks_available")
     ]
     assert [(r["num_bikes_available"], r["num_docks_available"]) for r in rows.collect()] == [(None, 2)]
+
+
+def test_cut_off_lines_are_told_without_a_parser(spark):
+    """An object's text that does not end like one is refused by its ends; whatever else is read as before."""
+    whole = line([station()])
+    lines = [whole, whole[:40], whole[:40] + "long text " * 50_000, f" \t{whole} \n", whole + " x", "[1,2]", "{}"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    assert [r[0] for r in df.select(ev._is_cut_off(F.col("value"))).collect()] == [False, True, True, False, True, False, False]
+    rows, dlq = routed(spark, *lines)
+    assert len(rows) == 2
+    bad = ("JSONDecodeError", "Invalid JSON")
+    assert [(r.error_type, r.error_message) for r in dlq[:3]] == [bad] * 3
+    assert len(dlq) == 5
+
+
+def test_times_are_read_once_a_line(spark):
+    """Both instants are worked out below the step that makes a row of every station."""
+    df = spark.createDataFrame([(line([station(), station()]),)], "value string")
+    plan = ev.station_rows(ev.route_snapshots(df))._jdf.queryExecution().optimizedPlan().toString()
+    at = [i for i, text in enumerate(plan.splitlines()) if "_ingest_ts_at" in text and "cast(" in text.partition("_ingest_ts_at")[0]]
+    stations = [i for i, text in enumerate(plan.splitlines()) if "Generate explode" in text and "stations" in text]
+    assert max(at) > min(stations)
