@@ -100,7 +100,13 @@ def test_notices_of_a_station_follow_each_other(spark):
     """The columns of a station and its distances come in one run a station, which files hold in a few bytes."""
     more = {"last_update": F.expr("timestamp '2026-01-01'"), "to_stop_name": F.lit("x")}
     near = impact.near_disruptions(_sections(spark, 500).withColumns(more).repartition(3), _stations(spark), digits=3)
-    rows = near.collect()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")  # as where both sides are large
+        rows = near.collect()
+    finally:
+        spark.conf.set(key, before)
     assert len(rows) == 1500
     assert sum(a.station_id != b.station_id for a, b in zip(rows, rows[1:])) < 20
     assert all(r.distance_to_from_stop_meters == round(r.distance_to_from_stop_meters, 3) for r in rows)
