@@ -53,8 +53,12 @@ def _scalar(read: Column, payload: Column, member: str) -> Column:
 
 
 def stage_disruptions(raw: DataFrame, tz: str = "UTC") -> DataFrame:
-    """One typed row per disruption and poll."""
-    return latest_by(project_disruptions(raw, tz), ["disruption_id", "ingest_ts"], [F.asc("digest")]).drop("digest")
+    """One typed row per disruption and poll.
+
+    ``digest`` travels as the bytes it spells, which have the same order.
+    """
+    competing = project_disruptions(raw, tz).withColumn("digest", F.unhex("digest"))
+    return latest_by(competing, ["disruption_id", "ingest_ts"], [F.asc("digest")]).drop("digest")
 
 
 def latest_disruptions(staged: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from kerbside import fixed_values as fx
 from kerbside.operators.latest import latest_by
+from kerbside.session import shuffles_released
 from kerbside.sources.published import PublishedTable
 
 
@@ -110,15 +111,19 @@ def merge_incremental(
     :class:`PublishedTable` merges by any key, and shows its readers no month between old and new.
 
     Without a ``lookback`` all rows are loaded, however old, as a stream needs it whose files do not
-    come in the order of ``ts``. The target is Parquet partitioned by month. Only months from the
+    come in the order of ``ts``. The target is Parquet partitioned by month, and this function's own: a
+    key occurs once in it. Only months from the
     high-water mark on, or those the new rows belong to, are read back and rewritten, through dynamic
     partition overwrite, so the cost follows the new data and not the history; a reader may see
-    a month between its old and new files. Running it twice on the same input changes nothing. With
+    a month between its old and new files. Where ``ts`` is a key, rows up to the mark can't be replaced
+    and go from their files to the new ones without a shuffle. Shuffle files are removed when the load is
+    written. Running it twice on the same input changes nothing. With
     ``evolve_schema`` columns that only one side has are kept, as NULL on the other side. Files are
     sorted by ``cluster_by`` (the first key without it).
     """
     incoming = new.withColumn("ingest_month", F.date_format(ts, "yyyyMM")).withColumn("_is_new", F.lit(True))
     target = _existing_table(new.sparkSession, path, evolve_schema)
+    kept = settled = None
     if target is not None and lookback is None:
         # the months of this load: a few texts
         months = [r[0] for r in incoming.select("ingest_month").distinct().collect()]
@@ -126,33 +131,50 @@ def merge_incremental(
         same = F.col("ingest_month").isin(dated) if dated else F.lit(False)
         # rows without a time have a folder of their own, which is rewritten like a month
         kept = target.filter(same | F.col("ingest_month").isNull() if None in months else same)
-        incoming = _with_kept(incoming, kept, evolve_schema)
     elif target is not None:
         newest = _newest_month(target)
         if newest is not None:
             # the newest rows lie in the newest month; no other partition is read for the mark
             mark = F.max(ts) - F.expr(f"interval {lookback}")
             row = target.filter(F.col("ingest_month") == newest).agg(mark.alias("mark")).first()
-            incoming = incoming.filter((F.col(ts) > F.lit(row["mark"])) | F.col(ts).isNull())
+            loaded = (F.col(ts) > F.lit(row["mark"])) | F.col(ts).isNull()
+            incoming = incoming.filter(loaded)
             # a literal month, so that older partitions are pruned without being listed
             kept = target.filter(
                 (F.col("ingest_month") >= int(row["mark"].strftime("%Y%m"))) | F.col("ingest_month").isNull()
             )
-            incoming = _with_kept(incoming, kept, evolve_schema)
-    merged = latest_by(incoming, keys, [F.desc("_is_new"), *order]).drop("_is_new")
-    (
-        merged.hint("rebalance", "ingest_month")
-        .sortWithinPartitions("ingest_month", *(cluster_by or keys[:1]))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_month")
-        .parquet(path)
-    )
-
-
-def _with_kept(incoming: DataFrame, kept: DataFrame, evolve_schema: bool) -> DataFrame:
-    kept = kept.withColumn("ingest_month", F.col("ingest_month").cast("string")).withColumn("_is_new", F.lit(False))
-    return incoming.unionByName(kept, allowMissingColumns=evolve_schema)
+            if ts in keys:
+                # an incoming row's key has a time that is loaded
+                kept, settled = kept.filter(loaded), kept.filter(~loaded)
+    merged = _merged(incoming, kept, keys, order, evolve_schema).drop("_is_new").hint("rebalance", "ingest_month")
+    if settled is not None:
+        merged = merged.unionByName(_month_as_text(settled), allowMissingColumns=evolve_schema)
+    with shuffles_released(new.sparkSession):
+        (
+            merged.sortWithinPartitions("ingest_month", *(cluster_by or keys[:1]))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ingest_month")
+            .parquet(path)
+        )
+
+
+def _merged(
+    incoming: DataFrame, kept: DataFrame | None, keys: list[str], order: list[Column], evolve_schema: bool
+) -> DataFrame:
+    """One row a key, an incoming one where there is one."""
+    ranking = [F.desc("_is_new"), *order]
+    if kept is None:
+        return latest_by(incoming, keys, ranking)
+    kept = _month_as_text(kept).withColumn("_is_new", F.lit(False))
+    if not evolve_schema:
+        # each side is dealt by key for itself, and their union stays dealt so: an incoming row moves once
+        incoming, kept = latest_by(incoming, keys, order), latest_by(kept, keys, order)
+    return latest_by(incoming.unionByName(kept, allowMissingColumns=evolve_schema), keys, ranking)
+
+
+def _month_as_text(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("ingest_month", F.col("ingest_month").cast("string"))
 
 
 def _newest_month(target: DataFrame) -> int | None:

@@ -1,7 +1,13 @@
 """Sinks, incremental loads, streams, replay and checks."""
 
+import hashlib
 import json
-from datetime import datetime
+import random
+import time
+from contextlib import nullcontext
+from datetime import datetime, timedelta
+from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +22,7 @@ from kerbside.sources import (
     merge_incremental,
     publish_view,
     read_seed,
+    sinks,
     stream_lines,
     write_dead_letters,
     write_ndjson,
@@ -184,3 +191,74 @@ def test_hours_around_the_clock_change(spark):
     assert local == [(2, 2), (2, 2), (3, 3)]
     offset = hourly.snapshot_totals(status, tz="Asia/Kolkata").select(F.date_format("hour_ts", "HH:mm")).collect()
     assert sorted(r[0] for r in offset) == ["00:30", "01:30", "02:30"]
+
+
+def _shuffled(spark):
+    """Bytes of the shuffle files there are."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return sum(f.stat().st_size for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data"))
+
+
+def _texts(spark, n, first=0):
+    """Rows of a month, one a minute, with a text that does not compress."""
+    text = "concat_ws('', transform(sequence(1, 4), i -> sha2(concat(id, '-', i), 256)))"
+    ts = "timestamp_ntz '2024-01-02' + id * interval '1' minute"
+    return spark.range(first, first + n).selectExpr("id as k", f"{ts} as ingest_ts", f"{text} as v")
+
+
+def test_a_load_shuffles_what_is_new_and_removes_it(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "staged")
+    load = partial(merge_incremental, path=path, keys=["k", "ingest_ts"], order=[F.asc("v")])
+    before = _shuffled(spark)
+    load(_texts(spark, 20_000))
+    for _ in range(50):  # removal is not waited for
+        if _shuffled(spark) <= before:
+            break
+        time.sleep(0.1)
+    assert _shuffled(spark) <= before
+    monkeypatch.setattr(sinks, "shuffles_released", lambda _: nullcontext(), raising=False)
+    before = _shuffled(spark)
+    load(_texts(spark, 20_100))
+    assert _shuffled(spark) - before < 1_000_000  # of 5 MB
+    assert spark.read.parquet(path).drop("ingest_month").exceptAll(_texts(spark, 20_100)).count() == 0
+    assert spark.read.parquet(path).count() == 20_100
+
+
+def test_merge_of_large_and_small_sides(spark, tmp_path):
+    """The side of few rows and the side of many are dealt alike: a key meets itself."""
+    path = str(tmp_path / "staged")
+    keys, order = ["k", "ingest_ts"], [F.asc("v")]
+    merge_incremental(_texts(spark, 3000), path, keys, order, lookback="1 day")
+    new = _texts(spark, 40_000, 1000).withColumn("v", F.concat(F.lit("new"), "v"))
+    merge_incremental(new.union(new.withColumn("v", F.concat("v", F.lit("z")))), path, keys, order, lookback="1 day")
+    got = spark.read.parquet(path)
+    assert got.count() == got.select(*keys).distinct().count() == 41_000
+    assert got.filter("v like 'new%'").agg(F.min("k"), F.max("k"), F.count("*")).first()[:] == (1560, 40_999, 39_440)
+    assert got.filter("v like '%z'").count() == 0
+
+
+def test_merge_is_what_plain_rules_say(spark, tmp_path):
+    """Keys and times repeat and are missing; months and loads overlap."""
+    rng, path, there = random.Random(4), str(tmp_path / "staged"), {}
+    for load in range(4):
+        ts = [None, *(datetime(2024, 1, 30) + timedelta(hours=12 * i) for i in range(5 + 2 * load))]
+        rows = [(rng.choice([None, *"abcde"]), rng.choice(ts), f"{load}-{rng.random():.6f}") for _ in range(60)]
+        mark = max((t for _, t in there if t), default=datetime(1, 1, 2)) - timedelta(hours=18)
+        new = {}
+        for k, t, v in rows:
+            if t is None or t > mark:
+                new[k, t] = min(v, new.get((k, t), v))
+        there |= new
+        df = spark.createDataFrame(rows, "k string, ingest_ts timestamp_ntz, v string")
+        merge_incremental(df, path, ["k", "ingest_ts"], [F.asc("v")], lookback="18 hours")
+        got = [((r.k, r.ingest_ts), r.v) for r in spark.read.parquet(path).collect()]
+        assert len(got) == len(there) and dict(got) == there
+
+
+def test_digests_compete_as_bytes(spark):
+    """Of equal keys the smallest digest wins, which travels in half the bytes."""
+    rows = raw(spark, *[(1, 5, 0, "a", f"t{i}") for i in range(20)])
+    staged = disruptions.stage_disruptions(rows)
+    first = min(rows.collect(), key=lambda r: hashlib.md5(r.payload.encode()).hexdigest())
+    assert [r.title for r in staged.collect()] == [json.loads(first.payload)["title"]]
+    assert "unhex" in staged._jdf.queryExecution().optimizedPlan().toString()
