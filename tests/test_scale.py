@@ -85,6 +85,20 @@ def test_lines_that_read_alike_are_sorted_once(spark):
     assert plan.index("Generate") < plan.index("Sort [") < plan.index("Aggregate [")
 
 
+def test_a_walking_listing_reads_its_sections_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for rows in batches:
+            read.add(len(rows))
+            yield rows
+
+    sections = _sections(spark, 50)
+    listing = impact.walking_listing(sections.mapInPandas(counted, sections.schema), _stations(spark))
+    assert len(listing.collect()) == 150
+    assert read.value == 50
+
+
 def test_nearest_listing_counts_notices_that_read_alike(spark):
     active = _sections(spark, 7)
     stations = _stations(spark).drop("num_bikes_available", "num_docks_available")
